@@ -6,8 +6,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixed
+from ..schemas import IDS
 
 
 def drop_unknown_ids(ids: Column) -> Column:
@@ -35,7 +37,7 @@ def eos_spans(ids: Column, eos_id: int = fixed.EOS_ID) -> Column:
     return F.arrays_zip(F.slice(starts, F.lit(1), F.size(ends)).alias("first"), ends.alias("last"))
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def _pack_u16(ids: pa.Array) -> pa.Array:
     flat = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     if flat.size and (flat.min() < 0 or flat.max() >= fixed.MAX_VOCAB):
@@ -47,7 +49,7 @@ def _pack_u16(ids: pa.Array) -> pa.Array:
     )
 
 
-@F.arrow_udf("array<int>")
+@F.arrow_udf(IDS)
 def _unpack_u16(packed: pa.Array) -> pa.Array:
     rows = [np.frombuffer(b, dtype="<u2", count=len(b) // 2) for b in packed.to_pylist()]
     sizes = np.cumsum([0] + [len(r) for r in rows]).astype(np.int32)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixed
 
@@ -41,9 +43,9 @@ def drop_invalid_utf8(c: Column) -> Column:
     )
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(T.StringType())
 def _nfc(values: pa.Array) -> pa.Array:
-    return pc.utf8_normalize(values, form="NFC")
+    return pa.array([v if v is None else unicodedata.normalize("NFC", v) for v in values.to_pylist()], pa.string())
 
 
 def normalize_nfc(c: Column) -> Column:

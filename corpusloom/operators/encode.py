@@ -9,8 +9,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixed
+from ..schemas import IDS
 from .vocab import collect_pieces, pad_specials
 
 
@@ -26,7 +28,7 @@ def encode_words(text: Column, vocab: DataFrame, drop_unknown: bool = True) -> C
     pieces = collect_pieces(vocab)
     specials = [p for p in fixed.WORD_SPECIALS if p in pieces[: len(fixed.WORD_SPECIALS)]]
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf(IDS)
     def lookup(texts: pa.Array) -> pa.Array:
         words = pc.utf8_split_whitespace(texts)
         flat = words.flatten()
@@ -93,7 +95,7 @@ def encode_bpe(text: Column, merges: DataFrame, vocab: DataFrame, pretok: str =
             known[word] = ids
         return known[word]
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf(IDS)
     def encode(texts: pa.Array) -> pa.Array:
         words = pc.utf8_split_whitespace(texts) if pretok == "word" else pc.split_pattern(texts, "\n")
         coded = words.flatten().dictionary_encode()
@@ -111,7 +113,7 @@ def decode_words(ids: Column, vocab: DataFrame, skip_special: bool = False) -> C
     pieces = collect_pieces(vocab)
     hidden = [p for p in fixed.WORD_SPECIALS if p in pieces[: len(fixed.WORD_SPECIALS)]] if skip_special else []
 
-    @F.arrow_udf("string")
+    @F.arrow_udf(T.StringType())
     def decode(rows: pa.Array) -> pa.Array:
         flat = pa.array(pieces, pa.string()).take(rows.flatten())
         keep = pc.invert(pc.is_in(flat, value_set=pa.array(hidden, pa.string())))
@@ -135,7 +137,7 @@ def decode_bpe(ids: Column, vocab: DataFrame, pretok: str = "word", skip_special
             return bytes([int(piece[3:5], 16)])
         return piece.replace(fixed.WORD_MARK, " ").encode()
 
-    @F.arrow_udf("binary")
+    @F.arrow_udf(T.BinaryType())
     def decode(rows: pa.Array) -> pa.Array:
         flat = pa.array([as_bytes(p) for p in pieces], pa.binary()).take(rows.flatten())
         listed = _regroup(rows, np.ones(len(flat), np.int64), flat)

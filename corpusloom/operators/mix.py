@@ -29,7 +29,7 @@ def gap(seed: int, *ids: str) -> Column:
 def interleave_uniform(
     df: DataFrame, seed: int, *, source: str = "source", order: str = "doc_id", ids: tuple[str, ...] = ("source", "doc_id")
 ) -> DataFrame:
-    """Add ``at``, a position whose order draws uniformly among the sources still active.
+    """Add ``arrival``, a position whose order draws uniformly among the sources still active.
 
     Every source is a Poisson process of rate 1: its n-th row sits at the sum of n exponential
     gaps. Waiting times have no memory, so at any moment each source that is not exhausted is
@@ -40,17 +40,17 @@ def interleave_uniform(
     cut = quantile_bucket(drawn, order)
     ties = [c for c in ids if c not in (source, order)]
     laid = prefix_sum(cut, [order, *ties], "__gap", by=[source], bucket="__bucket", out="__before")
-    return laid.withColumn("at", F.col("__before") + F.col("__gap")).drop("__bucket", "__before", "__gap")
+    return laid.withColumn("arrival", F.col("__before") + F.col("__gap")).drop("__bucket", "__before", "__gap")
 
 
 def mixed_position(
     df: DataFrame, n_sources: int, ids: tuple[str, ...] = ("source", "doc_id"), rows_per_bucket: int = 100_000
 ) -> DataFrame:
-    """Row number along ``at``. A source passes about one row per ``GAP_UNITS``, so a stretch of
+    """Row number along ``arrival``. A source passes about one row per ``GAP_UNITS``, so a stretch of
     ``rows_per_bucket / n_sources`` gaps holds at most about ``rows_per_bucket`` rows."""
     width = max(1, GAP_UNITS * rows_per_bucket // max(1, n_sources))
-    bucket = F.floor(F.col("at") / width).cast("bigint")
-    return prefix_sum(df, ["at", *ids], 1, bucket=bucket, out="position")
+    bucket = F.floor(F.col("arrival") / width).cast("bigint")
+    return prefix_sum(df, ["arrival", *ids], 1, bucket=bucket, out="position")
 
 
 def mix(

@@ -92,7 +92,7 @@ def prefix_sum(
     starts = totals.select(
         *[F.col(k).alias(f"{k}_s") for k in keys],
         *[so_far(v, Window.partitionBy(*groups).orderBy("__b")).alias(f"{v}_s") for v in values.values()],
-        F.sum("__v0").over(Window.partitionBy(*groups)).alias("__total"),
+        F.sum("__v0").over(Window.partitionBy(*groups)).alias("__everything"),
         F.lit(0).cast("bigint").alias("__gstart"),
     )
     if then is not None:
@@ -110,7 +110,7 @@ def prefix_sum(
         starts = starts.join(laid, [F.col(f"{g}_s") == F.col(f"{g}_l") for g in groups]).select(
             *[f"{k}_s" for k in keys],
             *[(F.col(f"{v}_s") + F.col(f"{v}_l")).alias(f"{v}_s") for v in values.values()],
-            F.col("__all").alias("__total"),
+            F.col("__all").alias("__everything"),
             F.col("__v0_l").alias("__gstart"),
         )
     small = False
@@ -125,14 +125,14 @@ def prefix_sum(
     joined = keyed.join(starts, [F.col(k) == F.col(f"{k}_s") for k in keys])
     added = {name: F.col(f"{v}_s") + so_far(v, inside) for name, v in values.items()}
     if total:
-        added[total] = F.col("__total")
+        added[total] = F.col("__everything")
     if group_start:
         added[group_start] = F.col("__gstart")
     result = joined.withColumns(added)
     if stop is not None:
         result = result.filter(F.col(out) < stop)
     helpers = [*keys, *values.values()]
-    return result.drop(*helpers, *[f"{h}_s" for h in helpers], "__total", "__gstart")
+    return result.drop(*helpers, *[f"{h}_s" for h in helpers], "__everything", "__gstart")
 
 
 def running(df: DataFrame, column: str, value: Column | str | int = 1, **options) -> DataFrame:

@@ -13,8 +13,8 @@ from .sample import top_k
 
 # A symbol string writes each symbol between these noncharacters, which Unicode keeps out of
 # text exchange, so that merging a pair is one plain string replacement.
-OPEN, CLOSE = "﷐", "﷑"
-ROUNDS_PER_CHECKPOINT = 10
+OPEN, CLOSE = "\ufdd0", "\ufdd1"
+MERGES_PER_CHECKPOINT = 12
 
 
 def pad_specials(c: Column, specials: Sequence[str], pretok: str = "word") -> Column:
@@ -77,16 +77,16 @@ def _symbols(word: Column, pretok: str) -> Column:
 
 
 def _pair_counts(types: DataFrame) -> DataFrame:
-    inner = F.col("syms").substr(F.lit(2), F.length("syms") - 2)
-    parts = types.select("n", F.split(inner, CLOSE + OPEN).alias("p")).filter(F.size("p") > 1)
-    pairs = F.arrays_zip(
-        F.slice("p", F.lit(1), F.size("p") - 1).alias("left"), F.slice("p", F.lit(2), F.size("p") - 1).alias("right")
-    )
-    return (
-        parts.select("n", F.explode(pairs).alias("pair"))
-        .groupBy(F.col("pair.left").alias("left"), F.col("pair.right").alias("right"))
-        .agg(F.sum("n").alias("cnt"))
+    """``(left, right, cnt)``: neighbours as one string while they are counted, apart after."""
+    parts = F.split("syms", CLOSE)  # ends with an empty part
+    neighbours = F.zip_with(
+        F.slice(parts, F.lit(1), F.size(parts) - 2), F.slice(parts, F.lit(2), F.size(parts) - 2),
+        lambda a, b: F.concat(a, b),
     )
+    pairs = types.filter(F.size(parts) > 2).select("n", F.explode(neighbours).alias("pair"))
+    counted = pairs.groupBy("pair").agg(F.sum("n").alias("cnt"))
+    sides = F.split("pair", OPEN)
+    return counted.select(sides[1].alias("left"), sides[2].alias("right"), "cnt")
 
 
 def pick_pairs(ranked: Sequence, complete: bool, exact: bool, room: int, known: set[str] = frozenset()) -> list:
@@ -144,7 +144,7 @@ def learn_bpe(
     types = clean.select(_symbols(F.col("word"), pretok).alias("syms"), "n").checkpoint()
     merges: list[tuple[int, str, str]] = []
     known: set[str] = set()
-    since = 0
+    pending = 0
     while len(merges) < n_merges:
         best = (
             _pair_counts(types)
@@ -163,9 +163,9 @@ def learn_bpe(
             merges.append((len(merges), pair.left, pair.right))
             known.add(pair.left + pair.right)
         types = types.select(syms.alias("syms"), "n")
-        since += 1
-        if since == ROUNDS_PER_CHECKPOINT or len(round_pairs) > 50:
-            types, since = types.checkpoint(), 0
+        pending += len(round_pairs)
+        if pending >= MERGES_PER_CHECKPOINT:
+            types, pending = types.checkpoint(), 0
     return spark.createDataFrame(merges, "rank int, left string, right string")
 
 

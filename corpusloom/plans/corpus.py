@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
+from dataclasses import replace
+from itertools import groupby
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed
@@ -15,67 +17,75 @@ from ..operators.mix import mix, union_sources
 from ..operators.sample import cap_per_source, upsample
 from ..schemas import SourceSpec
 
+IDS = ("source", "doc_id", "chunk_no", "copy_no")
 
-def format_source(
-    df: DataFrame, spec: SourceSpec, *, required: str = fixed.REQUIRED_LETTERS,
-    forbidden: str = fixed.FORBIDDEN_LETTERS,
+
+def _admitted(kind: str, required: str, forbidden: str) -> Column | None:
+    """The raw filter of a kind, before cleaning."""
+    text = F.col("text")
+    if kind == "code":
+        return length_between(F.coalesce("output", F.lit("")))
+    if kind in ("wiki", "web"):
+        return min_length(text, strict=kind == "wiki") & letter_profile(text, required, forbidden)
+    return None
+
+
+def format_kind(
+    df: DataFrame, spec: SourceSpec, required: str = fixed.REQUIRED_LETTERS, forbidden: str = fixed.FORBIDDEN_LETTERS
 ) -> DataFrame:
-    """``(source, doc_id, chunk_no, formatted)`` of one source: filter, cap, lay out.
+    """``(source, doc_id, chunk_no, formatted)`` for sources that share their settings.
 
-    Instruction kinds read ``(rec_id, instruction, input, output)``, the others
-    ``(doc_id, text)``. Rows whose layout comes out empty stay, except for chat; they count
-    against caps and are left out by the sink.
+    Instruction kinds read ``(source, rec_id, instruction, input, output)``, the others
+    ``(source, doc_id, text)``. Rows whose layout comes out empty stay, except for chat: they
+    count against caps and are left out by the sink.
     """
-    text = F.col("text")
-    if spec.kind in ("chat", "code"):
-        if spec.kind == "chat":
-            ok, sep = None, " "
-        else:
-            ok, sep = length_between(F.coalesce("output", F.lit(""))), "\n"
-        rows = df.withColumnRenamed("rec_id", "doc_id")
-        formatted = format_instruct(
-            fixed_system(spec.kind), join_prompt(F.col("instruction"), F.col("input"), sep),
-            F.coalesce("output", F.lit("")),
-        )
-    elif spec.kind == "book":
-        rows, ok = df, None
-        formatted = format_pretrain(F.col("chunk"))
-    else:
-        rows = df
-        ok = {
-            "wiki": min_length(text, strict=True) & letter_profile(text, required, forbidden),
-            "web": min_length(text) & letter_profile(text, required, forbidden),
-            "synthetic": None,
-        }[spec.kind]
-        formatted = format_pretrain(text)
-    rows = rows.withColumn("source", F.lit(spec.source))
+    instruct = spec.kind in ("chat", "code")
+    rows = df.withColumnRenamed("rec_id", "doc_id") if instruct else df
+    ok = _admitted(spec.kind, required, forbidden)
     if spec.cap is not None:
-        counted = ok if spec.cap_on == "eligible" else None
-        rows = cap_per_source(rows, spec.cap, eligible=counted)
-        ok = None if spec.cap_on == "eligible" else ok
+        eligible = spec.cap_on == "eligible"
+        rows = cap_per_source(rows, spec.cap, eligible=ok if eligible else None)
+        ok = None if eligible else ok
     if ok is not None:
         rows = rows.filter(ok)
     if spec.kind == "book":
-        rows = chunk_docs(rows.select("source", "doc_id", "text"))
+        rows = chunk_docs(rows.select("source", "doc_id", "text")).withColumnRenamed("chunk", "text")
     else:
         rows = rows.withColumn("chunk_no", F.lit(0))
+    if instruct:
+        prompt = join_prompt(F.col("instruction"), F.col("input"), " " if spec.kind == "chat" else "\n")
+        formatted = format_instruct(fixed_system(spec.kind), prompt, F.coalesce("output", F.lit("")))
+    else:
+        formatted = format_pretrain(F.col("text"))
     out = rows.select("source", "doc_id", "chunk_no", formatted.alias("formatted"))
     return out.filter(F.col("formatted") != "") if spec.kind == "chat" else out
 
 
+def format_sources(docs: DataFrame, instruct: DataFrame, specs: Sequence[SourceSpec], **letters: str) -> DataFrame:
+    """All sources formatted, one narrow branch per kind and setting."""
+
+    def settings(spec: SourceSpec):
+        return replace(spec, source="")
+
+    parts = []
+    for shared, group in groupby(sorted(specs, key=lambda s: str(settings(s))), key=settings):
+        names = [s.source for s in group]
+        table = instruct if shared.kind in ("chat", "code") else docs
+        parts.append(format_kind(table.filter(F.col("source").isin(names)), shared, **letters))
+    return union_sources(parts)
+
+
 def build_corpus(
-    tables: Mapping[str, DataFrame], specs: Sequence[SourceSpec], seed: int, buffer: int = fixed.MIX_BUFFER,
-    **profile: str,
+    docs: DataFrame, instruct: DataFrame, specs: Sequence[SourceSpec], seed: int, buffer: int = fixed.MIX_BUFFER,
+    **letters: str,
 ) -> DataFrame:
     """Formatted, upsampled, interleaved and window-shuffled documents.
 
     Gives ``(source, doc_id, chunk_no, copy_no, block, rank, formatted)``. The order is worked
     out on ids alone; the texts join it once and are sorted once, by the sink.
     """
-    parts = [format_source(tables[s.source], s, **profile) for s in specs if s.source in tables]
-    formatted = union_sources(parts)
-    times = F.coalesce(*[F.when(F.col("source") == s.source, F.lit(s.upsample)) for s in specs], F.lit(1))
+    formatted = format_sources(docs, instruct, specs, **letters)
+    times = F.coalesce(*[F.when(F.col("source") == s.source, F.lit(s.upsample)) for s in specs])
     copies = upsample(formatted.select("source", "doc_id", "chunk_no"), times)
-    ids = ("source", "doc_id", "chunk_no", "copy_no")
-    order = mix(copies, seed, len(specs), buffer=buffer, ids=ids).select(*ids, "block", "rank")
+    order = mix(copies, seed, len(specs), buffer=buffer, ids=IDS).select(*IDS, "block", "rank")
     return order.join(formatted, ["source", "doc_id", "chunk_no"])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,8 +10,9 @@ from .. import fixed
 from ..functions.arrays import drop_unknown_ids
 from ..functions.predicates import not_blank
 from ..operators.encode import encode_bpe
-from ..operators.order import shuffle_docs
+from ..operators.order import prefix_sum, quantile_bucket, shuffle_docs
 from ..operators.sample import bernoulli_by_bytes, head_by_bytes
+from ..operators.tokens import split_at_eos
 from ..operators.vocab import build_vocab, characters, learn_bpe, word_counts
 from ..sources.tables import read_vocab, write_vocab
 from ..sources.text import read_text_lines
@@ -42,6 +44,20 @@ def encode_lines(lines: DataFrame, vocab: DataFrame, merges: DataFrame, pretok:
     return lines.filter(not_blank(F.col("line"))).select("file", "line_no", ids.alias("ids"))
 
 
+def cut_documents(encoded: DataFrame, eos_id: int = fixed.EOS_ID) -> DataFrame:
+    """Documents ``(doc_id, ids)`` from encoded lines: each end marker closes one, wherever
+    lines and files end. ``doc_id`` counts end markers, by running totals over line blocks."""
+    parts = split_at_eos(encoded, eos_id=eos_id).withColumn(
+        "__closed", (F.element_at("ids", -1) == eos_id).cast("int")
+    )
+    numbered = prefix_sum(
+        quantile_bucket(parts, "line_no"), ["line_no", "seq_no"], "__closed", by=["file"], then=[F.col("file")],
+        bucket="__bucket", out="doc_id",
+    )
+    pieces = F.array_sort(F.collect_list(F.struct("file", "line_no", "seq_no", "ids")))
+    return numbered.groupBy("doc_id").agg(F.flatten(F.transform(pieces, lambda x: x["ids"])).alias("ids"))
+
+
 def prepare_tokens(
     spark: SparkSession, source: str, work: str, *, seed: int, size: int = fixed.VOCAB_SIZE,
     eos_id: int = fixed.EOS_ID,
@@ -51,11 +67,11 @@ def prepare_tokens(
     lines = read_text_lines(spark, source)
     try:
         vocab, merges = read_vocab(spark, f"{work}/tokenizer")
-    except Exception as missing:  # AnalysisException: no such path
-        if "PATH_NOT_FOUND" not in str(missing):
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
             raise
         vocab, merges = train_tokenizer(lines, f"{work}/tokenizer", size=size)
-    write_token_shards(encode_lines(lines, vocab, merges), f"{work}/stream", order=["file", "line_no"])
-    docs = read_token_shards(spark, f"{work}/stream", eos_id).withColumn("doc", F.concat_ws(":", "shard", "start"))
-    write_token_shards(shuffle_docs(docs, seed, "doc"), f"{work}/shuffled")
+    encode_lines(lines, vocab, merges).write.mode("overwrite").parquet(f"{work}/lines")
+    docs = cut_documents(spark.read.parquet(f"{work}/lines"), eos_id)
+    write_token_shards(shuffle_docs(docs, seed), f"{work}/shuffled")
     return read_token_shards(spark, f"{work}/shuffled", eos_id)

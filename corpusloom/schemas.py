@@ -9,20 +9,24 @@ from pyspark.sql import types as T
 from . import fixed
 
 
-def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
-
-
-LINES = _schema("file string, line_no bigint, line string")
-DOCS = _schema("doc_id bigint, source string, text string")
-INSTRUCT = _schema("rec_id bigint, source string, instruction string, input string, output string")
-MIXED = _schema("source string, doc_id bigint, copy_no int, formatted string")
-VOCAB = _schema("id int, piece string, kind string")
-MERGES = _schema("rank int, left string, right string")
-TOKENS = _schema("doc_id bigint, ids array<int>")
-SHARD_DOCS = _schema("shard string, start bigint, ids array<int>")
-PACKED = _schema("epoch int, row_id bigint, batch_id bigint, input_ids array<int>, labels array<int>")
-TELEMETRY = _schema("run_id bigint, step bigint, ts timestamp, loss double, tokens bigint")
+IDS = T.ArrayType(T.IntegerType())
+
+
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+_TEXT, _LONG, _INT = T.StringType(), T.LongType(), T.IntegerType()
+LINES = _schema(file=_TEXT, line_no=_LONG, line=_TEXT)
+DOCS = _schema(doc_id=_LONG, source=_TEXT, text=_TEXT)
+INSTRUCT = _schema(rec_id=_LONG, source=_TEXT, instruction=_TEXT, input=_TEXT, output=_TEXT)
+MIXED = _schema(source=_TEXT, doc_id=_LONG, copy_no=_INT, formatted=_TEXT)
+VOCAB = _schema(id=_INT, piece=_TEXT, kind=_TEXT)
+MERGES = _schema(rank=_INT, left=_TEXT, right=_TEXT)
+TOKENS = _schema(doc_id=_LONG, ids=IDS)
+SHARD_DOCS = _schema(shard=_TEXT, start=_LONG, ids=IDS)
+PACKED = _schema(epoch=_INT, row_id=_LONG, batch_id=_LONG, input_ids=IDS, labels=IDS)
+TELEMETRY = _schema(run_id=_LONG, step=_LONG, ts=T.TimestampType(), loss=T.DoubleType(), tokens=_LONG)
 
 
 @dataclass(frozen=True)
