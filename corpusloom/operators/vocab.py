@@ -97,11 +97,11 @@ def pick_pairs(ranked: Sequence, complete: bool, exact: bool, room: int, known:
     it, and is not tied with one that does, is the very pair a one-by-one loop takes next.
     The bound fails after (a, a), whose product pairs with itself, and for a product that is
     ``known`` already and gains count. ``exact`` stops where the next pair is open; otherwise
-    such a pair is passed over.
+    such pairs are passed over, down to half the count of the first of them.
     """
-    taken, used = [], set()
+    taken, used, passed = [], set(), 0
     for row in ranked:
-        if len(taken) == room:
+        if len(taken) == room or 2 * row.cnt < passed:
             break
         tied = [r for r in ranked if r.cnt == row.cnt]
         at_end = not complete and row.cnt == ranked[-1].cnt
@@ -116,6 +116,8 @@ def pick_pairs(ranked: Sequence, complete: bool, exact: bool, room: int, known:
                 break
         elif exact:
             break
+        else:
+            passed = passed or row.cnt
     return taken
 
 
@@ -134,8 +136,9 @@ def learn_bpe(
 
     The loop works on the word-type table; the driver sees ``look`` pairs per round and adds
     their replacements to the table. ``exact`` gives the merges of a one-by-one loop and often
-    several per round. ``exact=False`` takes every pair of the round that shares no symbol
-    with a better one: some hundred per round, in an order that may differ slightly.
+    several per round. ``exact=False`` takes more per round, all that share no symbol with a
+    better one and are at least half as frequent as the first pair left for the next round;
+    ranks may then differ a little.
     """
     spark = counts.sparkSession
     ensure_checkpoint_dir(spark)

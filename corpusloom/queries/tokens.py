@@ -15,7 +15,7 @@ from . import query
 from .inputs import KNOWN, TOKENS, TOKENS_SQL, VOCAB, VOCAB_WORDS, WORDS, docs, sql_strip
 
 CLAMP = 500
-N_MERGES = 40
+N_MERGES = 20
 
 
 def vocab(spark, folder):
@@ -171,7 +171,30 @@ def tokenizer(spark, folder, n_merges=N_MERGES, exact=False):
     return merges, build_vocab(merges, characters(types), size=fixed.VOCAB_SIZE)
 
 
-@query("learn_bpe")
+def merges_sql(n: int) -> str:
+    """The one-by-one loop, unrolled: count pairs, take the best, replace it in all words."""
+    o, c = "chr(64976)", "chr(64977)"
+    steps = [
+        f"""t0 AS MATERIALIZED (SELECT regexp_replace('▁' || word, '(.)', {o} || '\\1' || {c}, 'gs') AS s,
+            count(*) AS n FROM words GROUP BY word)"""
+    ]
+    for k in range(n):
+        steps.append(
+            f"""b{k} AS MATERIALIZED (SELECT l, r FROM (SELECT p[j] AS l, p[j + 1] AS r, n FROM (
+                SELECT p, n, unnest(range(1, len(p))) AS j FROM (
+                    SELECT string_split(s[2:length(s) - 1], {c} || {o}) AS p, n FROM t{k})))
+                WHERE length(l) + length(r) <= 32
+                GROUP BY l, r HAVING sum(n) >= 2 ORDER BY sum(n) DESC, l, r LIMIT 1)"""
+        )
+        steps.append(
+            f"""t{k + 1} AS MATERIALIZED (SELECT replace(s, {o} || l || {c} || {o} || r || {c},
+                {o} || l || r || {c}) AS s, n FROM t{k}, b{k})"""
+        )
+    taken = " UNION ALL ".join(f'SELECT {k} AS rank, l AS "left", r AS "right" FROM b{k}' for k in range(n))
+    return f"WITH {WORDS}, {', '.join(steps)} {taken}"
+
+
+@query("learn_bpe", merges_sql(N_MERGES))
 def bpe_merges(spark, folder):
     return learn_bpe(word_counts(docs(spark, folder)), N_MERGES)
 
@@ -181,18 +204,6 @@ def bpe_merges_batched(spark, folder):
     return learn_bpe(word_counts(docs(spark, folder)), 400, exact=False)
 
 
-@query(
-    "first_merge",
-    f"""WITH {WORDS}, counts AS (SELECT '▁' || word AS word, count(*) AS n FROM words GROUP BY word),
-    pairs AS (SELECT word[k:k] AS l, word[k + 1:k + 1] AS r, n FROM (
-        SELECT word, n, unnest(range(1, length(word))) AS k FROM counts))
-    SELECT 0 AS rank, l AS "left", r AS "right" FROM pairs GROUP BY l, r HAVING sum(n) >= 2
-    ORDER BY sum(n) DESC, l, r LIMIT 1""",
-)
-def first_merge(spark, folder):
-    return learn_bpe(word_counts(docs(spark, folder)), 1)
-
-
 @query("build_vocab")
 def pieces(spark, folder):
     return tokenizer(spark, folder)[1]
