@@ -33,7 +33,13 @@ def py_strip(c: Column) -> Column:
 
 
 def sanitize_text(c: Column) -> Column:
-    return F.coalesce(py_strip(strip_markers(strip_role_headers(c))), F.lit(""))
+    """Headers, then markers, then outer white space. Null becomes empty text.
+
+    Every header and marker starts with ``<|``; text without it, nearly all text, skips the
+    nine passes.
+    """
+    bare = F.when(F.contains(c, F.lit("<|")), strip_markers(strip_role_headers(c))).otherwise(c)
+    return F.coalesce(py_strip(bare), F.lit(""))
 
 
 def drop_invalid_utf8(c: Column) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.predicates import not_blank
+from ..session import stage
 from .order import prefix_sum, quantile_bucket
 
 BLOCK_UNITS = 200_000
@@ -76,9 +77,11 @@ def chunk_paragraphs(
         F.array_join(F.transform(ordered, lambda x: x["line"]), "").alias("text"),
         F.max("blank").alias("ended"),
     )
-    sizes = units.select(
-        "file", "unit", F.length("text").cast("bigint").alias("chars"), "ended",
-        F.floor(F.col("unit") / block_units).cast("bigint").alias("block"),
+    sizes = stage(
+        units.select(
+            "file", "unit", F.length("text").cast("bigint").alias("chars"), "ended",
+            F.floor(F.col("unit") / block_units).cast("bigint").alias("block"),
+        )
     )
 
     def tabulate(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -114,7 +117,7 @@ def chunk_paragraphs(
         sizes.groupBy(*keys).cogroup(starts.groupBy(*keys))
         .applyInPandas(mark, "file string, unit bigint, block bigint, ends bigint")
     )
-    numbered = prefix_sum(ends, ["unit"], "ends", by=["file"], bucket="block", out="chunk_no").select(
+    numbered = prefix_sum(stage(ends), ["unit"], "ends", by=["file"], bucket="block", out="chunk_no").select(
         "file", "unit", "chunk_no", "ends"
     )
     # A blank line that does not end the chunk adds one newline to it.

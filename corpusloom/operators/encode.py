@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from .. import fixed
 from ..schemas import IDS
-from .vocab import collect_pieces, pad_specials
+from .vocab import collect_pieces, prepared, split_pretokens
 
 
 def _regroup(words: pa.Array, per_word: np.ndarray, flat: pa.Array) -> pa.Array:
@@ -30,7 +30,7 @@ def encode_words(text: Column, vocab: DataFrame, drop_unknown: bool = True) -> C
 
     @F.arrow_udf(IDS)
     def lookup(texts: pa.Array) -> pa.Array:
-        words = pc.utf8_split_whitespace(texts)
+        words = split_pretokens(texts, "word")
         flat = words.flatten()
         ids = pc.fill_null(pc.index_in(flat, value_set=pa.array(pieces, pa.string())), fixed.UNK_ID)
         keep = pc.not_equal(flat, "")
@@ -38,7 +38,7 @@ def encode_words(text: Column, vocab: DataFrame, drop_unknown: bool = True) -> C
             keep = pc.and_(keep, pc.not_equal(ids, fixed.UNK_ID))
         return _regroup(words, keep.to_numpy(zero_copy_only=False).astype(np.int64), ids.filter(keep))
 
-    return lookup(F.coalesce(pad_specials(text, specials[1:]), F.lit("")))
+    return lookup(prepared(text, "word", specials[1:]))
 
 
 def merge_symbols(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
@@ -97,15 +97,13 @@ def encode_bpe(text: Column, merges: DataFrame, vocab: DataFrame, pretok: str =
 
     @F.arrow_udf(IDS)
     def encode(texts: pa.Array) -> pa.Array:
-        words = pc.utf8_split_whitespace(texts) if pretok == "word" else pc.split_pattern(texts, "\n")
+        words = split_pretokens(texts, pretok)
         coded = words.flatten().dictionary_encode()
         lists = [ids_of(w) if w else [] for w in coded.dictionary.to_pylist()]
         per_word = pa.array(lists, pa.list_(pa.int32())).take(coded.indices)
         return _regroup(words, pc.list_value_length(per_word).to_numpy(zero_copy_only=False), per_word.flatten())
 
-    # Id 0 only ever names the unknown piece in the word layout; the line layout starts with a special.
-    parts = F.replace(F.coalesce(text, F.lit("")), F.lit("\r\n"), F.lit("\n"))
-    return encode(pad_specials(parts, specials, pretok))
+    return encode(prepared(text, pretok, specials))
 
 
 def decode_words(ids: Column, vocab: DataFrame, skip_special: bool = False) -> Column:

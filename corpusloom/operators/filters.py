@@ -11,7 +11,7 @@ def drop_empty_formatted(df: DataFrame, column: str = "formatted") -> DataFrame:
 
 
 def drop_nulls(df: DataFrame, column: str = "text") -> DataFrame:
-    return df.na.drop(subset=[column])
+    return df.filter(F.col(column).isNotNull())
 
 
 def quarantine(df: DataFrame, rules: dict[str, Column]) -> DataFrame:

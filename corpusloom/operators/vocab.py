@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import fixed
 from ..session import ensure_checkpoint_dir
@@ -14,7 +17,8 @@ from .sample import top_k
 # A symbol string writes each symbol between these noncharacters, which Unicode keeps out of
 # text exchange, so that merging a pair is one plain string replacement.
 OPEN, CLOSE = "\ufdd0", "\ufdd1"
-MERGES_PER_CHECKPOINT = 12
+ROUNDS_PER_CHECKPOINT = 20
+WORDS = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
 
 
 def pad_specials(c: Column, specials: Sequence[str], pretok: str = "word") -> Column:
@@ -25,20 +29,36 @@ def pad_specials(c: Column, specials: Sequence[str], pretok: str = "word") -> Co
     return c
 
 
-def pretokens(c: Column, pretok: str = "word", specials: Sequence[str] = ()) -> Column:
-    """Units inside which pieces form: words between white space, or whole lines."""
-    pattern = fixed.WHITESPACE_CLASS + "+" if pretok == "word" else "\r?\n"
-    return F.filter(F.split(pad_specials(c, specials, pretok), pattern), lambda x: x != "")
+def split_pretokens(texts: pa.Array, pretok: str) -> pa.Array:
+    """Units inside which pieces form, a list per text: words between white space, or whole
+    lines. Lists may hold empty strings, which name no unit."""
+    return pc.utf8_split_whitespace(texts) if pretok == "word" else pc.split_pattern(texts, "\n")
+
+
+def prepared(c: Column, pretok: str, specials: Sequence[str]) -> Column:
+    """Text ready for ``split_pretokens``."""
+    return pad_specials(F.replace(F.coalesce(c, F.lit("")), F.lit("\r\n"), F.lit("\n")), specials, pretok)
 
 
 def word_counts(
     df: DataFrame, text: str = "text", pretok: str = "word", specials: Sequence[str] = ()
 ) -> DataFrame:
-    """``(word, n)``: the one pass over the corpus; counts combine before the shuffle."""
-    words = df.select(F.explode(pretokens(F.col(text), pretok, specials)).alias("word"))
-    if specials:
-        words = words.filter(~F.col("word").isin(list(specials)))
-    return words.groupBy("word").agg(F.count("*").alias("n"))
+    """``(word, n)``: the one pass over the corpus.
+
+    Each Arrow batch is split and counted as a whole, so that what reaches the shuffle is one
+    row per word and batch, further combined per task.
+    """
+    outside = pa.array(["", *specials], pa.string())
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counted = split_pretokens(batch.column(0), pretok).flatten().value_counts()
+            words, n = counted.field("values"), counted.field("counts")
+            keep = pc.invert(pc.is_in(words, value_set=outside))
+            yield pa.RecordBatch.from_arrays([words.filter(keep), n.filter(keep)], names=["word", "n"])
+
+    texts = df.select(prepared(F.col(text), pretok, specials).alias("text"))
+    return texts.mapInArrow(count, WORDS).groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def word_vocab(
@@ -144,10 +164,11 @@ def learn_bpe(
     ensure_checkpoint_dir(spark)
     width = 1 if pretok == "word" else 2
     clean = counts.filter(~F.col("word").rlike(f"[{OPEN}{CLOSE}]"))
-    types = clean.select(_symbols(F.col("word"), pretok).alias("syms"), "n").checkpoint()
+    types = clean.select(_symbols(F.col("word"), pretok).alias("syms"), "n").checkpoint().persist()
     merges: list[tuple[int, str, str]] = []
     known: set[str] = set()
-    pending = 0
+    since = 0
+    stale = None
     while len(merges) < n_merges:
         best = (
             _pair_counts(types)
@@ -156,6 +177,8 @@ def learn_bpe(
             .limit(look)
             .collect()
         )
+        if stale is not None:
+            stale.unpersist()  # the pass above has filled the cache of its successor
         round_pairs = pick_pairs(best, len(best) < look, exact, n_merges - len(merges), known)
         if not round_pairs:
             break
@@ -165,10 +188,12 @@ def learn_bpe(
             syms = F.replace(syms, F.lit(apart), F.lit(f"{OPEN}{pair.left}{pair.right}{CLOSE}"))
             merges.append((len(merges), pair.left, pair.right))
             known.add(pair.left + pair.right)
-        types = types.select(syms.alias("syms"), "n")
-        pending += len(round_pairs)
-        if pending >= MERGES_PER_CHECKPOINT:
-            types, pending = types.checkpoint(), 0
+        stale, types = types, types.select(syms.alias("syms"), "n")
+        since += 1
+        if since == ROUNDS_PER_CHECKPOINT:
+            types, since = types.checkpoint(), 0  # a lost cache block is rebuilt from here
+        types = types.persist()
+    types.unpersist()
     return spark.createDataFrame(merges, "rank int, left string, right string")
 
 

@@ -16,6 +16,7 @@ from ..operators.chunk import chunk_docs
 from ..operators.mix import mix, union_sources
 from ..operators.sample import cap_per_source, upsample
 from ..schemas import SourceSpec
+from ..session import stage
 
 IDS = ("source", "doc_id", "chunk_no", "copy_no")
 
@@ -86,6 +87,6 @@ def build_corpus(
     """
     formatted = format_sources(docs, instruct, specs, **letters)
     times = F.coalesce(*[F.when(F.col("source") == s.source, F.lit(s.upsample)) for s in specs])
-    copies = upsample(formatted.select("source", "doc_id", "chunk_no"), times)
+    copies = upsample(stage(formatted.select("source", "doc_id", "chunk_no")), times)
     order = mix(copies, seed, len(specs), buffer=buffer, ids=IDS).select(*IDS, "block", "rank")
     return order.join(formatted, ["source", "doc_id", "chunk_no"])

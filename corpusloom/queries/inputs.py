@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..operators.order import prefix_sum, quantile_bucket
+from ..sources.tables import spread_small
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,7 +18,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", "source", "text")
+    rows = table(spark, folder, "documents").select("doc_id", "source", "text")
+    return spread_small(rows, f"{folder}/documents.parquet", "doc_id")
 
 
 # --- documents with markers, by doc_id --------------------------------------

@@ -226,7 +226,7 @@ def prepared(spark, folder):
     work = scratch_dir(spark, "prepare")
     text = F.concat(F.lit("<s>"), F.col("text"), F.lit("</s>"))
     docs(spark, folder).select(text.alias("value")).write.text(f"{work}/text")
-    stored = prepare_tokens(spark, f"{work}/text", f"{work}/out", seed=51, size=700)
+    stored = prepare_tokens(spark, f"{work}/text", f"{work}/out", seed=51, size=420)
     return stored.select("shard", "start", listed(F.col("ids")).alias("ids"))
 
 

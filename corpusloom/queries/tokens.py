@@ -201,7 +201,7 @@ def bpe_merges(spark, folder):
 
 @query("learn_bpe_batched")
 def bpe_merges_batched(spark, folder):
-    return learn_bpe(word_counts(docs(spark, folder)), 400, exact=False)
+    return learn_bpe(word_counts(docs(spark, folder)), 120, exact=False)
 
 
 @query("build_vocab")

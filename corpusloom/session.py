@@ -6,7 +6,7 @@ import math
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -31,6 +31,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(scratch_dir(spark, "checkpoints"))
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """Write an intermediate table to the checkpoint folder and go on from there.
+
+    For narrow tables (ids, sizes) that several later steps read: they are computed once, and
+    a lost executor costs nothing but a read.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

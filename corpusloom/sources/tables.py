@@ -6,14 +6,29 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shuffle_partitions
 from .text import skip_unreadable
 
 
 def read_docs_parquet(spark: SparkSession, path: str, text: str = "text") -> DataFrame:
     """``(file, text)`` of every readable Parquet file; one column is read, nulls are dropped."""
-    reader = skip_unreadable(spark.read).option("pathGlobFilter", "*.parquet")
+    # The layout is given, so that a broken file cannot spoil its inference.
+    layout = T.StructType([T.StructField(text, T.StringType())])
+    reader = skip_unreadable(spark.read).schema(layout).option("pathGlobFilter", "*.parquet")
     rows = reader.parquet(path).select(F.col("_metadata.file_path").alias("file"), F.col(text).alias("text"))
-    return rows.na.drop(subset=["text"])
+    return rows.filter(F.col("text").isNotNull())  # reaches the scan, where na.drop does not
+
+
+def spread_small(df: DataFrame, path: str, key: str, limit: int = 1 << 28) -> DataFrame:
+    """Spread a small table over the tasks of a shuffle; leave a large one as it is.
+
+    A small file is often one row group and so one task, whatever the number of cores. Above
+    ``limit`` bytes the files give tasks enough and nothing is moved.
+    """
+    files = df.sparkSession.read.format("binaryFile").load(path).select("length")  # lists, reads nothing
+    if files.agg(F.sum("length")).first()[0] > limit:
+        return df
+    return df.repartition(shuffle_partitions(df.sparkSession), key)
 
 
 def instruct_source(df: DataFrame, source: str, rec_id: str = "rec_id") -> DataFrame:

@@ -34,7 +34,7 @@ def read_text_lines(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("__size"),
         F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__nth"),
         F.octet_length("value").cast("bigint").alias("__bytes"), F.col("value").endswith("\r").alias("__cr"),
-        F.split(drop_invalid_utf8(F.regexp_replace("value", "\r$", "")), "\r").alias("__lines"),
+        F.split(F.regexp_replace(drop_invalid_utf8(F.col("value")), r"\r\z", ""), "\r").alias("__lines"),
     )
     laid = prefix_sum(
         raw, ["__nth"], {"__offset": F.col("__bytes") + 1, "__before": F.size("__lines")},

@@ -90,6 +90,8 @@ class TokenReader(DataSourceReader):
         ]
 
     def read(self, partition):
+        if partition is None:  # Spark's stand-in when a folder holds no shard
+            return
         where, _ = _open_fs(self.path)
         size = where.get_file_info(partition.path).size // 2
         name = partition.path.rsplit("/", 1)[-1]
