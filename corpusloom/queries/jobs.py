@@ -24,7 +24,7 @@ from .inputs import (
 )
 from .order import GAP_UNITS
 from .packing import shown
-from .tokens import listed, token_docs, tokenizer
+from .tokens import BPE, listed, token_docs, tokenizer
 
 KINDS = {
     "book": ["src0", "src1", "src2", "src3"],
@@ -230,7 +230,13 @@ def prepared(spark, folder):
     return stored.select("shard", "start", listed(F.col("ids")).alias("ids"))
 
 
-@query("inspect_tokens")
+@query(
+    "inspect_tokens",
+    f"""WITH {BPE}, flat AS (SELECT doc_id, id, piece, row_number() OVER (ORDER BY doc_id, i, j) - 1 AS pos FROM coded)
+    SELECT doc_id, min(pos) AS start, string_agg(id::VARCHAR, ' ' ORDER BY pos) AS ids,
+        regexp_replace(replace(string_agg(piece, '' ORDER BY pos), '▁', ' '), '^ ', '') AS text FROM flat
+    WHERE pos >= 5000 AND pos < 5500 GROUP BY doc_id""",
+)
 def inspected(spark, folder):
     """A stretch of the piece stream with its text."""
     merges, vocab = tokenizer(spark, folder)

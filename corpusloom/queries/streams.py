@@ -10,9 +10,9 @@ from ..streaming.streams import (
     append_files, run_available, stream_buffer_shuffle, stream_cap, stream_clean, stream_encode, stream_rate,
     stream_totals, write_totals,
 )
-from . import query
+from . import ORACLES, query
 from .inputs import sql_pretrain, table
-from .tokens import listed, tokenizer
+from .tokens import listed, tokenizer  # registers encode_bpe, whose SQL checks the stream as well
 
 
 def doc_stream(spark, folder):
@@ -82,7 +82,7 @@ def rates(spark, folder):
     )
 
 
-@query("stream_encode")
+@query("stream_encode", ORACLES["encode_bpe"])
 def encoded(spark, folder):
     path = scratch_dir(spark, "ids")
     merges, vocab = tokenizer(spark, folder)

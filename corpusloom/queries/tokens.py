@@ -11,8 +11,9 @@ from ..operators.order import prefix_sum, quantile_bucket
 from ..operators.sample import top_k
 from ..operators.tokens import flatten_tokens, number_flat_sequences, peek_tokens, split_at_eos
 from ..operators.vocab import build_vocab, characters, learn_bpe, word_counts, word_vocab
+from ..session import stage
 from . import query
-from .inputs import KNOWN, TOKENS, TOKENS_SQL, VOCAB, VOCAB_WORDS, WORDS, docs, sql_strip
+from .inputs import TOKENS, TOKENS_SQL, VOCAB, VOCAB_WORDS, WORDS, docs, sql_strip
 
 CLAMP = 500
 N_MERGES = 20
@@ -165,17 +166,17 @@ def roundtrip(spark, folder):
 
 
 # --- byte-pair encoding ------------------------------------------------------------
-def tokenizer(spark, folder, n_merges=N_MERGES, exact=False):
-    types = word_counts(docs(spark, folder)).persist()
-    merges = learn_bpe(types, n_merges, exact=exact).persist()
-    return merges, build_vocab(merges, characters(types), size=fixed.VOCAB_SIZE)
+def tokenizer(spark, folder):
+    types = stage(word_counts(docs(spark, folder)))
+    merges = learn_bpe(types, N_MERGES)
+    return merges, build_vocab(merges, characters(types))
 
 
-def merges_sql(n: int) -> str:
+def merge_steps(n: int) -> str:
     """The one-by-one loop, unrolled: count pairs, take the best, replace it in all words."""
     o, c = "chr(64976)", "chr(64977)"
     steps = [
-        f"""t0 AS MATERIALIZED (SELECT regexp_replace('▁' || word, '(.)', {o} || '\\1' || {c}, 'gs') AS s,
+        f"""t0 AS MATERIALIZED (SELECT word, regexp_replace('▁' || word, '(.)', {o} || '\\1' || {c}, 'gs') AS s,
             count(*) AS n FROM words GROUP BY word)"""
     ]
     for k in range(n):
@@ -187,14 +188,34 @@ def merges_sql(n: int) -> str:
                 GROUP BY l, r HAVING sum(n) >= 2 ORDER BY sum(n) DESC, l, r LIMIT 1)"""
         )
         steps.append(
-            f"""t{k + 1} AS MATERIALIZED (SELECT replace(s, {o} || l || {c} || {o} || r || {c},
+            f"""t{k + 1} AS MATERIALIZED (SELECT word, replace(s, {o} || l || {c} || {o} || r || {c},
                 {o} || l || r || {c}) AS s, n FROM t{k}, b{k})"""
         )
     taken = " UNION ALL ".join(f'SELECT {k} AS rank, l AS "left", r AS "right" FROM b{k}' for k in range(n))
-    return f"WITH {WORDS}, {', '.join(steps)} {taken}"
+    return f"{WORDS}, {', '.join(steps)}, merges AS MATERIALIZED ({taken})"
 
 
-@query("learn_bpe", merges_sql(N_MERGES))
+def symbols_sql(step: str) -> str:
+    return f"string_split(s[2:length(s) - 1], chr(64977) || chr(64976)) FROM {step}"
+
+
+# Specials, byte pieces, merged pieces, then characters by count.
+PIECES = f"""specials AS (SELECT unnest(range({len(fixed.WORD_SPECIALS)})) AS id, unnest({fixed.WORD_SPECIALS!r}) AS piece),
+chars AS (SELECT piece, sum(n) AS n FROM (SELECT n, unnest(p) AS piece FROM (SELECT n, {symbols_sql('t0').replace(' FROM', ' AS p FROM')}))
+    GROUP BY piece),
+pieces AS MATERIALIZED (
+    SELECT id, piece, 'special' AS kind FROM specials
+    UNION ALL SELECT {len(fixed.WORD_SPECIALS)} + b, printf('<0x%02X>', b), 'byte' FROM range(256) t(b)
+    UNION ALL SELECT {len(fixed.WORD_SPECIALS) + 256} + rank, "left" || "right", 'merge' FROM merges
+    UNION ALL SELECT {len(fixed.WORD_SPECIALS) + 255} + (SELECT count(*) FROM merges)
+        + row_number() OVER (ORDER BY n DESC, piece), piece, 'char' FROM chars)"""
+CODED = f"""parts AS (SELECT word, unnest(p) AS piece, generate_subscripts(p, 1) AS j FROM (
+    SELECT word, {symbols_sql(f't{N_MERGES}').replace(' FROM', ' AS p FROM')})),
+coded AS MATERIALIZED (SELECT doc_id, i, j, id, piece FROM words JOIN parts USING (word) JOIN pieces USING (piece))"""
+BPE = f"{merge_steps(N_MERGES)}, {PIECES}, {CODED}"
+
+
+@query("learn_bpe", f"WITH {merge_steps(N_MERGES)} SELECT * FROM merges")
 def bpe_merges(spark, folder):
     return learn_bpe(word_counts(docs(spark, folder)), N_MERGES)
 
@@ -204,12 +225,12 @@ def bpe_merges_batched(spark, folder):
     return learn_bpe(word_counts(docs(spark, folder)), 120, exact=False)
 
 
-@query("build_vocab")
+@query("build_vocab", f"WITH {merge_steps(N_MERGES)}, {PIECES} SELECT id::BIGINT AS id, piece, kind FROM pieces")
 def pieces(spark, folder):
-    return tokenizer(spark, folder)[1]
+    return tokenizer(spark, folder)[1].withColumn("id", F.col("id").cast("bigint"))
 
 
-@query("encode_bpe")
+@query("encode_bpe", f"WITH {BPE} SELECT doc_id, string_agg(id::VARCHAR, ' ' ORDER BY i, j) AS ids FROM coded GROUP BY doc_id")
 def bpe_ids(spark, folder):
     merges, ids = tokenizer(spark, folder)
     return docs(spark, folder).select("doc_id", listed(encode_bpe(F.col("text"), merges, ids)).alias("ids"))
@@ -228,8 +249,8 @@ def bpe_roundtrip(spark, folder):
 @query("bpe_lines_roundtrip", "SELECT doc_id, replace(text, chr(10), '') AS text FROM documents")
 def line_roundtrip(spark, folder):
     """The line layout keeps every byte of a line; only newlines give no token."""
-    types = word_counts(docs(spark, folder), pretok="line").persist()
-    merges = learn_bpe(types, 20, pretok="line", exact=False).persist()
+    types = stage(word_counts(docs(spark, folder), pretok="line"))
+    merges = learn_bpe(types, 20, pretok="line", exact=False)
     ids = build_vocab(merges, characters(types, "line"), "line")
     coded = docs(spark, folder).select("doc_id", encode_bpe(F.col("text"), merges, ids, "line").alias("ids"))
     return coded.select("doc_id", decode_bpe(F.col("ids"), ids, "line").alias("text"))

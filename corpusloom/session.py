@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import tempfile
 import uuid
@@ -9,6 +10,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _local_base() -> str:
+    return tempfile.mkdtemp(prefix="corpusloom-")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
@@ -20,8 +26,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="corpusloom-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_base()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
