@@ -50,11 +50,6 @@ def chunk_docs(df: DataFrame, text: str = "text", min_chars: int = fixed.MIN_TEX
     return df.select(*rest, F.posexplode(chunk_text(F.col(text), min_chars)).alias("chunk_no", "chunk"))
 
 
-def _through(gathered, chars, limit: int):
-    """State after a paragraph of ``chars`` characters and the blank line that ends it."""
-    return np.where(gathered + chars > limit, 0, gathered + chars + 1)
-
-
 def chunk_paragraphs(
     lines: DataFrame, min_chars: int = fixed.MIN_TEXT_CHARS, block_units: int = BLOCK_UNITS
 ) -> DataFrame:
@@ -73,22 +68,22 @@ def chunk_paragraphs(
         quantile_bucket(rows, "line_no"), ["line_no"], "blank", by=["file"], bucket="__bucket", out="unit"
     )
     ordered = F.array_sort(F.collect_list(F.when(F.col("blank") == 0, F.struct("line_no", "line"))))
-    units = unit.groupBy("file", "unit").agg(
-        F.array_join(F.transform(ordered, lambda x: x["line"]), "").alias("text"),
-        F.max("blank").alias("ended"),
-    )
-    sizes = stage(
-        units.select(
-            "file", "unit", F.length("text").cast("bigint").alias("chars"), "ended",
-            F.floor(F.col("unit") / block_units).cast("bigint").alias("block"),
+    text = F.array_join(F.transform(ordered, lambda x: x["line"]), "")
+    units = stage(
+        unit.groupBy("file", "unit").agg(text.alias("text"), F.max("blank").alias("ended")).withColumns(
+            {
+                "chars": F.length("text").cast("bigint"),
+                "block": F.floor(F.col("unit") / block_units).cast("bigint"),
+            }
         )
     )
+    sizes = units.select("file", "unit", "chars", "ended", "block")
 
     def tabulate(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("unit")
         state = np.arange(min_chars + 2)
-        for chars in pdf["chars"].to_numpy():
-            state = _through(state, chars, min_chars)
+        for chars in pdf["chars"].tolist():
+            state = np.where(state + chars > min_chars, 0, state + chars + 1)
         return pd.DataFrame({"file": pdf["file"].iloc[:1], "block": pdf["block"].iloc[:1], "leads_to": [state.tolist()]})
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:

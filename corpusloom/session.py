@@ -39,11 +39,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 def stage(df: DataFrame) -> DataFrame:
     """Write an intermediate table to the checkpoint folder and go on from there.
 
-    For narrow tables (ids, sizes) that several later steps read: they are computed once, and
-    a lost executor costs nothing but a read.
+    For tables that several later steps read: they are computed once, each reader takes only the
+    columns it needs, and a lost executor costs no more than reading again.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    path = scratch_dir(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
