@@ -265,3 +265,18 @@ def test_ranges_of_a_token_file(tokens, step, chunk):
         tokenbin.CHUNK_BYTES = before
     assert [d for _, d in got] == docs
     assert [s for s, _ in got] == list(np.cumsum([0] + [len(d) for d in docs])[:-1])
+
+
+def test_batched_merges_encode_and_decode(spark):
+    """The batched order may differ, but it starts with the best pair and gives usable merges."""
+    draw = random.Random(12)
+    words = ["".join(draw.choice("abcdefgh") for _ in range(draw.randint(1, 7))) for _ in range(200)]
+    df = spark.createDataFrame([(" ".join(words),)], "text string")
+    counts = word_counts(df)
+    merges = learn_bpe(counts, 30, exact=False)
+    got = [(r.left, r.right) for r in merges.orderBy("rank").collect()]
+    assert len(got) == len(set(got)) == 30 and got[0] == one_by_one(Counter(words), 1)[0]
+    vocab = build_vocab(merges, characters(counts))
+    coded = df.select(encode_bpe(F.col("text"), merges, vocab).alias("ids"))
+    assert coded.select(decode_bpe(F.col("ids"), vocab)).first()[0] == " ".join(words)
+    assert len(coded.first().ids) < sum(len(w) + 1 for w in words)
