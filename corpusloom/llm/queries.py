@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import packing, token_codes
-from .tables import table
+from . import (
+    decontaminate, language_mix, license_scan, line_dedup, line_rules, packing, quality_gam, shards, simhash,
+    token_codes,
+)
+from .tables import in_learning_part, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +30,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents")).drop("matches")
+
+
+@query
+def op2_spaced_seeds(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op3_token_codes(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_dir(spark, "token-files")
@@ -37,3 +50,51 @@ def op3_token_codes(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op5_tree_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), 1, with_ids=False)
+
+
+@query
+def op6_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return line_rules.clean_lines(table(spark, folder, "documents")).drop("clean_text")
+
+
+@query
+def op7_hypergeometric_shards(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = table(spark, folder, "documents").select(
+        "doc_id", (F.octet_length(text) + 8).cast("bigint").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    )
+    placed = shards.shuffle_into_shards(rows, 24, keys=["doc_id", "size", "text_crc32"])
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op8_line_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    done = line_dedup.deduplicate(table(spark, folder, "documents"))
+    return done.select(
+        "doc_id", F.size("removed_lines").cast("bigint").alias("n_removed"),
+        F.array_join("removed_lines", ",").alias("removed"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+
+
+@query
+def op4_pairwise_gam(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_gam.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op9_ball_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    digits = F.lpad(F.lower(F.hex("print")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query
+def op10_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language_mix.learn(docs.filter(in_learning_part()))
+    held_out = F.coalesce(~in_learning_part(), F.lit(False)).alias("held_out")
+    return language_mix.identify(docs, model).select("doc_id", held_out, "lang_pred", "score")
