@@ -1,10 +1,10 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-A leak is a stretch of ``WINDOW`` consecutive words of a benchmark item (or the whole item, if shorter) of which at
-least ``SIMILARITY`` stand in a document at the same distance from each other. Words may be replaced, so the
+A leak is a whole benchmark item, or a stretch of ``WINDOW`` consecutive words of one, of which at least
+``SIMILARITY`` stand in a document at the same distance from each other. Words may be replaced, so the
 seeds are masks over five positions with one left out, or over four in a row: any five aligned words with at
-most one difference match one of the four masks, and a stretch at 0.8 always holds five such words. No leak
-can be missed.
+most one difference match one of the four masks, and a stretch at 0.8 always holds five such words (or four words
+without a difference). No leak can be missed.
 
 Seeds of items and documents are joined by hash. A hit that only continues its neighbour (the word before it, or the
 left-out word, agrees too) is not made, so a copied passage has one hit, however long, and each replaced word adds
@@ -47,7 +47,7 @@ def leaks(
     item_text_col: str = "text", window: int = WINDOW, similarity: float = SIMILARITY,
 ) -> DataFrame:
     """One row per document and benchmark item it leaks: ``doc_id``, ``item_id``, ``item_words``, ``same_words`` (most
-    equal words at one shift) and ``best_window`` (share of equal words in the best stretch there).
+    equal words at one shift) and ``best_window`` (share of equal words in the best stretch, or in the whole item).
 
     Words are lower-case letters, digits and everything beyond ASCII. Null and empty texts leak nothing, and items of
     fewer than four words cannot be told from chance and are never leaked. Rows with the same id are one document or
@@ -79,7 +79,7 @@ def leaks(
     )
     judged = compared.select(
         "doc_id", "item_id", "n", F.size(F.filter("same", lambda x: x)).alias("same_words"),
-        F.array_max(ends).alias("best_window"),
+        F.greatest(F.array_max(ends), F.size(F.filter("same", lambda x: x)) / F.col("n")).alias("best_window"),
     ).filter(F.col("best_window") >= similarity)
     return judged.groupBy("doc_id", "item_id").agg(
         F.max("n").cast("bigint").alias("item_words"), F.max("same_words").cast("bigint").alias("same_words"),
