@@ -183,15 +183,20 @@ def epoch_key(seed: int, id_col: str, reshuffle: bool = True) -> Column:
 
 
 def cluster_grid(
-    df: DataFrame, n_tokens: Column | str, order: str = "doc_id", limit_bytes: int = fixed.CLUSTER_BYTES
+    df: DataFrame, n_tokens: Column | str, order: str | Sequence[str] = "doc_id",
+    limit_bytes: int = fixed.CLUSTER_BYTES, total: str | None = None,
 ) -> DataFrame:
     """Cluster number of consecutive documents on a fixed byte grid (2 bytes per token).
 
     A document belongs to the grid cell it starts in. Against the greedy rule the overshoot of
-    a cluster is not carried on, and nothing has to be scanned in sequence.
+    a cluster is not carried on, and nothing has to be scanned in sequence. ``order`` is one
+    numeric column, or files and a numeric place in them.
     """
     tokens = F.col(n_tokens) if isinstance(n_tokens, str) else n_tokens
-    laid = running(df, order, tokens * 2, out="bytes_before")
+    *files, last = [order] if isinstance(order, str) else order
+    laid = running(
+        df, last, tokens * 2, out="bytes_before", by=files, then=[F.col(c) for c in files] or None, total=total
+    )
     return laid.withColumn("cluster", F.floor(F.col("bytes_before") / limit_bytes).cast("bigint"))
 
 

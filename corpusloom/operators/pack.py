@@ -2,28 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import shift_inputs, shift_labels
 from ..functions.keys import order_key
+from ..session import stage
 from .order import epochs, hex_bucket, prefix_sum, quantile_bucket
 
 
-def lay_out(df: DataFrame, order: str = "doc_id", ids: str = "ids", seed: int | None = None) -> DataFrame:
-    """Add each document's place in the stream, in ``order`` or, with a seed, shuffled.
+def token_table(
+    df: DataFrame, order: str | Sequence[str], ids: str = "ids"
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The documents written once: ``(order…, n_tokens)`` for all work on the order, ``(order…, ids)`` to be joined
+    when places are known, and the names that the order has in both. Nothing is encoded twice.
 
-    Adds ``start`` and ``end`` in tokens, and the bounds ``first``/``limit`` of the bucket the
-    document was ranked in; the rows stay partitioned by ``bucket``.
+    The order is one unique column, or files and a unique place in them, as ``("shard", "start")``.
     """
-    sized = df.withColumn("__n", F.size(ids))
+    columns = [order] if isinstance(order, str) else list(order)
+    names = [f"__o{i}" for i in range(len(columns))]
+    keys = [F.col(c).alias(n) for c, n in zip(columns, names)]
+    stored = stage(df.select(*keys, F.col(ids).alias("ids"), F.size(ids).alias("n_tokens")))
+    return stored.select(*names, "n_tokens"), stored.select(*names, "ids"), names
+
+
+def lay_out(sizes: DataFrame, order: Sequence[str], seed: int | None = None, total: str | None = None) -> DataFrame:
+    """Add each document's place ``start`` … ``end`` in the stream, in ``order`` or, with a seed, shuffled."""
     if seed is None:
-        cut, keys = quantile_bucket(sized, order).withColumnRenamed("__bucket", "bucket"), [order]
+        files = list(order[:-1])
+        laid = prefix_sum(
+            quantile_bucket(sizes, order[-1]), [order[-1]], "n_tokens", bucket="__bucket", out="start", total=total,
+            by=files, then=[F.col(c) for c in files] or None,
+        ).drop("__bucket")
     else:
-        cut = sized.withColumn("key", order_key(seed, order))
-        cut, keys = cut.withColumn("bucket", hex_bucket(cut, "key")), ["key", order]
-    laid = prefix_sum(cut, keys, "__n", bucket="bucket", out="start")
-    return laid.withColumn("end", F.col("start") + F.col("__n")).drop("__n")
+        keyed = sizes.withColumn("key", order_key(seed, *order))
+        laid = prefix_sum(
+            keyed, ["key", *order], "n_tokens", bucket=hex_bucket(keyed, "key"), out="start", total=total
+        ).drop("key")
+    return laid.withColumn("end", F.col("start") + F.col("n_tokens")).drop("n_tokens")
 
 
 def _pieces(laid: DataFrame, length: int, period: int, keep: int, ids: str, by: list[str]) -> DataFrame:
@@ -59,18 +77,20 @@ def _pieces(laid: DataFrame, length: int, period: int, keep: int, ids: str, by:
 
 
 def pack_stream(
-    laid: DataFrame, length: int, *, period: int | None = None, keep: int | None = None, ids: str = "ids",
-    by: tuple[str, ...] = (),
+    laid: DataFrame, tokens: DataFrame, order: Sequence[str], length: int, *, period: int | None = None,
+    keep: int | None = None,
 ) -> DataFrame:
-    """Rows of exactly ``length`` tokens from documents with ``start`` and ``end``.
+    """Rows ``(row_id, tokens)`` of exactly ``length`` tokens from places ``start`` … ``end`` of documents.
 
-    Documents are cut where rows end and each row puts its few pieces together: one shuffle of
-    the tokens, and no row per token. The unfinished last row is left out.
+    The ids join the places once. Documents are cut where rows end and each row puts its few pieces together: one
+    shuffle of the tokens, and no row per token. The unfinished last row is left out. Where places have an
+    ``epoch``, a row gets the epoch it starts in.
     """
     period, keep = period or length, keep or length
-    pieces = _pieces(laid, length, period, keep, ids, list(by))
+    epoch = ["epoch"] if "epoch" in laid.columns else []
+    pieces = _pieces(laid.join(tokens, list(order)), length, period, keep, "ids", epoch)
     joined = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "piece"))), lambda x: x["piece"]))
-    rows = pieces.groupBy(*by, "row_id").agg(joined.alias("tokens"))
+    rows = pieces.groupBy("row_id").agg(joined.alias("tokens"), *[F.min("epoch").alias("epoch") for _ in epoch])
     return rows.filter(F.size("tokens") == length)
 
 
@@ -84,7 +104,7 @@ def with_labels(rows: DataFrame, batch_size: int) -> DataFrame:
 
 
 def pack_rows(
-    df: DataFrame, ctx: int, batch_size: int = 1, *, seed: int | None = None, order: str = "doc_id",
+    df: DataFrame, ctx: int, batch_size: int = 1, *, seed: int | None = None, order: str | Sequence[str] = "doc_id",
     discard_per_batch: bool = False,
 ) -> DataFrame:
     """Pack documents to rows of ``ctx + 1`` tokens: ``(row_id, batch_id, input_ids, labels)``.
@@ -93,35 +113,59 @@ def pack_rows(
     training loop does.
     """
     length = ctx + 1
-    laid = lay_out(df, order, seed=seed)
+    sizes, tokens, order = token_table(df, order)
+    laid = lay_out(sizes, order, seed)
     if discard_per_batch:
-        rows = pack_stream(laid, length, period=batch_size * (ctx + 2), keep=batch_size * length)
+        rows = pack_stream(laid, tokens, order, length, period=batch_size * (ctx + 2), keep=batch_size * length)
     else:
-        rows = pack_stream(laid, length)
+        rows = pack_stream(laid, tokens, order, length)
     return with_labels(rows, batch_size)
 
 
-def pack_linear(df: DataFrame, ctx: int, batch_size: int, order: str = "doc_id") -> DataFrame:
-    """File order, whole batches only; the tail shorter than one batch is dropped."""
+def pack_linear(
+    df: DataFrame, ctx: int, batch_size: int, order: str | Sequence[str] = "doc_id", n_batches: int | None = None
+) -> DataFrame:
+    """File order, whole batches only; the tail shorter than one batch is dropped.
+
+    ``n_batches``: so many batches; past the last whole batch the stream starts again at its first token.
+    """
     length = ctx + 1
-    laid = prefix_sum(
-        quantile_bucket(df.withColumn("__n", F.size("ids")), order), [order], "__n",
-        bucket="__bucket", out="start", total="__total",
-    )
-    laid = laid.withColumn("end", F.col("start") + F.col("__n"))
-    usable = F.floor(F.col("__total") / (batch_size * length)) * (batch_size * length)
-    laid = laid.withColumn("end", F.least("end", usable)).drop("__n", "__total", "__bucket")
-    return with_labels(pack_stream(laid, length), batch_size)
+    sizes, tokens, order = token_table(df, order)
+    laid = lay_out(sizes, order, total="__total")
+    batch = batch_size * length
+    usable = F.floor(F.col("__total") / batch) * batch
+    rows = pack_stream(laid.withColumn("end", F.least("end", usable)).drop("__total"), tokens, order, length)
+    if n_batches is not None:
+        whole = sizes.agg((F.floor(F.sum("n_tokens") / batch) * batch_size).alias("whole"))  # one row
+        last = F.lit(n_batches * batch_size) - 1 - F.col("row_id")
+        again = F.when(last >= 0, F.sequence(F.lit(0), F.floor(last / F.col("whole")))).otherwise(F.array().cast("array<bigint>"))
+        rows = rows.join(F.broadcast(whole), F.col("whole") > 0).withColumn("__round", F.explode(again))
+        rows = rows.withColumn("row_id", F.col("row_id") + F.col("__round") * F.col("whole")).drop("whole", "__round")
+    return with_labels(rows, batch_size)
 
 
 def pack_across_epochs(
     df: DataFrame, n_epochs: int, ctx: int, batch_size: int = 1, *, seed: int, reshuffle: bool = True,
-    order: str = "doc_id",
+    shuffle: bool = True, order: str | Sequence[str] = "doc_id",
 ) -> DataFrame:
-    """Several epochs as one endless stream: rows may begin in one epoch and end in the next."""
-    sized = epochs(df.withColumn("__n", F.size("ids")), n_epochs)
-    keyed = sized.withColumn("key", order_key(seed, F.col("epoch"), order) if reshuffle else order_key(seed, order))
-    bucket = F.concat(F.format_string("%08d", "epoch"), hex_bucket(keyed, "key"))
-    laid = prefix_sum(keyed, ["key", order], "__n", bucket=bucket, out="start")
-    laid = laid.withColumn("end", F.col("start") + F.col("__n"))
-    return with_labels(pack_stream(laid, ctx + 1), batch_size)
+    """Several epochs as one endless stream: rows may begin in one epoch and end in the next.
+
+    ``reshuffle`` draws a new order per epoch; without ``shuffle`` every epoch has the order of the documents.
+    """
+    sizes, tokens, order = token_table(df, order)
+    if shuffle:
+        key = order_key(seed, F.col("epoch"), *order) if reshuffle else order_key(seed, *order)
+        keyed = epochs(sizes, n_epochs).withColumn("key", key)
+        bucket = F.concat(F.format_string("%08d", "epoch"), hex_bucket(keyed, "key"))
+        laid = prefix_sum(keyed, ["key", *order], "n_tokens", bucket=bucket, out="start")
+        laid = laid.withColumn("end", F.col("start") + F.col("n_tokens"))
+    else:
+        laid = in_epochs(lay_out(sizes, order, total="__total"), n_epochs)
+    return with_labels(pack_stream(laid.select(*order, "epoch", "start", "end"), tokens, order, ctx + 1), batch_size)
+
+
+def in_epochs(laid: DataFrame, n_epochs: int) -> DataFrame:
+    """Places of one unshuffled pass, with its length as ``__total``, repeated over the epochs."""
+    rows = epochs(laid, n_epochs)
+    past = F.col("epoch") * F.col("__total")
+    return rows.withColumns({"start": F.col("start") + past, "end": F.col("end") + past}).drop("__total")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import fixed
+from ..functions.keys import order_key
 from ..operators.order import shuffle_docs
 from ..operators.encode import encode_bpe, encode_words
 from ..operators.report import source_report
@@ -198,15 +199,41 @@ def packed_training(spark, folder):
 
 @query(
     "packed_table",
-    f"""WITH {TOKENS_SQL}, {STREAM} SELECT (count(*) // {CTX + 1})::BIGINT AS n_rows,
-        ((count(*) // {CTX + 1}) * {CTX})::BIGINT AS n_inputs FROM flat""",
+    f"""WITH {TOKENS_SQL}, {STREAM.replace("AS pos", "AS pos, e")},
+    firsts AS (SELECT pos // {CTX + 1} AS row_id, min(e) AS epoch FROM flat GROUP BY 1 HAVING count(*) = {CTX + 1})
+    SELECT epoch::BIGINT AS epoch, count(*) AS n_rows, (count(*) * {CTX})::BIGINT AS n_inputs,
+        sum(row_id)::BIGINT AS row_ids FROM firsts GROUP BY epoch""",
 )
 def packed_table(spark, folder):
-    """Packed rows stored by epoch and counted from the table."""
+    """Packed rows stored by the epoch they start in, and counted from the table."""
     path = scratch_dir(spark, "packed")
     write_packed(training_rows(token_docs(spark, folder), EPOCHS, CTX, BATCH, CLAMP, 41, limit_bytes=CLUSTER), path)
     stored = spark.read.parquet(path)
-    return stored.agg(F.count("*").alias("n_rows"), F.sum(F.size("input_ids")).alias("n_inputs"))
+    return stored.groupBy(F.col("epoch").cast("bigint").alias("epoch")).agg(
+        F.count("*").alias("n_rows"), F.sum(F.size("input_ids")).alias("n_inputs"), F.sum("row_id").alias("row_ids")
+    )
+
+
+@query(
+    "training_from_shards",
+    f"""WITH {TOKENS_SQL}, sizes AS (SELECT doc_id, {sql_key(31, 'doc_id')} AS k, count(*) AS n FROM known GROUP BY doc_id),
+    flat AS (SELECT e, least(id, {CLAMP - 1}) AS id,
+        row_number() OVER (ORDER BY e, k, doc_id, i) - 1 AS pos FROM known JOIN sizes USING (doc_id), range({EPOCHS}) t(e)),
+    packed AS (SELECT pos // {CTX + 1} AS row_id, min(e) AS epoch, list(id ORDER BY pos) AS t FROM flat GROUP BY 1
+        HAVING count(*) = {CTX + 1})
+    SELECT row_id, epoch::BIGINT AS epoch, row_id // {BATCH} AS batch_id, array_to_string(t[:{CTX}], ' ') AS input_ids,
+        array_to_string(t[2:], ' ') AS labels FROM packed""",
+)
+def training_from_shards(spark, folder):
+    """Shuffled shards on disk straight to packed rows, in the order of the shards, over two epochs."""
+    path = scratch_dir(spark, "shards")
+    keyed = token_docs(spark, folder).withColumn("key", order_key(31, "doc_id"))
+    write_token_shards(keyed, path, order=["key", "doc_id"], shard_bytes=1 << 18)
+    rows = training_rows(
+        read_token_shards(spark, path, range_bytes=1 << 16), EPOCHS, CTX, BATCH, CLAMP, 41, order=("shard", "start"),
+        shuffle=False,
+    )
+    return shown(rows, F.col("epoch").cast("bigint").alias("epoch"))
 
 
 @query(
@@ -216,7 +243,8 @@ def packed_table(spark, folder):
         (sum(n) OVER (ORDER BY e, ck, cluster, dk, doc_id) - n)::BIGINT AS start FROM spans""",
 )
 def cluster_order(spark, folder):
-    laid = clustered_stream(token_docs(spark, folder), EPOCHS, 41, limit_bytes=CLUSTER)
+    sizes = token_docs(spark, folder).select("doc_id", F.size("ids").alias("n_tokens"))
+    laid = clustered_stream(sizes, EPOCHS, 41, limit_bytes=CLUSTER)
     return laid.select("epoch", "doc_id", "cluster", "start")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.pack import pack_across_epochs, pack_linear, pack_rows
+from ..session import stage
 from . import query
 from .inputs import TOKENS_SQL, sql_key
 from .tokens import listed, token_docs
@@ -27,8 +28,8 @@ def rows_sql(flat: str, row: str, used: str = "true", whole: str = "true") -> st
         array_to_string(t[2:], ' ') AS labels FROM packed WHERE {whole}"""
 
 
-def shown(rows):
-    return rows.select("row_id", "batch_id", listed(F.col("input_ids")).alias("input_ids"), listed(F.col("labels")).alias("labels"))
+def shown(rows, *more):
+    return rows.select(*more, "row_id", "batch_id", listed(F.col("input_ids")).alias("input_ids"), listed(F.col("labels")).alias("labels"))
 
 
 @query("pack_rows", rows_sql(IN_ORDER, f"pos // {L}"))
@@ -60,6 +61,26 @@ def packed_linear(spark, folder):
     return shown(pack_linear(token_docs(spark, folder), CTX, BATCH))
 
 
+REWOUND = 3
+WHOLE = f"((SELECT count(*) FROM flat) // {BATCH * L} * {BATCH})"
+
+
+@query(
+    "pack_rewound",
+    f"""WITH {TOKENS_SQL}, {IN_ORDER},
+    packed AS (SELECT pos // {L} AS nth, list(id ORDER BY pos) AS t FROM flat GROUP BY 1 HAVING count(*) = {L}),
+    again AS (SELECT nth + r * {WHOLE} AS row_id, t FROM packed, range({REWOUND}) x(r) WHERE nth < {WHOLE})
+    SELECT row_id, row_id // {BATCH} AS batch_id, array_to_string(t[:{CTX}], ' ') AS input_ids,
+        array_to_string(t[2:], ' ') AS labels FROM again
+    WHERE row_id < {BATCH} * (({WHOLE} * {REWOUND} - {BATCH}) // {BATCH})""",
+)
+def packed_rewound(spark, folder):
+    """Nearly three passes in file order: one batch less than three times the whole batches of one pass."""
+    docs = stage(token_docs(spark, folder))
+    tokens = docs.agg(F.sum(F.size("ids"))).first()[0]
+    return shown(pack_linear(docs, CTX, BATCH, n_batches=REWOUND * (tokens // (BATCH * L)) - 1))
+
+
 @query("pack_epochs", rows_sql(ENDLESS, f"pos // {L}"))
 def packed_epochs(spark, folder):
     return shown(pack_across_epochs(token_docs(spark, folder), EPOCHS, CTX, BATCH, seed=12))
