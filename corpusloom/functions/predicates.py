@@ -21,7 +21,7 @@ def letter_profile(
     ok = (
         (n >= min_chars)
         & low.rlike(f"[{required}]")
-        & (F.regexp_count(low, F.lit(f"[{forbidden}]")) / n <= max_ratio)
+        & (F.try_divide(F.regexp_count(low, F.lit(f"[{forbidden}]")), n) <= max_ratio)
     )
     return F.coalesce(ok, F.lit(False))
 

@@ -71,6 +71,8 @@ def encode_bpe(text: Column, merges: DataFrame, vocab: DataFrame, pretok: str =
     """
     pieces = collect_pieces(vocab)
     pairs = merges.orderBy("rank").limit(fixed.MAX_VOCAB + 1).collect()
+    if len(pairs) > fixed.MAX_VOCAB:
+        raise ValueError("more merges than 16-bit ids; at most 65,536")
     specials = fixed.WORD_SPECIALS if pretok == "word" else fixed.LINE_SPECIALS
     id_of = {p: i for i, p in enumerate(pieces)}
     ranks = {(r.left, r.right): r.rank for r in pairs if r.left + r.right in id_of}

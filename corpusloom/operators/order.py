@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -200,30 +201,90 @@ def cluster_grid(
     return laid.withColumn("cluster", F.floor(F.col("bytes_before") / limit_bytes).cast("bigint"))
 
 
+#: Clusters per segment of ``cluster_greedy``; only sizes of documents meet in a segment.
+SEGMENT_CLUSTERS = 32
+
+
+def _next_starts(ends: np.ndarray, opened: np.ndarray, limit: int) -> np.ndarray:
+    """Where the next cluster starts, as an index into the segment, if one was opened at these bytes."""
+    return np.searchsorted(ends, opened + limit, side="left") + 1
+
+
 def cluster_greedy(
-    sizes: DataFrame, order: str = "doc_id", limit_bytes: int = fixed.CLUSTER_BYTES, segment_rows: int = 1_000_000
+    sizes: DataFrame, order: str = "doc_id", limit_bytes: int = fixed.CLUSTER_BYTES,
+    segment_clusters: int = SEGMENT_CLUSTERS,
 ) -> DataFrame:
     """Greedy clusters over ``(order, n_tokens)`` rows: close once the bytes reach the limit.
 
-    The rule needs the exact bytes carried so far, a state too wide to tabulate, so it runs
-    over segments of ``segment_rows`` consecutive documents and starts afresh at each. Up to
-    that many documents the clusters are those of one sequential scan. Only sizes travel.
+    Exactly the clusters of one sequential scan, at any size. The stream is cut into segments of bytes. What a
+    segment does depends on one number, the byte at which the cluster open at its begin was opened; as a
+    function of it the byte opened last, and the clusters closed, are steps, of which there are few because greedy
+    clusters soon fall in step. The segments write down their steps in parallel, one scan over these short
+    tables fixes what each segment starts with, and the segments number their documents in parallel.
     """
-
-    def close(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, ignore_index=True)
-        cluster, size, out = 0, 0, []
-        for tokens in pdf["n_tokens"].tolist():
-            out.append(cluster)
-            size += 2 * tokens
-            if size >= limit_bytes:
-                cluster, size = cluster + 1, 0
-        return pdf.assign(cluster=out)[[order, "n_tokens", "segment", "cluster"]]
-
-    ranked = running(sizes.select(order, F.col("n_tokens").cast("bigint")), order, 1, out="__rank")
-    cut = ranked.select(order, "n_tokens", F.floor(F.col("__rank") / segment_rows).cast("bigint").alias("segment"))
-    return cut.groupBy("segment").applyInPandas(
-        close, f"{order} bigint, n_tokens bigint, segment bigint, cluster bigint"
+    segment_bytes = segment_clusters * limit_bytes
+    laid = running(
+        sizes.select(order, F.col("n_tokens").cast("bigint")), order,
+        {"__bytes": 2 * F.col("n_tokens"), "__rank": F.lit(1)},
+    ).withColumn("segment", F.floor(F.col("__bytes") / segment_bytes).cast("bigint"))
+
+    def bounds(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+        pdf = pdf.sort_values("__rank", ignore_index=True)
+        starts = pdf["__bytes"].to_numpy()
+        return pdf, starts, starts + 2 * pdf["n_tokens"].to_numpy()
+
+    def steps(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, starts, ends = bounds(pdf)
+        n = len(pdf)
+        # From a cluster opened at each document of the segment: the byte opened last, and how many close.
+        last, closed = starts.copy(), np.zeros(n, "int64")
+        follow = _next_starts(ends, starts, limit_bytes)
+        for i in range(n - 1, -1, -1):
+            j = follow[i]
+            if j < n:
+                last[i], closed[i] = last[j], closed[j] + 1
+            elif j == n:
+                last[i], closed[i] = ends[-1], 1
+        # An earlier cluster closes with the document that reaches its limit: document k, if it was opened after
+        # ends[k - 1] - limit and not after ends[k] - limit.
+        reach = int(np.searchsorted(ends, starts[0] + limit_bytes, side="left"))
+        rows = []
+        for k in range(min(reach + 1, n)):
+            out = (int(last[k + 1]), int(closed[k + 1]) + 1) if k + 1 < n else (int(ends[-1]), 1)
+            if rows and rows[-1][1:] == out:
+                rows[-1] = (int(ends[k]) - limit_bytes, *out)
+            else:
+                rows.append((int(ends[k]) - limit_bytes, *out))
+        frame = pd.DataFrame(rows, columns=["upto", "opened", "closed"])
+        return frame.assign(segment=pdf["segment"].iloc[0])[["segment", "upto", "opened", "closed"]]
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        opened, number, out = 0, 0, []
+        for segment, table in pdf.sort_values(["segment", "upto"]).groupby("segment"):
+            out.append((segment, opened, number))
+            at = int(np.searchsorted(table["upto"].to_numpy(), opened, side="left"))
+            if at < len(table):
+                number += int(table["closed"].iloc[at])
+                opened = int(table["opened"].iloc[at])
+        return pd.DataFrame(out, columns=["segment", "__opened", "__number"])
+
+    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, starts, ends = bounds(pdf)
+        cluster, opened, number, at = np.zeros(len(pdf), "int64"), pdf["__opened"].iloc[0], pdf["__number"].iloc[0], 0
+        while at < len(pdf):
+            end = int(_next_starts(ends, opened, limit_bytes))
+            cluster[at:end] = number
+            number += 1
+            if end < len(pdf):
+                opened = starts[end]
+            at = end
+        return pdf.assign(cluster=cluster)[[order, "n_tokens", "segment", "cluster"]]
+
+    tables = laid.groupBy("segment").applyInPandas(steps, "segment bigint, upto bigint, opened bigint, closed bigint")
+    # A few rows for every ``segment_clusters`` clusters meet here: some megabytes for a hundred terabytes of tokens.
+    entries = tables.groupBy().applyInPandas(chain, "segment bigint, __opened bigint, __number bigint")
+    return laid.join(entries, "segment").groupBy("segment").applyInPandas(
+        assign, f"{order} bigint, n_tokens bigint, segment bigint, cluster bigint"
     )
 
 

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, stage
 from .sample import top_k
 
 # A symbol string writes each symbol between these noncharacters, which Unicode keeps out of
 # text exchange, so that merging a pair is one plain string replacement.
 OPEN, CLOSE = "\ufdd0", "\ufdd1"
+# What stands for these two where a text holds them all the same, while symbols are counted.
+INNER_OPEN, INNER_CLOSE = "\ufdd2", "\ufdd3"
 ROUNDS_PER_CHECKPOINT = 20
 WORDS = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
 
@@ -91,6 +93,7 @@ def collect_pieces(vocab: DataFrame) -> list[str]:
 def _symbols(word: Column, pretok: str) -> Column:
     """Symbol string of a pre-token: its characters after a word mark, or its bytes in hex."""
     mark = f"{OPEN}$1{CLOSE}"
+    word = F.translate(word, OPEN + CLOSE, INNER_OPEN + INNER_CLOSE)
     if pretok == "word":
         return F.regexp_replace(F.concat(F.lit(fixed.WORD_MARK), word), "(?s)(.)", mark)
     return F.regexp_replace(F.hex(F.encode(word, "UTF-8")), "(..)", mark)
@@ -163,8 +166,7 @@ def learn_bpe(
     spark = counts.sparkSession
     ensure_checkpoint_dir(spark)
     width = 1 if pretok == "word" else 2
-    clean = counts.filter(~F.col("word").rlike(f"[{OPEN}{CLOSE}]"))
-    types = clean.select(_symbols(F.col("word"), pretok).alias("syms"), "n").checkpoint().persist()
+    types = counts.select(_symbols(F.col("word"), pretok).alias("syms"), "n").checkpoint().persist()
     merges: list[tuple[int, str, str]] = []
     known: set[str] = set()
     since = 0
@@ -198,15 +200,18 @@ def learn_bpe(
 
 
 def characters(counts: DataFrame, pretok: str = "word", limit: int = fixed.MAX_VOCAB) -> DataFrame:
-    """Single symbols of the corpus, most frequent first: ``(piece, n)``."""
+    """Single symbols of the corpus, most frequent first: ``(piece, n)``. More than ``limit`` are refused."""
     inner = _symbols(F.col("word"), pretok)
     split = F.split(inner.substr(F.lit(2), F.length(inner) - 2), CLOSE + OPEN)
     singles = counts.select(F.explode(split).alias("piece"), "n").groupBy("piece").agg(F.sum("n").alias("n"))
-    return top_k(singles, limit, "n", ["piece"])
+    kept = stage(top_k(singles, limit + 1, "n", ["piece"]))
+    if kept.count() > limit:
+        raise ValueError(f"the corpus has more than {limit} different characters; a vocabulary covers them all")
+    return kept
 
 
 def build_vocab(merges: DataFrame, chars: DataFrame, pretok: str = "word", size: int = fixed.VOCAB_SIZE) -> DataFrame:
-    """Id table of a layout, ``size`` pieces at most.
+    """Id table of a layout, ``size`` pieces at most. What does not fit is refused, never cut off.
 
     word: unk, bos, eos, user symbols, byte pieces, then merged pieces, then characters.
     line: the chat specials, then byte pieces (hex), then merged pieces.
@@ -235,4 +240,7 @@ def build_vocab(merges: DataFrame, chars: DataFrame, pretok: str = "word", size:
     once = parts.groupBy("piece").agg(F.min(F.struct("part", "nth", "kind")).alias("at"))
     order = Window.orderBy("at.part", "at.nth")
     ranked = once.select((F.row_number().over(order) - 1).alias("id"), "piece", F.col("at.kind").alias("kind"))
-    return ranked.filter(F.col("id") < size)
+    ranked = stage(ranked)
+    if (n := ranked.count()) > size:
+        raise ValueError(f"{n} specials, bytes, merges and characters do not fit a vocabulary of {size} pieces")
+    return ranked

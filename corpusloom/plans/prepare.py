@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.arrays import drop_unknown_ids
-from ..functions.predicates import not_blank
 from ..operators.encode import encode_bpe
 from ..operators.order import prefix_sum, quantile_bucket, shuffle_docs
 from ..operators.sample import bernoulli_by_bytes, head_by_bytes
@@ -38,10 +37,10 @@ def train_tokenizer(
 
 
 def encode_lines(lines: DataFrame, vocab: DataFrame, merges: DataFrame, pretok: str = "word") -> DataFrame:
-    """Ids per line in file order, the unknown id left out."""
+    """Ids per line in file order, the unknown id left out. Only lines of no characters at all are skipped."""
     ids = encode_bpe(F.col("line"), merges, vocab, pretok)
     ids = drop_unknown_ids(ids) if pretok == "word" else ids
-    return lines.filter(not_blank(F.col("line"))).select("file", "line_no", ids.alias("ids"))
+    return lines.filter(F.length("line") > 0).select("file", "line_no", ids.alias("ids"))
 
 
 def cut_documents(encoded: DataFrame, eos_id: int = fixed.EOS_ID) -> DataFrame:

@@ -102,7 +102,7 @@ def grid_clusters(spark, folder):
 )
 def greedy_clusters(spark, folder):
     sizes = table(spark, folder, "documents").select("doc_id", F.col("n_chars").alias("n_tokens"))
-    return cluster_greedy(sizes, limit_bytes=CLUSTER).select("doc_id", "cluster")
+    return cluster_greedy(sizes, limit_bytes=CLUSTER, segment_clusters=3).select("doc_id", "cluster")
 
 
 @query(

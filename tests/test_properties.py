@@ -111,7 +111,7 @@ def test_bernoulli_sample_is_the_loop(spark):
 
 def test_greedy_clusters_are_the_loop(spark):
     draw = random.Random(2)
-    sizes = [draw.randint(1, 40) for _ in range(500)]
+    sizes = [draw.choice([0, 1, 5, 40, 200 if draw.random() < 0.1 else 3]) for _ in range(900)]
     want, cluster, size = [], 0, 0
     for n in sizes:
         want.append(cluster)
@@ -119,9 +119,9 @@ def test_greedy_clusters_are_the_loop(spark):
         if size >= 300:
             cluster, size = cluster + 1, 0
     df = spark.createDataFrame(list(enumerate(sizes)), "doc_id long, n_tokens long")
-    assert [r.cluster for r in cluster_greedy(df, limit_bytes=300).orderBy("doc_id").collect()] == want
-    cut = cluster_greedy(df, limit_bytes=300, segment_rows=100).groupBy("segment").count().collect()
-    assert sorted(r["count"] for r in cut) == [100] * 5
+    for segment in (1, 2, 7, 1000):
+        got = cluster_greedy(df, limit_bytes=300, segment_clusters=segment).orderBy("doc_id")
+        assert [r.cluster for r in got.collect()] == want
 
 
 def test_shuffles_are_permutations(spark):
