@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .tables import plain_words, texts
 
 #: Places that a mask compares, and the place whose agreement makes the hit superfluous.
@@ -24,30 +25,32 @@ WINDOW = 13
 SIMILARITY = 0.8
 #: Up to so many benchmark seeds (some 50 MB) their table goes to every executor; a longer one is joined by shuffle.
 BROADCAST_SEEDS = 1_000_000
+#: Up to so many places to compare (some 400 bytes each) they are sent to the texts; otherwise texts move to them.
+BROADCAST_PLACES = 100_000
 
 
-def _seeds(df: DataFrame, *keep: str) -> DataFrame:
-    """One row per seed of the rows' word hashes ``h``: ``key``, ``other``, ``at``, ``h`` and the kept columns."""
+def _seeds(h: str) -> Column:
+    """All seeds of an array of word hashes, as an array of (``key``, ``other``, ``at``)."""
 
-    def seed(number: int, places: tuple[int, ...], left_out: int) -> Column:
-        words = [F.get("h", F.col("at") + p) for p in places]
-        return F.struct(
-            F.xxhash64(F.lit(number), *words).alias("key"), F.get("h", F.col("at") + left_out).alias("other"),
-            (F.col("at") + places[-1] < F.size("h")).alias("inside"),
+    def of_mask(number: int, places: tuple[int, ...], left_out: int) -> Column:
+        starts = F.when(F.size(h) > places[-1], F.sequence(F.lit(0), F.size(h) - places[-1] - 1))
+        return F.transform(
+            F.coalesce(starts, F.array().cast("array<int>")),
+            lambda at: F.struct(
+                F.xxhash64(F.lit(number), *[F.get(h, at + p) for p in places]).alias("key"),
+                F.get(h, at + left_out).alias("other"), at.alias("at"),
+            ),
         )
 
-    starts = F.when(F.size("h") >= 4, F.sequence(F.lit(0), F.size("h") - 4)).otherwise(F.array().cast("array<int>"))
-    placed = df.select(*keep, "h", F.explode(starts).alias("at"))
-    each = placed.select(*keep, "h", "at", F.inline(F.array(*[seed(k, p, o) for k, (p, o) in enumerate(MASKS)])))
-    return each.filter("inside").drop("inside")
+    return F.flatten(F.array(*[of_mask(k, p, o) for k, (p, o) in enumerate(MASKS)]))
 
 
 def leaks(
     docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", window: int = WINDOW, similarity: float = SIMILARITY,
 ) -> DataFrame:
-    """One row per document and benchmark item it leaks: ``doc_id``, ``item_id``, ``item_words``, ``same_words`` (most
-    equal words at one shift) and ``best_window`` (share of equal words in the best stretch, or in the whole item).
+    """One row per document and benchmark item it leaks: ``doc_id``, ``item_id``, ``doc_words``, ``item_words``, ``same_words``
+    (most equal words at one shift) and ``best_window`` (share of equal words in the best stretch, or in the whole item).
 
     Words are lower-case letters, digits and everything beyond ASCII. Null and empty texts leak nothing, and items of
     fewer than four words cannot be told from chance and are never leaked. Rows with the same id are one document or
@@ -58,31 +61,50 @@ def leaks(
     def hashed(text: Column) -> Column:
         return F.transform(plain_words(text), lambda w: F.xxhash64(w))
 
-    d = texts(docs, id_col, text_col).select("doc_id", hashed(F.col("text")).alias("h"))
-    items = texts(bench, item_col, item_text_col).select(F.col("doc_id").alias("item_id"), hashed(F.col("text")).alias("h"))
-    wanted = _seeds(items, "item_id").select(
-        "key", F.col("other").alias("item_other"), "item_id", F.col("at").alias("item_at"), F.col("h").alias("item")
+    d = texts(docs, id_col, text_col)
+    items = texts(bench, item_col, item_text_col).select(F.col("doc_id").alias("item_id"), hashed(F.col("text")).alias("item"))
+    wanted = items.select("item_id", F.inline(_seeds("item"))).select(
+        "key", F.col("other").alias("item_other"), "item_id", F.col("at").alias("item_at")
     )
     if wanted.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS:
         wanted = F.broadcast(wanted)
-    hits = _seeds(d, "doc_id").join(wanted, "key").filter(
+    seeds = d.select("doc_id", hashed(F.col("text")).alias("h")).select("doc_id", F.inline(_seeds("h")))
+    hits = seeds.join(wanted, "key").filter(
         F.col("other").isNull() | F.col("item_other").isNull() | (F.col("other") != F.col("item_other"))
     )
-    # The hit's surroundings, item word by item word; places outside the document differ.
-    n, shift = F.size("item"), F.col("at") - F.col("item_at")
-    same = F.transform("item", lambda w, j: F.coalesce(F.get("h", shift + j) == w, F.lit(False)))
-    compared = hits.select("doc_id", "item_id", n.alias("n"), same.alias("same"))
-    ends = F.transform(
-        F.sequence(F.lit(0), F.col("n") - F.least(F.col("n"), F.lit(window))),
-        lambda s: F.size(F.filter(F.slice("same", s + 1, F.least(F.col("n"), F.lit(window))), lambda x: x))
-        / F.least(F.col("n"), F.lit(window)),
+    places = stage(hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
+    # The places of a document go back to its text, which is compared with the items once.
+    asked = places.join(items, places["item_id"].eqNullSafe(items["item_id"])).groupBy("doc_id").agg(
+        F.collect_list(F.struct(places["item_id"], "shift", "item")).alias("asked")
     )
-    judged = compared.select(
-        "doc_id", "item_id", "n", F.size(F.filter("same", lambda x: x)).alias("same_words"),
-        F.greatest(F.array_max(ends), F.size(F.filter("same", lambda x: x)) / F.col("n")).alias("best_window"),
-    ).filter(F.col("best_window") >= similarity)
-    return judged.groupBy("doc_id", "item_id").agg(
-        F.max("n").cast("bigint").alias("item_words"), F.max("same_words").cast("bigint").alias("same_words"),
+    if places.count() <= BROADCAST_PLACES:
+        asked = F.broadcast(asked)
+    found = d.join(asked.withColumnRenamed("doc_id", "asked_id"), F.col("doc_id").eqNullSafe(F.col("asked_id")))
+    told = found.select("doc_id", "asked", hashed(F.col("text")).alias("h"))
+
+    def compared(x: Column) -> Column:
+        same = F.transform(x["item"], lambda w, j: F.coalesce(F.get("h", x["shift"] + j) == w, F.lit(False)))
+        return F.struct(x["item_id"].alias("item_id"), same.alias("same"))
+
+    def judged(x: Column) -> Column:
+        n = F.size(x["same"])
+        width = F.least(n, F.lit(window))
+        count = F.size(F.filter(x["same"], lambda y: y))
+        stretches = F.transform(
+            F.sequence(F.lit(0), n - width), lambda s: F.size(F.filter(F.slice(x["same"], s + 1, width), lambda y: y)) / width
+        )
+        return F.struct(
+            x["item_id"].alias("item_id"), n.alias("n"), count.alias("same_words"),
+            F.greatest(F.array_max(stretches), count / n).alias("best_window"),
+        )
+
+    # The number of words stays in the result: "h" has two users then, and is made once per text, not once per place.
+    marked = told.select("doc_id", F.size("h").alias("doc_words"), F.transform("asked", compared).alias("marks"))
+    judged_rows = marked.select("doc_id", "doc_words", F.inline(F.transform("marks", judged)))
+    rows = judged_rows.filter(F.col("best_window") >= similarity)
+    return rows.groupBy("doc_id", "item_id").agg(
+        F.max("doc_words").cast("bigint").alias("doc_words"), F.max("n").cast("bigint").alias("item_words"),
+        F.max("same_words").cast("bigint").alias("same_words"),
         F.round(F.max("best_window"), 6).alias("best_window"),
     )
 
