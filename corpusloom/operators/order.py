@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.keys import order_key
-from ..session import bucket_count, hex_digits
+from ..session import bucket_count, hex_digits, stage
 
 # A table of bucket totals is broadcast only below this many rows (some 4 MiB).
 BROADCAST_ROWS = 100_000
@@ -85,7 +85,7 @@ def prefix_sum(
         sums += [F.min(c).alias(f"__then{i}") for i, c in enumerate(then)]
     totals = keyed.groupBy(*keys).agg(*sums)
     if stop is not None:
-        totals = totals.persist()  # one small row per bucket, read twice below
+        totals = stage(totals)  # one small row per bucket, read twice below
 
     def so_far(v: str, window) -> Column:
         return F.coalesce(F.sum(v).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

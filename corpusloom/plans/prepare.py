@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.arrays import drop_unknown_ids
+from ..functions.keys import order_key
 from ..operators.encode import encode_bpe
-from ..operators.order import prefix_sum, quantile_bucket, shuffle_docs
+from ..operators.order import prefix_sum, quantile_bucket
 from ..operators.sample import bernoulli_by_bytes, head_by_bytes
 from ..operators.tokens import split_at_eos
 from ..operators.vocab import build_vocab, characters, learn_bpe, word_counts
@@ -43,18 +44,30 @@ def encode_lines(lines: DataFrame, vocab: DataFrame, merges: DataFrame, pretok:
     return lines.filter(F.length("line") > 0).select("file", "line_no", ids.alias("ids"))
 
 
-def cut_documents(encoded: DataFrame, eos_id: int = fixed.EOS_ID) -> DataFrame:
-    """Documents ``(doc_id, ids)`` from encoded lines: each end marker closes one, wherever
-    lines and files end. ``doc_id`` counts end markers, by running totals over line blocks."""
+PLACE = ["file", "line_no", "seq_no"]
+
+
+def document_parts(encoded: DataFrame, eos_id: int = fixed.EOS_ID) -> DataFrame:
+    """Documents cut from encoded lines, as parts ``(doc_id, file, line_no, seq_no, ids)``.
+
+    Each end marker closes one, wherever lines and files end. ``doc_id`` counts end markers, by
+    running totals over line blocks. A part is what one line holds of a document, so text without
+    any marker is one document of many rows.
+    """
     parts = split_at_eos(encoded, eos_id=eos_id).withColumn(
         "__closed", (F.element_at("ids", -1) == eos_id).cast("int")
     )
-    numbered = prefix_sum(
+    return prefix_sum(
         quantile_bucket(parts, "line_no"), ["line_no", "seq_no"], "__closed", by=["file"], then=[F.col("file")],
         bucket="__bucket", out="doc_id",
-    )
-    pieces = F.array_sort(F.collect_list(F.struct("file", "line_no", "seq_no", "ids")))
-    return numbered.groupBy("doc_id").agg(F.flatten(F.transform(pieces, lambda x: x["ids"])).alias("ids"))
+    ).select("doc_id", *PLACE, "ids")
+
+
+def cut_documents(encoded: DataFrame, eos_id: int = fixed.EOS_ID) -> DataFrame:
+    """``(doc_id, ids)``: the parts of each document in one row, for documents known to be short."""
+    pieces = F.array_sort(F.collect_list(F.struct(*PLACE, "ids")))
+    parts = document_parts(encoded, eos_id).groupBy("doc_id")
+    return parts.agg(F.flatten(F.transform(pieces, lambda x: x["ids"])).alias("ids"))
 
 
 def prepare_tokens(
@@ -71,6 +84,8 @@ def prepare_tokens(
             raise
         vocab, merges = train_tokenizer(lines, f"{work}/tokenizer", size=size)
     encode_lines(lines, vocab, merges).write.mode("overwrite").parquet(f"{work}/lines")
-    docs = cut_documents(spark.read.parquet(f"{work}/lines"), eos_id)
-    write_token_shards(shuffle_docs(docs, seed), f"{work}/shuffled")
+    parts = document_parts(spark.read.parquet(f"{work}/lines"), eos_id).withColumn("key", order_key(seed, "doc_id"))
+    write_token_shards(
+        parts, f"{work}/shuffled", order=["key", "doc_id", *PLACE], document=["key", "doc_id"], eos_id=eos_id
+    )
     return read_token_shards(spark, f"{work}/shuffled", eos_id)

@@ -1,14 +1,16 @@
 """Flat 16-bit token files as a Spark data source (format ``tokenbin``).
 
 Reading cuts a file in byte ranges; a range yields the documents that start in it, so a file
-of any size is read in parallel and no document twice. Writing gives numbered shards of whole
-documents, moved into place when the job commits.
+of any size is read in parallel and no document twice. A document beyond ``PIECE_TOKENS`` comes as
+several rows, each at its own start. Writing gives numbered shards of whole documents, moved into
+place when the job commits; a shard goes when its successor is there.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,6 +25,8 @@ from .. import fixed
 
 SHARD_BYTES = 256 * 1024 * 1024
 CHUNK_BYTES = 4 * 1024 * 1024
+PIECE_TOKENS = 16 * 1024 * 1024
+MOVES_AT_ONCE = 32
 SCHEMA = "shard string, start bigint, ids array<int>"
 
 
@@ -37,12 +41,16 @@ class TokenRange(InputPartition):
     limit: int
 
 
-def _documents(file, size: int, first: int, limit: int, eos_id: int) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """Batches of ``(start of first document, documents)`` for those starting in [first, limit)."""
+def _documents(
+    file, size: int, first: int, limit: int, eos_id: int, piece: int = PIECE_TOKENS
+) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Batches of ``(start of first document, documents)`` for those starting in [first, limit); of a document longer
+    than ``piece``, its pieces."""
     at = max(first - 1, 0)
     file.seek(at * 2)
     start = 0 if first == 0 else None  # None: still looking for the end marker before the range
     held: list[np.ndarray] = []
+    given = 0  # tokens of the open document that earlier pieces hold
     while at < size and (start is None or start < limit):
         if start is None and at >= limit:
             return
@@ -56,18 +64,21 @@ def _documents(file, size: int, first: int, limit: int, eos_id: int) -> Iterator
             if not len(ends):
                 continue
             start, begin, ends = base + int(ends[0]), int(ends[0]), ends[1:]
-        docs, batch_start = [], start
+        docs, batch_start = [], start + given
         for end in ends.tolist():
             if start >= limit:
                 break
             docs.append(np.concatenate([*held, chunk[begin:end]]) if held else chunk[begin:end])
-            held, begin, start = [], end, base + end
+            held, begin, start, given = [], end, base + end, 0
         if start < limit and begin < len(chunk):
             held.append(chunk[begin:])
         if docs:
             yield batch_start, docs
+        if sum(map(len, held)) >= piece:
+            yield start + given, [np.concatenate(held)]
+            given, held = given + sum(map(len, held)), []
     if held and start < limit:
-        yield start, [np.concatenate(held)]
+        yield start + given, [np.concatenate(held)]
 
 
 class TokenReader(DataSourceReader):
@@ -75,6 +86,7 @@ class TokenReader(DataSourceReader):
         self.path = options["path"]
         self.eos_id = int(options.get("eos_id", fixed.EOS_ID))
         self.range_tokens = int(options.get("range_bytes", SHARD_BYTES)) // 2
+        self.piece = int(options.get("piece_tokens", PIECE_TOKENS))
 
     def partitions(self):
         where, path = _open_fs(self.path)
@@ -96,7 +108,7 @@ class TokenReader(DataSourceReader):
         size = where.get_file_info(partition.path).size // 2
         name = partition.path.rsplit("/", 1)[-1]
         with where.open_input_file(partition.path) as file:
-            for start, docs in _documents(file, size, partition.first, partition.limit, self.eos_id):
+            for start, docs in _documents(file, size, partition.first, partition.limit, self.eos_id, self.piece):
                 bounds = np.cumsum([0] + [len(d) for d in docs])
                 ids = pa.ListArray.from_arrays(
                     pa.array(bounds.astype(np.int32)), pa.array(np.concatenate(docs).astype(np.int32))
@@ -116,6 +128,8 @@ class TokenWriter(DataSourceArrowWriter):
     def __init__(self, options, overwrite: bool):
         self.uri, self.overwrite = options["path"], overwrite
         self.shard_bytes = int(options.get("shard_bytes", SHARD_BYTES))
+        # With an end marker given, rows are parts of documents, and only a row that ends in one closes a document.
+        self.eos_id = int(options.get("eos_id", -1))
 
     def write(self, iterator):
         where, path = _open_fs(self.uri)
@@ -129,6 +143,9 @@ class TokenWriter(DataSourceArrowWriter):
             if flat.size and (flat.min() < 0 or flat.max() >= fixed.MAX_VOCAB):
                 raise ValueError("token id does not fit 16 bits")
             data, bounds = flat.astype("<u2"), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            closes = np.ones(len(lists), bool)
+            if self.eos_id >= 0:
+                closes = (np.diff(bounds) > 0) & (data[np.maximum(bounds[1:] - 1, 0)] == self.eos_id) if len(data) else ~closes
             first = 0
             while first < len(lists):
                 if out is None:
@@ -138,10 +155,12 @@ class TokenWriter(DataSourceArrowWriter):
                 room = bounds[first] + max(0, self.shard_bytes - size) // 2
                 # Whole documents up to the shard size, and at least one.
                 last = max(first + 1, int(np.searchsorted(bounds, room, side="right")) - 1)
+                later = np.flatnonzero(closes[last - 1:])
+                last = last + int(later[0]) if len(later) else len(lists)
                 out.write(data[bounds[first]:bounds[last]].tobytes())
                 size += 2 * int(bounds[last] - bounds[first])
                 first = last
-                if size >= self.shard_bytes or last < len(lists):
+                if closes[last - 1] and (size >= self.shard_bytes or last < len(lists)):
                     out.close()
                     out = None
         if out is not None:
@@ -155,13 +174,24 @@ class TokenWriter(DataSourceArrowWriter):
         if old and not self.overwrite:
             self.abort(messages)
             raise ValueError(f"{self.uri} already holds token shards; use mode overwrite")
-        for name in old:
-            where.delete_file(name)
-        for message in messages:
-            for temporary, final in message.files if message else []:
-                where.move(temporary, final)
+        # Each new shard takes the place of an old one in one step; only what is left of the old ones goes, last.
+        moves = [pair for message in messages for pair in (message.files if message else [])]
+        rest = set(old) - {final for _, final in moves}
+        with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+            for done in [pool.submit(self._replace, where, *pair) for pair in moves]:
+                done.result()
+            for done in [pool.submit(where.delete_file, name) for name in rest]:
+                done.result()
         self._clean(where, path)
 
+    @staticmethod
+    def _replace(where, temporary, final):
+        try:
+            where.move(temporary, final)
+        except OSError:  # stores that refuse to move onto a file
+            where.delete_file(final)
+            where.move(temporary, final)
+
     def abort(self, messages):
         self._clean(*_open_fs(self.uri))
 
@@ -187,22 +217,30 @@ class TokenBinSource(DataSource):
 
 
 def read_token_shards(
-    spark: SparkSession, path: str, eos_id: int = fixed.EOS_ID, range_bytes: int = SHARD_BYTES
+    spark: SparkSession, path: str, eos_id: int = fixed.EOS_ID, range_bytes: int = SHARD_BYTES,
+    piece_tokens: int = PIECE_TOKENS,
 ) -> DataFrame:
-    """Documents ``(shard, start, ids)`` of one token file or a folder of shards."""
+    """Documents ``(shard, start, ids)`` of one token file or a folder of shards, very long ones in pieces."""
     spark.dataSource.register(TokenBinSource)
-    return (
-        spark.read.format("tokenbin").option("eos_id", eos_id).option("range_bytes", range_bytes).load(path)
-    )
+    reader = spark.read.format("tokenbin").option("eos_id", eos_id).option("range_bytes", range_bytes)
+    return reader.option("piece_tokens", piece_tokens).load(path)
 
 
 def write_token_shards(
-    df: DataFrame, path: str, order: list[str] | None = None, ids: str = "ids", shard_bytes: int = SHARD_BYTES
+    df: DataFrame, path: str, order: Sequence[str] | None = None, ids: str = "ids", shard_bytes: int = SHARD_BYTES,
+    document: Sequence[str] | None = None, eos_id: int = fixed.EOS_ID,
 ) -> None:
-    """Ids as 16-bit little-endian, no header; with ``order`` the shard names follow it."""
+    """Ids as 16-bit little-endian, no header; with ``order`` the shard names follow it.
+
+    ``document``: the rows are parts, and these columns, which begin the order, tell documents apart. The parts of one
+    are written one after the other by one task and never meet in a row; a shard ends where a document does.
+    """
     df.sparkSession.dataSource.register(TokenBinSource)
-    rows = df.orderBy(*order) if order else df
+    if document:
+        rows = df.repartitionByRange(*document).sortWithinPartitions(*order)
+    else:
+        rows = df.orderBy(*order) if order else df
     # The writer takes the layout of the reader; shard and start are given by the place itself.
-    rows.select(F.lit("").alias("shard"), F.lit(0).cast("bigint").alias("start"), F.col(ids).alias("ids")).write.format(
-        "tokenbin"
-    ).option("shard_bytes", shard_bytes).mode("overwrite").save(path)
+    rows = rows.select(F.lit("").alias("shard"), F.lit(0).cast("bigint").alias("start"), F.col(ids).alias("ids"))
+    writer = rows.write.format("tokenbin").option("shard_bytes", shard_bytes).option("eos_id", eos_id if document else -1)
+    writer.mode("overwrite").save(path)
