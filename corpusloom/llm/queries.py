@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from . import (
-    decontaminate, language_mix, license_scan, line_dedup, line_rules, packing, quality_gam, shards, simhash,
+    decontaminate, language_mix, license_scan, line_dedup, line_rules, oracles, packing, quality_gam, shards, simhash,
     token_codes,
 )
 from .tables import in_learning_part, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def query(run: Callable[[SparkSession, str], DataFrame]):
@@ -76,7 +76,7 @@ def op8_line_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return done.select(
         "doc_id", F.size("removed_lines").cast("bigint").alias("n_removed"),
         F.array_join("removed_lines", ",").alias("removed"),
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.md5(F.coalesce("text", F.lit(""))).alias("text_md5"),
     )
 
 
