@@ -197,7 +197,7 @@ words AS MATERIALIZED (SELECT doc_id, source, unnest(ws) AS word, generate_subsc
     SELECT doc_id, source,
         list_filter(string_split_regex(text, '{fixed.WHITESPACE_CLASS}+'), lambda x: x <> '') AS ws FROM documents))
 """
-VOCAB_WORDS = 2000
+VOCAB_WORDS = fixed.VOCAB_SIZE
 VOCAB = f"""
 counts AS (SELECT word, count(*) AS n FROM words GROUP BY word),
 vocab AS MATERIALIZED (

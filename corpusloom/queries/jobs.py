@@ -21,7 +21,7 @@ from ..sources.tokenbin import read_token_shards, write_token_shards
 from . import query
 from .inputs import (
     INSTRUCT, TOKENS_SQL, VOCAB_WORDS, docs, instruct, sql_chunks, sql_instruct, sql_key, sql_pretrain, sql_profile,
-    sql_word,
+    sql_word, table,
 )
 from .order import GAP_UNITS
 from .packing import shown
@@ -33,16 +33,25 @@ KINDS = {
     "synthetic": ["src10", "src11", "src12", "src13", "src14"],
     "web": ["src15", "src16", "src17", "src18", "src19"],
 }
-SYNTHETIC_CAP, WEB_CAP, CODE_CAP = 40, 25, 70
+# Caps grow with the table, so that a larger one is not cut to the size of a small one.
+CAPS = {"synthetic": 40, "web": 25, "code": 70}  # per thousand documents
+SYNTHETIC_CAP, WEB_CAP, CODE_CAP = (f"((SELECT count(*) FROM documents) * {n} // 1000)" for n in CAPS.values())
 LETTERS = {"required": "eé", "forbidden": "ßñ"}
-SPECS = (
-    [SourceSpec(s, "book", upsample=fixed.UPSAMPLE_BOOK) for s in KINDS["book"]]
-    + [SourceSpec(s, "wiki") for s in KINDS["wiki"]]
-    + [SourceSpec(s, "synthetic", cap=SYNTHETIC_CAP) for s in KINDS["synthetic"]]
-    + [SourceSpec(s, "web", cap=WEB_CAP, cap_on="eligible") for s in KINDS["web"]]
-    + [SourceSpec("chat", "chat", upsample=fixed.UPSAMPLE_CHAT)]
-    + [SourceSpec("code", "code", cap=CODE_CAP, cap_on="eligible")]
-)
+
+
+def specs(spark, folder):
+    documents = table(spark, folder, "documents").count()  # from the file's footer
+    caps = {kind: documents * n // 1000 for kind, n in CAPS.items()}
+    return (
+        [SourceSpec(s, "book", upsample=fixed.UPSAMPLE_BOOK) for s in KINDS["book"]]
+        + [SourceSpec(s, "wiki") for s in KINDS["wiki"]]
+        + [SourceSpec(s, "synthetic", cap=caps["synthetic"]) for s in KINDS["synthetic"]]
+        + [SourceSpec(s, "web", cap=caps["web"], cap_on="eligible") for s in KINDS["web"]]
+        + [SourceSpec("chat", "chat", upsample=fixed.UPSAMPLE_CHAT)]
+        + [SourceSpec("code", "code", cap=caps["code"], cap_on="eligible")]
+    )
+
+
 SEED, BUFFER = 21, 200
 
 
@@ -77,7 +86,7 @@ formatted AS (
 
 
 def formatted(spark, folder):
-    return format_sources(docs(spark, folder), instruct(spark, folder), SPECS, **LETTERS)
+    return format_sources(docs(spark, folder), instruct(spark, folder), specs(spark, folder), **LETTERS)
 
 
 @query(
@@ -107,7 +116,7 @@ placed AS (SELECT *, row_number() OVER (ORDER BY arrival, {IDS}) - 1 AS position
         row_number() OVER (PARTITION BY position // {BUFFER} ORDER BY key, {IDS}) - 1 AS rank, formatted FROM placed""",
 )
 def corpus_build(spark, folder):
-    corpus = build_corpus(docs(spark, folder), instruct(spark, folder), SPECS, SEED, BUFFER, **LETTERS)
+    corpus = build_corpus(docs(spark, folder), instruct(spark, folder), specs(spark, folder), SEED, BUFFER, **LETTERS)
     return corpus.withColumns({c: F.col(c).cast("bigint") for c in ("chunk_no", "copy_no")})
 
 
@@ -120,7 +129,7 @@ def corpus_build(spark, folder):
 def mixed_text(spark, folder):
     """The corpus written as text files and read back line by line."""
     path = scratch_dir(spark, "mixed")
-    corpus = build_corpus(docs(spark, folder), instruct(spark, folder), SPECS, SEED, BUFFER, **LETTERS)
+    corpus = build_corpus(docs(spark, folder), instruct(spark, folder), specs(spark, folder), SEED, BUFFER, **LETTERS)
     write_mixed_text(corpus, path)
     return read_text_lines(spark, path).groupBy("line").agg(F.count("*").alias("n"))
 
