@@ -236,4 +236,5 @@ def keep_one(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     """
     found = near_duplicates(df, id_col=id_col, text_col=text_col)
     stays = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stays")).distinct()
+    stays = stays.hint("merge")  # nearly all ids: one plan at every size
     return df.join(stays, df[id_col].eqNullSafe(F.col("__stays")), "left_semi")
