@@ -186,9 +186,9 @@ def identify(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
 
         known = sent.value
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            for a, b in small_runs(texts):
-                share, lettered = mixtures(texts[a:b], known)
+            ids = batch.column(0)
+            for a, texts in small_runs(batch.column(1)):
+                share, lettered = mixtures(texts.to_pylist(), known)
                 lettered &= share.sum(1) > 0
                 names, scores, sets = [], [], []
                 for row, ok in zip(share, lettered):
@@ -198,7 +198,7 @@ def identify(df: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: s
                     sets.append([{"lang": known.languages[i], "share": float(row[i])} for i in chosen])
                 kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
                 yield pa.RecordBatch.from_arrays(
-                    [ids[a:b], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, kind)],
+                    [ids.slice(a, len(texts)), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, kind)],
                     ["doc_id", "lang_pred", "score", "languages"],
                 )
 

@@ -148,9 +148,9 @@ def pack(
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
         for batch in batches:
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in small_runs(texts):
-                for name, code in zip(names[a:b], encoder(tokenizer).encode(texts[a:b])):
+            names = batch.column(0).to_pylist()
+            for a, texts in small_runs(batch.column(1)):
+                for name, code in zip(names[a:], encoder(tokenizer).encode(texts)):
                     ids.append(name)
                     codes.append(np.concatenate([code, end]).astype("<u4"))
                     tokens += len(codes[-1])

@@ -3,25 +3,31 @@
 Both vocabularies cut a text before any single space that stands between two characters which are
 not white space, before they look for merges. A text therefore has the ids of its pieces laid end to
 end, and a piece seen before need not be encoded again. Texts with other white space around a space
-are cut only where the rule holds.
+are cut only where the rule holds. They also cut around a line feed that stands alone, and between a letter or
+digit and a full stop or comma, so a piece that is new may still be made of known ones.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable
-from itertools import chain
+from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 
 #: Pieces that a worker remembers; beyond it the memory starts anew. About 200 bytes each.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 #: Stands between pieces that are encoded together; a piece that holds it is encoded alone.
 MARK = "\ue000"
+TOGETHER = 64
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
+def _ends(piece: str) -> bool:
+    return len(piece) > 1 and piece[-1] in ".," and piece[-2].isalnum()
+
+
 class PieceEncoder:
     """Encodes texts; special tokens' strings inside a text are ordinary text.
 
@@ -42,34 +48,77 @@ class PieceEncoder:
         self.first: dict[str, bytes] = {}
         self.later: dict[str, bytes] = {}
 
-    def encode(self, texts: Iterable[str | None]) -> list[np.ndarray]:
+    def encode(self, texts: pa.Array | Sequence[str | None]) -> list[np.ndarray]:
         """Ids of each text as unsigned 16-bit arrays; null counts as empty."""
-        parts = [self._cut(text or "") for text in texts]
+        texts = [t or "" for t in (texts.to_pylist() if isinstance(texts, pa.Array) else texts)]
         if len(self.first) + len(self.later) > self.remembered:
             self.first, self.later = {}, {}
-        self._learn(self.first, {p[0] for p in parts}, "")
-        self._learn(self.later, set(chain.from_iterable(p[1:] for p in parts)), " ")
+        parts = [text.split(" ") for text in texts]
+        heads = [p.pop(0) for p in parts]
+        new = set().union(*parts)
+        new.difference_update(self.later)
+        unsafe = {p for p in new if not p or p[0].isspace() or p[-1].isspace()}
+        odd = {i for i, head in enumerate(heads) if head != head.strip()}
+        if unsafe or odd:
+            # Other white space stands next to a space: these texts are cut by the rule itself.
+            odd.update(i for i, p in enumerate(parts) if not unsafe.isdisjoint(p))
+            new -= unsafe
+            for i in odd:
+                heads[i], *parts[i] = _CUT.split(texts[i])
+                new.update(p for p in parts[i] if p not in self.later)
+        lines = self._learn_all({h for h in heads if h not in self.first}, new)
         first, later = self.first, self.later
-        return [
-            np.frombuffer(first[p[0]] + b"".join(map(later.__getitem__, p[1:])), dtype="<u2") for p in parts
+        out = [
+            np.frombuffer(first[head] + b"".join(map(later.__getitem__, p)), dtype="<u2")
+            for head, p in zip(heads, parts)
         ]
+        for p in lines:  # a line's end and the next one's begin hardly meet again
+            later.pop(p, None)
+        return out
+
+    def _learn_all(self, heads: set[str], new: set[str]) -> dict[str, tuple[str, str]]:
+        """Make all pieces known; returns those around a line feed, which need not stay so."""
+        first, later = self.first, self.later
+        lines, ended = self._made_of_others(new)
+        lone = new.difference(lines, ended)
+        lone.update(p[:-1] for p in ended if p[:-1] not in later)
+        for left, _ in lines.values():
+            if left not in later:
+                if _ends(left):
+                    ended.append(left)
+                    left = left[:-1]
+                if left not in later:
+                    lone.add(left)
+        heads = heads.union((right for _, right in lines.values()), (".", ",", "\n")).difference(first)
+        self._learn(first, heads, "")
+        self._learn(later, lone, " ")
+        for p in ended:
+            later[p] = later[p[:-1]] + first[p[-1]]
+        feed = first["\n"]
+        for p, (left, right) in lines.items():
+            later[p] = later[left] + feed + first[right]
+        return lines
 
-    def _cut(self, text: str) -> list[str]:
-        parts = text.split(" ")
-        known = self.later
-        for part in parts:
-            if part not in known and (not part or part[0].isspace() or part[-1].isspace()):
-                return _CUT.split(text)
-        return parts
+    @staticmethod
+    def _made_of_others(new: set[str]) -> tuple[dict[str, tuple[str, str]], list[str]]:
+        """Pieces that are two parts around a line feed, and pieces that are a word and its full stop or comma."""
+        lines, ended = {}, []
+        for p in new:
+            if "\n" in p:
+                left, _, right = p.partition("\n")
+                if left and right and "\n" not in right and not left[-1].isspace() and not right[0].isspace():
+                    lines[p] = (left, right)
+            elif _ends(p):
+                ended.append(p)
+        return lines, ended
 
-    def _learn(self, memory: dict[str, bytes], pieces: set[str], before: str) -> None:
-        new = [p for p in pieces if p not in memory]
+    def _learn(self, memory: dict[str, bytes], new: set[str], before: str) -> None:
         alone = [p for p in new if MARK in p or not before or not p or p[0].isspace() or p[-1].isspace()]
         for piece, code in zip(alone, self.model.encode_batch_fast([before + p for p in alone], add_special_tokens=False)):
             memory[piece] = np.array(code.ids, dtype="<u2").tobytes()
         kept = set(alone)
-        many = [p for p in new if p not in kept] if kept else new
-        blocks = [many[i : i + 1000] for i in range(0, len(many), 1000)]
+        many = [p for p in new if p not in kept]
+        blocks = [many[i : i + TOGETHER] for i in range(0, len(many), TOGETHER)]
         texts = ["".join(f" {p} {MARK}" for p in block) for block in blocks]
         for block, code in zip(blocks, self.model.encode_batch_fast(texts, add_special_tokens=False)):
             memory.update(zip(block, self._split(np.array(code.ids, dtype="<u2"), len(block))))

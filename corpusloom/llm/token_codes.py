@@ -22,6 +22,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ BLOCK = 512
 TOKENS_PER_FILE = 4_000_000
 #: Width of the cells by which positions find their file.
 CELL = 1 << 20
-_TEXTS_AT_ONCE = 2_000_000
+_TEXTS_AT_ONCE = 4_000_000
 
 
 @functools.cache
@@ -43,16 +44,14 @@ def encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
-def small_runs(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
-    """Bounds of consecutive texts that have about two million characters together."""
-    begin, size = 0, 0
-    for i, text in enumerate(texts):
-        size += len(text or "")
-        if size >= _TEXTS_AT_ONCE:
-            yield begin, i + 1
-            begin, size = i + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
+def small_runs(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """Consecutive texts that have about four million bytes together, with the place of the first."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    run = (np.cumsum(sizes) - sizes) // _TEXTS_AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(texts)]
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        if a < b:
+            yield a, texts.slice(a, b - a)
 
 
 def _padded(part: bytes) -> bytes:
@@ -167,9 +166,9 @@ def write_token_files(
             return out
 
         for batch in batches:
-            names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in small_runs(texts):
-                for name, code in zip(names[a:b], encoder(tokenizer).encode(texts[a:b])):
+            names = batch.column(0).to_pylist()
+            for a, texts in small_runs(batch.column(1)):
+                for name, code in zip(names[a:], encoder(tokenizer).encode(texts)):
                     ids.append(name)
                     codes.append(np.concatenate([code, end]).astype("<u4"))
                     size += len(code) + 1
@@ -194,6 +193,13 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
     return raw.filter("length > 8").select(_file_key(F.col("path")).alias("file"), "content")
 
 
+def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(file, content) -> (file, number of tokens)."""
+    for batch in batches:
+        n = [int(np.frombuffer(x.as_buffer(), "<u8", 1, 8)[0]) for x in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["file", "n"])
+
+
 def _with_starts(sizes: DataFrame) -> DataFrame:
     """(file, n) -> the tokens before each file, in two steps so that no task sums up all files."""
     bucket = F.shiftright("file", 42)  # 1,024 partitions
@@ -229,9 +235,9 @@ def read_documents(spark: SparkSession, path: str, with_ids: bool = True) -> Dat
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    docs = _files(spark, path).mapInArrow(documents, schema)
-    sizes = docs.groupBy("file").agg(F.sum("n_tokens").alias("n"))
-    placed = docs.join(_with_starts(sizes).select("file", "file_start"), "file")
+    files = _files(spark, path)
+    starts = _with_starts(files.mapInArrow(_headers, "file bigint, n bigint")).select("file", "file_start")
+    placed = files.mapInArrow(documents, schema).join(starts, "file")
     return placed.select(
         "doc_id", (F.col("file_start") + F.col("within")).alias("start"), "n_tokens", "ids_crc32", *["ids"] * with_ids
     )
@@ -242,14 +248,8 @@ def read_tokens_at(spark: SparkSession, path: str, positions: DataFrame, column:
 
     A file is opened by one task for all places asked of it, and no other token of it is decoded.
     """
-
-    def headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = [int(np.frombuffer(x.as_py()[8:16], "<u8")[0]) for x in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], ["file", "n"])
-
     files = _files(spark, path)
-    starts = _with_starts(files.mapInArrow(headers, "file bigint, n bigint"))
+    starts = _with_starts(files.mapInArrow(_headers, "file bigint, n bigint"))
     last = F.greatest(F.col("file_start"), F.col("file_start") + F.col("n") - 1)
     cells = starts.withColumn(
         "cell", F.explode(F.sequence(F.floor(F.col("file_start") / CELL), F.floor(last / CELL)))
