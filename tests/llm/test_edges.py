@@ -111,6 +111,14 @@ def test_token_files(spark, rows, none, tmp_path):
     assert token_codes.read_documents(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_file_names_sort_by_partition_and_number(spark):
+    names = ["part-00001-0c1f6f8e-c001-4c12-c234-c0123456789a-c000.txt", "part-00001-0c1f6f8e-c001-4c12-c234-c0123456789a-c012.txt",
+             "part-100002-0c1f6f8e-c001-4c12-c234-c0123456789a-c1000.txt"]
+    df = spark.createDataFrame([(f"file:/x/part-7-c9.d/{n}",) for n in names], "path string")
+    keys = [r.k for r in df.select(token_codes._file_key(F.col("path")).alias("k")).collect()]
+    assert keys == [1 << 32, (1 << 32) + 12, (100002 << 32) + 1000]
+
+
 @pytest.mark.parametrize("widths", [(8, 4, 4), (4, 4, 8), (8, 8, 8, 8)])
 def test_codes_round_trip(widths):
     draw = np.random.default_rng(5)
