@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import line_dedup, line_rules, license_scan
+from . import decontaminate, license_scan, line_dedup, line_rules
 
 BLANK = r"[\x20\x09-\x0D]"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -100,8 +100,41 @@ def line_dedup_sql() -> str:
     FROM documents LEFT JOIN removed USING (doc_id) LEFT JOIN kept USING (doc_id)"""
 
 
+def leaks_sql() -> str:
+    """Every item laid on every document at every shift that has four of five aligned words, word by word."""
+    window, least = decontaminate.WINDOW, decontaminate.SIMILARITY
+    masks = ((0, 1, 2, 3), (0, 2, 3, 4), (0, 1, 3, 4), (0, 1, 2, 4))
+
+    def words(table: str, name: str) -> str:
+        text = ASCII.format("coalesce(text, '')")
+        return f"""SELECT {name}, list_filter(string_split_regex({text}, {quoted(NOT_WORD)}), lambda x: x <> '') AS ws
+        FROM {table}"""
+
+    def seeds(table: str, name: str) -> str:
+        parts = []
+        for k, places in enumerate(masks):
+            key = " || ' ' || ".join(f"ws[i + {p}]" for p in places)
+            parts.append(f"""SELECT {name}, i, {k} AS mask, {key} AS key
+            FROM (SELECT *, unnest(range(1, len(ws) - {places[-1] - 1})) AS i FROM {table})""")
+        return " UNION ALL ".join(parts)
+
+    return f"""WITH d AS MATERIALIZED ({words("documents", "doc_id")}), b AS MATERIALIZED ({words("benchmark", "item_id")}),
+    shifts AS (SELECT DISTINCT doc_id, item_id, x.i - y.i AS shift FROM ({seeds("d", "doc_id")}) x
+        JOIN ({seeds("b", "item_id")}) y USING (mask, key)),
+    compared AS (SELECT doc_id, item_id, len(d.ws) AS doc_words, len(b.ws) AS n, list_transform(range(1, len(b.ws) + 1),
+        lambda j: CASE WHEN shift + j >= 1 AND shift + j <= len(d.ws) AND d.ws[shift + j] = b.ws[j] THEN 1 ELSE 0 END) AS same
+        FROM shifts JOIN d USING (doc_id) JOIN b USING (item_id)),
+    judged AS (SELECT *, list_sum(same) AS same_words, greatest(list_sum(same)::DOUBLE / n, list_max(list_transform(
+        range(1, n - least(n, {window}) + 2), lambda s: list_sum(same[s : s + least(n, {window}) - 1])::DOUBLE
+            / least(n, {window})))) AS best FROM compared)
+    SELECT doc_id, item_id, max(doc_words)::BIGINT AS doc_words, max(n)::BIGINT AS item_words,
+        max(same_words)::BIGINT AS same_words, round(max(best), 6) AS best_window
+    FROM judged WHERE best >= {least}::DOUBLE GROUP BY doc_id, item_id"""
+
+
 ORACLES = {
     "op1_license_scan": license_sql(),
+    "op2_spaced_seeds": leaks_sql(),
     "op6_line_rules": line_rules_sql(),
     "op8_line_suffixes": line_dedup_sql(),
 }
