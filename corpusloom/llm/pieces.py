@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Pieces that a worker remembers; beyond it the memory starts anew. About 200 bytes each.
-REMEMBERED = 700_000
+REMEMBERED = 400_000
 #: Stands between pieces that are encoded together; a piece that holds it is encoded alone.
 MARK = "\ue000"
 TOGETHER = 64
@@ -66,18 +66,18 @@ class PieceEncoder:
             for i in odd:
                 heads[i], *parts[i] = _CUT.split(texts[i])
                 new.update(p for p in parts[i] if p not in self.later)
-        lines = self._learn_all({h for h in heads if h not in self.first}, new)
+        passing = self._learn_all({h for h in heads if h not in self.first}, new)
         first, later = self.first, self.later
         out = [
             np.frombuffer(first[head] + b"".join(map(later.__getitem__, p)), dtype="<u2")
             for head, p in zip(heads, parts)
         ]
-        for p in lines:  # a line's end and the next one's begin hardly meet again
+        for p in passing:
             later.pop(p, None)
         return out
 
-    def _learn_all(self, heads: set[str], new: set[str]) -> dict[str, tuple[str, str]]:
-        """Make all pieces known; returns those around a line feed, which need not stay so."""
+    def _learn_all(self, heads: set[str], new: set[str]) -> list[str]:
+        """Make all pieces known; returns those made of others, which need not stay so."""
         first, later = self.first, self.later
         lines, ended = self._made_of_others(new)
         lone = new.difference(lines, ended)
@@ -97,7 +97,7 @@ class PieceEncoder:
         feed = first["\n"]
         for p, (left, right) in lines.items():
             later[p] = later[left] + feed + first[right]
-        return lines
+        return [*lines, *ended]
 
     @staticmethod
     def _made_of_others(new: set[str]) -> tuple[dict[str, tuple[str, str]], list[str]]:

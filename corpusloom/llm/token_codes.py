@@ -32,10 +32,10 @@ MAGIC = b"DACTOK01"
 WIDTHS = (8, 4, 4)
 BLOCK = 512
 #: Tokens after which a file is closed; a file holds whole documents, so the last one may go beyond.
-TOKENS_PER_FILE = 4_000_000
+TOKENS_PER_FILE = 2_000_000
 #: Width of the cells by which positions find their file.
 CELL = 1 << 20
-_TEXTS_AT_ONCE = 4_000_000
+_TEXTS_AT_ONCE = 2_000_000
 
 
 @functools.cache
@@ -45,7 +45,7 @@ def encoder(path: str) -> PieceEncoder:
 
 
 def small_runs(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """Consecutive texts that have about four million bytes together, with the place of the first."""
+    """Consecutive texts that have about two million bytes together, with the place of the first."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     run = (np.cumsum(sizes) - sizes) // _TEXTS_AT_ONCE
     cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(texts)]
@@ -157,7 +157,7 @@ def write_token_files(
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int | None] = []
         codes: list[np.ndarray] = []
-        size, end = 0, np.array([end_id], "<u4")
+        size, end = 0, np.array([end_id], "<u2")
 
         def close() -> pa.RecordBatch:
             out = pa.RecordBatch.from_arrays([pa.array([to_file(ids, codes, widths)], pa.binary())], ["file"])
@@ -170,7 +170,7 @@ def write_token_files(
             for a, texts in small_runs(batch.column(1)):
                 for name, code in zip(names[a:], encoder(tokenizer).encode(texts)):
                     ids.append(name)
-                    codes.append(np.concatenate([code, end]).astype("<u4"))
+                    codes.append(np.concatenate([code, end]))
                     size += len(code) + 1
                     if size >= tokens_per_file:
                         yield close()
@@ -184,7 +184,7 @@ def write_token_files(
 
 def _file_key(path):
     """(partition, number) in a file's name, as one number."""
-    part, number = F.regexp_extract(path, r"part-(\d+)-", 1), F.regexp_extract(path, r"-c(\d+)[^/]*$", 1)
+    part, number = F.regexp_extract(path, r"/part-(\d+)-[^/]*$", 1), F.regexp_extract(path, r"-c(\d+)\.[^/]*$", 1)
     return part.cast("bigint") * F.lit(1 << 32) + number.cast("bigint")
 
 
