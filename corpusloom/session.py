@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import math
+import re
 import tempfile
 import uuid
 
@@ -24,7 +25,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     conf = spark.sparkContext.getConf()
     base = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster has executors of its own
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = _local_base()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
