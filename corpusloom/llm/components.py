@@ -51,3 +51,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     least = down.groupBy("u").agg(F.min("v").alias("m"))
     others = down.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return others.union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
+
+
+def first_rows(rows: DataFrame, roots: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One of ``rows``, which are numbered by ``__row``, for each ``root`` of ``roots`` (``row``, ``root``): the smallest
+    id, null ids last, ties by a hash of the text."""
+    known = rows.select(F.col("__row").alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("twin"))
+    order = F.struct(F.col("id").isNull().alias("without"), "id", "twin", "row")
+    first = roots.join(known, "row").groupBy("root").agg(F.min(order).alias("first"))
+    stays = first.select(F.col("first.row").alias("__row")).hint("merge")  # nearly all rows: one plan at every size
+    return rows.join(stays, "__row", "left_semi").drop("__row")

@@ -109,7 +109,15 @@ def leaks(
     )
 
 
-def clean(docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` whose id leaks nothing, with all their columns; rows with a null id that leak go too."""
-    bad = leaks(docs, bench, id_col=id_col, **options).select(F.col("doc_id").alias("__leaks")).distinct()
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("__leaks")), "left_anti")
+def clean(
+    docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
+    """The rows of ``docs`` that leak nothing, with all their columns. Every row is judged by its own text, so rows
+    with a null or repeated id go only if they leak themselves."""
+
+    def key(df: DataFrame) -> Column:
+        return F.struct(df[id_col].alias("id"), F.xxhash64(df[text_col]).alias("a"), F.xxhash64(F.lit("second"), df[text_col]).alias("b"))
+
+    keyed = docs.select(key(docs).alias("doc_id"), docs[text_col].alias("text"))
+    bad = leaks(keyed, bench, **options).select(F.col("doc_id").alias("__leaks")).distinct()
+    return docs.join(bad, key(docs).eqNullSafe(F.col("__leaks")), "left_anti")

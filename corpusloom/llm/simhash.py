@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, first_rows
 
 SHINGLE = 4
 RADIUS = 4
@@ -230,11 +230,14 @@ def near_duplicates(
 
 
 def keep_one(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``df`` with the smallest id of their component, all columns kept.
+    """One row of ``df`` of every component, all columns kept: the one with the smallest id.
 
-    Rows that repeat an id all stay if the id does; rows without an id stay only where no member has one.
+    Every row is decided for itself. A row without an id stays only where no member has one, and of rows with the
+    same id one stays.
     """
-    found = near_duplicates(df, id_col=id_col, text_col=text_col)
-    stays = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stays")).distinct()
-    stays = stays.hint("merge")  # nearly all ids: one plan at every size
-    return df.join(stays, df[id_col].eqNullSafe(F.col("__stays")), "left_semi")
+    from ..session import stage
+
+    rows = stage(df.withColumn("__row", F.monotonically_increasing_id()))
+    found = near_duplicates(rows, id_col="__row", text_col=text_col)
+    roots = found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("root"))
+    return first_rows(rows, roots, id_col, text_col)
