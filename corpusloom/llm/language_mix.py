@@ -3,8 +3,8 @@
 Learning counts byte trigrams per language over all labelled documents; counts are summed inside each task before
 they move, and the model has one line per hash bin whatever the corpus. A word's likelihood under a language is
 the product over the trigrams around its letters. Expectation-maximisation then estimates the share of each
-language among a document's words; nested sets of its likeliest languages are compared by likelihood less a
-penalty per language, and the prediction is the largest share of the best set.
+language among a document's words; nested sets of its likeliest languages, up to all of them, are compared by
+likelihood less a penalty per language, and the prediction is the largest share of the best set.
 """
 
 from __future__ import annotations
@@ -22,7 +22,6 @@ BINS = 1 << 15
 #: Added to every count, so that no trigram rules a language out.
 SMOOTHING = 0.5
 ROUNDS = 6
-MOST_LANGUAGES = 3
 #: Languages a model may have; more are an error, not a cut.
 MODEL_LIMIT = 1000
 UNKNOWN = "und"
@@ -153,19 +152,32 @@ def mixtures(texts: Sequence[str | None], model: Model) -> tuple[np.ndarray, np.
     k = len(model.languages)
     full, _ = _shares(likely, owner, first, n, np.full((len(rows), k), 1 / k, "f4"), ROUNDS)
     order = np.argsort(-full, axis=1, kind="stable")
-    best, best_fit = None, None
-    for m in range(1, min(MOST_LANGUAGES, k) + 1):
-        start = np.zeros_like(full)
-        np.put_along_axis(start, order[:, :m], np.maximum(np.take_along_axis(full, order[:, :m], 1), 1e-6), 1)
+    # No set is likelier than this: by concavity, no mixture gains more than n log(largest mean ratio) on a given one.
+    mixed = np.maximum((likely * full[owner]).sum(1, dtype="f8"), 1e-30)
+    ratio = np.add.reduceat(likely / mixed[:, None], first, axis=0).max(1) / n
+    bound = np.add.reduceat(np.log(mixed), first) + n * np.log(np.maximum(ratio, 1)) + 1e-4 * n + 0.01
+    penalty = 0.5 * np.log(n + 1.0)
+    best, best_fit, open_ = np.zeros_like(full), np.full(len(rows), -np.inf), np.arange(len(rows))
+    for m in range(1, k + 1):
+        # A document is done once no larger set can reach its best one.
+        open_ = open_[bound[open_] - (m - 1) * penalty[open_] > best_fit[open_]] if m > 1 else open_
+        if not len(open_):
+            break
+        some, own = n[open_], np.repeat(np.arange(len(open_)), n[open_])
+        begin = np.cumsum(some) - some
+        words = np.arange(len(own)) + (first[open_] - begin)[own]
+        languages = order[open_, :m]
+        start = np.maximum(np.take_along_axis(full[open_], languages, 1), 1e-6)
         start /= start.sum(1, keepdims=True)
-        shares, fit = _shares(likely, owner, first, n, start, 0 if m == 1 else ROUNDS // 2)
-        fit = fit - 0.5 * (m - 1) * np.log(n + 1.0)
-        if best is None:
-            best, best_fit = shares, fit
-        else:
-            better = fit > best_fit
-            best = np.where(better[:, None], shares, best)
-            best_fit = np.where(better, fit, best_fit)
+        shares, fit = _shares(
+            np.take_along_axis(likely[words], languages[own], 1), own, begin, some, start, 0 if m == 1 else ROUNDS // 2
+        )
+        fit = fit - (m - 1) * penalty[open_]
+        better = fit > best_fit[open_]
+        best_fit[open_[better]] = fit[better]
+        chosen = np.zeros_like(best[open_[better]])
+        np.put_along_axis(chosen, languages[better], shares[better], 1)
+        best[open_[better]] = chosen
     share[rows] = best
     return share, lettered
 
