@@ -1,9 +1,8 @@
-"""License scan with a positional index of rare words.
+"""License scan by one rare anchor word per template, and verification.
 
-The index knows licence notices as word sequences (templates) with a mandatory key phrase each. A file is looked
-up by its rarest licence words only: for every template the word of the key phrase with the highest IDF in the
-corpus is its posting. A file's places of posting words are intersected with the postings by relative position,
-which gives the places where a template would start; the key phrase is verified there, word by word, and the
+Licence notices are known as word sequences (templates) with a mandatory key phrase each. For every template the
+word of the key phrase with the highest IDF in the corpus is its anchor. Every place of the anchor in a file tells
+where the template would start; the key phrase is verified there, word by word, and the
 score is the IDF-weighted share of the template's words that stand at their places.
 
 A key phrase cannot occur without its rarest word, so no place is missed. Two narrow passes over the texts: one
