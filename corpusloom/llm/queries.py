@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from . import (
-    decontaminate, language_mix, license_scan, line_dedup, line_rules, oracles, packing, quality_gam, shards, simhash,
-    token_codes,
+    decontaminate, language_mix, license_scan, line_dedup, line_rules, oracles, packing, phrases, quality_gam, shards,
+    simhash, token_codes, trie_bpe, whitening,
 )
 from .tables import in_learning_part, table
 
@@ -98,3 +98,18 @@ def op10_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     model = language_mix.learn(docs.filter(in_learning_part()))
     held_out = F.coalesce(~in_learning_part(), F.lit(False)).alias("held_out")
     return language_mix.identify(docs, model).select("doc_id", held_out, "lang_pred", "score")
+
+
+@query
+def op11_trie_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return trie_bpe.encode(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json"), with_ids=False, with_text=False)
+
+
+@query
+def op12_exact_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+@query
+def op13_count_streams(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
