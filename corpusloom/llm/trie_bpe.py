@@ -19,6 +19,8 @@ import hashlib
 import json
 import os
 import re
+import unicodedata
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -28,19 +30,32 @@ from pyspark.sql import types as T
 from .tables import texts
 
 #: Stretches between white space, and trie nodes, that a worker remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
-NODES = 600_000
+REMEMBERED = 600_000
+NODES = 800_000
 #: Longer stretches and words are encoded, but not remembered.
 LONG = 64
 #: Characters of a text that are worked off at once.
 PART = 1_000_000
 NEVER = 1 << 40
+#: The cut into words that has a form of its own for characters without composition, all but blanks and controls.
+CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN = re.compile("[!-~\xa1-\xac\xae-\u02ff]+")
 #: Python splits at these; the vocabulary does not call them white space.
 _NO_BLANK = re.compile(r"[\x1c-\x1f]")
 _PLAIN_BLANK = re.compile(r"[ \t\n\r]+")
 _INNER_CUT = re.compile(r"(?<=[A-Za-z0-9])(?=[0-9])")
 
 
+def _byte_alphabet() -> dict[int, str]:
+    """The printable character that stands for each byte: itself, or one from U+0100 on in the order of the others."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + k) for k, b in enumerate(rest)}
+
+
+BYTES = _byte_alphabet()
+
+
 class Merges:
     """The merge rules: tokens as strings of symbols, and which tokens can stand side by side.
 
@@ -79,10 +94,37 @@ class Merges:
         self.ids = {symbols: vocab[token] for token, symbols in spelt.items()}
         self.text = {i: token for token, i in vocab.items()}
         self.text.update((t["id"], t["content"]) for t in self.file.get("added_tokens", ()))
-        self.longest = max(map(len, self.ids), default=1)
-        self._beside: dict[tuple[int, int], bool] = {}
+        self.known_beside: dict[tuple[int, int], bool] = {}
         self._stands: dict[int, bool] = {}
 
+    def endings(self) -> tuple[list[dict[str, int]], list[int], list[tuple[tuple[int, int], ...]]]:
+        """Aho-Corasick automaton of the tokens that can come up: steps, fall-backs, and per state the
+        ``(length, token)`` that end there, the longest first."""
+        steps: list[dict[str, int]] = [{}]
+        own: list[tuple[tuple[int, int], ...]] = [()]
+        for symbols, token in self.ids.items():
+            if not self.stands(token):
+                continue
+            at = 0
+            for symbol in symbols:
+                if symbol not in steps[at]:
+                    steps[at][symbol] = len(steps)
+                    steps.append({})
+                    own.append(())
+                at = steps[at][symbol]
+            own[at] = ((len(symbols), token),)
+        back, todo = [0] * len(steps), deque(steps[0].values())
+        while todo:
+            at = todo.popleft()
+            own[at] += own[back[at]]
+            for symbol, to in steps[at].items():
+                fall = back[at]
+                while fall and symbol not in steps[fall]:
+                    fall = back[fall]
+                back[to] = steps[fall].get(symbol, 0)
+                todo.append(to)
+        return steps, back, own
+
     def _spine(self, token: int, side: int) -> list[int]:
         """The token, its outer part on one side, that one's outer part, and so on."""
         out = [token]
@@ -117,12 +159,12 @@ class Merges:
 
     def beside(self, left: int, right: int) -> bool:
         """Whether the two tokens, side by side, stay as they are."""
-        known = self._beside.get((left, right))
+        known = self.known_beside.get((left, right))
         if known is None:
             known = (left, right) not in self.rank and self._meet(left, right)
-            if len(self._beside) > 2_000_000:
-                self._beside.clear()
-            self._beside[left, right] = known
+            if len(self.known_beside) > 2_000_000:
+                self.known_beside.clear()
+            self.known_beside[left, right] = known
         return known
 
 
@@ -142,14 +184,29 @@ class TrieEncoder:
             raise ValueError("added tokens with rules of their own are not read")
         self.special = special
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+        self.steps, self.fall, self.endings = self.merges.endings()
+        self.plain_word = self._plain_rule()
         self.remembered, self.most_nodes = remembered, nodes
-        self.known: dict[str, tuple[int, str, str, tuple[int, ...]]] = {}
+        self.known: dict[str, tuple[int, str, str]] = {}
         self._new_trie()
 
+    def _plain_rule(self) -> re.Pattern | None:
+        """The vocabulary's cut for characters below U+0300, where nothing composes; None if it is another one."""
+        parts = self.merges.file.get("pre_tokenizer") or {}
+        cut = next((p["pattern"]["Regex"] for p in parts.get("pretokenizers", ()) if p["type"] == "Split"), None)
+        steps = [n["type"] for n in (self.merges.file.get("normalizer") or {}).get("normalizers", ())]
+        if cut != CUT or steps != ["NFC", "Replace", "Lowercase"]:
+            return None
+        below = [chr(c) for c in range(0x300)]
+        letters = "".join(c for c in below if unicodedata.category(c)[0] == "L")
+        digits = "".join(c for c in below if unicodedata.category(c)[0] == "N")
+        return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^\\s{letters}{digits}]+")
+
     def _new_trie(self) -> None:
-        self.child: dict[tuple[int, str], int] = {}
+        self.child: list[dict[str, int]] = [{}]
         self.last = [-1]  # token that ends the prefix of a node
         self.back = [-1]  # node of the prefix without it
+        self.state = [0]  # what tokens can end there
         self.ids: list[tuple[int, ...] | None] = [()]
 
     # -- words
@@ -167,73 +224,84 @@ class TrieEncoder:
             if len(path) > LONG:
                 ends[word] = self._one_path(path)
                 continue
-            node, fresh = 0, False
-            for depth, symbol in enumerate(path):
-                at = child.get((node, symbol))
+            node, fresh = 0, len(self.last)
+            for symbol in path:
+                at = child[node].get(symbol)
                 if at is None:
-                    at = len(self.last)
-                    child[node, symbol] = at
+                    at = child[node][symbol] = len(child)
+                    child.append({})
                     self.last.append(-1)
-                    self.back.append(node)  # the parent, until the walk sets it
+                    self.back.append(-1)
+                    self.state.append(0)
                     self.ids.append(None)
-                    if not fresh:
-                        sprouts.append((path, depth))
-                        fresh = True
                 node = at
+            if len(self.last) > fresh:
+                sprouts.append(path)
             ends[word] = node
         self._walk(sprouts)
         return {word: end if isinstance(end, tuple) else self._read(end) for word, end in ends.items()}
 
-    def _walk(self, sprouts: list[tuple[str, int]]) -> None:
+    def _step(self, state: int, symbol: str) -> int:
+        """The automaton's next state; steps that fall back are kept as steps of their own."""
+        steps, fall = self.steps, self.fall
+        at = state
+        while at and symbol not in steps[at]:
+            at = fall[at]
+        to = steps[at].get(symbol, 0)
+        if at != state and len(steps[state]) < 64:
+            steps[state][symbol] = to
+        return to
+
+    def _walk(self, sprouts: list[str]) -> None:
         """Depth first over the new nodes: in sorted order a path shares its start with the one before it."""
         sprouts.sort()
-        child, last, back = self.child, self.last, self.back
-        token_of, beside, stands, longest = self.merges.ids.get, self.merges.beside, self.merges.stands, self.merges.longest
+        child, last, back, state, steps, endings = self.child, self.last, self.back, self.state, self.steps, self.endings
+        beside, fits = self.merges.beside, self.merges.known_beside
         line, before = [0] * (LONG + 1), ""
-        for path, _ in sprouts:
-            shared = 0
+        for path in sprouts:
+            depth = 0
             for a, b in zip(path, before):
                 if a != b:
                     break
-                shared += 1
-            for depth in range(shared, len(path)):
-                node = line[depth + 1] = child[line[depth], path[depth]]
+                depth += 1
+            for end in range(depth + 1, len(path) + 1):
+                symbol, above = path[end - 1], line[end - 1]
+                node = line[end] = child[above][symbol]
                 if last[node] >= 0:
                     continue
-                end = depth + 1
-                for start in range(max(0, end - longest), end):
-                    token = token_of(path[start:end])
-                    if token is None:
-                        continue
-                    left = line[start]
-                    if (beside(last[left], token) if start else True) and stands(token):
-                        last[node], back[node] = token, left
-                        break
+                to = steps[state[above]].get(symbol)
+                to = state[node] = self._step(state[above], symbol) if to is None else to
+                for length, token in endings[to]:
+                    left = line[end - length]
+                    if length < end:
+                        met = fits.get((last[left], token))
+                        if not (beside(last[left], token) if met is None else met):
+                            continue
+                    last[node], back[node] = token, left
+                    break
                 else:
                     raise AssertionError("no token ends this prefix")
             before = path
 
     def _read(self, node: int) -> tuple[int, ...]:
         ids, last, back, trail = self.ids, self.last, self.back, []
+        end = node
         while ids[node] is None:
-            trail.append(node)
+            trail.append(last[node])
             node = back[node]
-        known = ids[node]
-        for at in reversed(trail):
-            known = (*known, last[at])
-        ids[trail[0] if trail else node] = known
-        return known
+        if trail:
+            ids[end] = (*ids[node], *reversed(trail))
+        return ids[end]
 
     def _one_path(self, path: str) -> tuple[int, ...]:
         """The same along one long word, outside the trie."""
-        token_of, beside, stands, longest = self.merges.ids.get, self.merges.beside, self.merges.stands, self.merges.longest
-        last, back = [-1], [-1]
-        for end in range(1, len(path) + 1):
-            for start in range(max(0, end - longest), end):
-                token = token_of(path[start:end])
-                if token is not None and (not start or beside(last[start], token)) and stands(token):
+        last, back, state, beside = [-1], [-1], 0, self.merges.beside
+        for end, symbol in enumerate(path, 1):
+            state = self._step(state, symbol)
+            for length, token in self.endings[state]:
+                if length == end or beside(last[end - length], token):
                     last.append(token)
-                    back.append(start)
+                    back.append(end - length)
                     break
             else:
                 raise AssertionError("no token ends this prefix")
@@ -252,21 +320,23 @@ class TrieEncoder:
         for part in parts:
             if part in self.special:
                 out.append(self.special[part])
+            elif part and self.plain_word and _PLAIN.fullmatch(part):
+                out.extend(w if w.isascii() else w.encode().decode("latin-1").translate(BYTES) for w in self.plain_word.findall(part.lower()))
             elif part:
                 out.extend(word for word, _ in self.cut(self.normalize(part)) if word)
         return out
 
-    def learn(self, stretches: set[str]) -> dict[str, tuple[int, str, str, tuple[int, ...]]]:
-        """``(n, ids as text, decoded, ids)`` of each stretch, all their new words through the trie at once."""
+    def learn(self, stretches: set[str]) -> dict[str, tuple[int, str, str]]:
+        """``(n, ids as text, decoded)`` of each stretch, all their new words through the trie at once."""
         pieces = {s: self._pieces(s) for s in stretches}
         ids = self.encode_words({w for p in pieces.values() for w in p if isinstance(w, str)})
         out = {}
         for stretch, found in pieces.items():
             codes = tuple(i for w in found for i in ((w,) if isinstance(w, int) else ids[w]))
-            out[stretch] = (len(codes), " ".join(map(str, codes)), decode(codes, self.merges.text), codes)
+            out[stretch] = (len(codes), " ".join(map(str, codes)), decode(codes, self.merges.text))
         return out
 
-    def parts(self, text: str) -> Iterator[list[tuple[int, str, str, tuple[int, ...]]]]:
+    def parts(self, text: str) -> Iterator[list[tuple[int, str, str]]]:
         """The text's stretches, encoded, a bounded part of it at a time."""
         for part in _bounded(text):
             stretches = part.split() if _NO_BLANK.search(part) is None else [s for s in _PLAIN_BLANK.split(part) if s]
@@ -339,7 +409,7 @@ def encode(docs: DataFrame, path: str, *, with_ids: bool = True, with_text: bool
                         of_text.update((gap + part).encode())
                         gap = " "
                         if with_ids:
-                            ids.extend(i for f in found for i in f[3])
+                            ids.extend(int(i) for f in found for i in f[1].split(" "))
                         if with_text:
                             said.append(part)
                 n.append(count)

@@ -31,7 +31,7 @@ def encoder():
 
 
 def ids_of(encoder, text):
-    return [i for part in encoder.parts(text) for found in part for i in found[3]]
+    return [int(i) for part in encoder.parts(text) for found in part for i in found[1].split()]
 
 
 def random_texts():
@@ -49,6 +49,12 @@ def test_ids_and_decoding_as_the_library(encoder, library):
         assert trie_bpe.decode(got, encoder.merges.text) == library.decode(code.ids, skip_special_tokens=False)
 
 
+def test_every_character_below_the_first_that_composes(encoder, library):
+    for c in map(chr, range(0x300)):
+        for text in (c, f"a{c}", f"{c}b", f"A{c}'s1{c}{c}", f"x {c} y"):
+            assert ids_of(encoder, text) == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_every_token_before_every_kind_of_token(encoder, library):
     draw, vocab = random.Random(5), sorted(library.get_vocab())
     words = [a.replace("</w>", "") + draw.choice(vocab).replace("</w>", "") for a in vocab[::3]]
