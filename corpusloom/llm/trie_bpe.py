@@ -39,7 +39,7 @@ PART = 1_000_000
 NEVER = 1 << 40
 #: The cut into words that has a form of its own for characters without composition, all but blanks and controls.
 CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_PLAIN = re.compile("[!-~\xa1-\xac\xae-\u02ff]+")
+_PLAIN = re.compile("[!-~\xa1-\xac\xae-\u01ff]+")
 #: Python splits at these; the vocabulary does not call them white space.
 _NO_BLANK = re.compile(r"[\x1c-\x1f]")
 _PLAIN_BLANK = re.compile(r"[ \t\n\r]+")
@@ -191,7 +191,7 @@ class TrieEncoder:
         self._new_trie()
 
     def _plain_rule(self) -> re.Pattern | None:
-        """The vocabulary's cut for characters below U+0300, where nothing composes; None if it is another one."""
+        """The vocabulary's cut for characters below U+0200, where nothing composes; None if it is another one."""
         parts = self.merges.file.get("pre_tokenizer") or {}
         cut = next((p["pattern"]["Regex"] for p in parts.get("pretokenizers", ()) if p["type"] == "Split"), None)
         steps = [n["type"] for n in (self.merges.file.get("normalizer") or {}).get("normalizers", ())]
