@@ -53,11 +53,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
 
 
+def numbered_rows(df: DataFrame) -> DataFrame:
+    """``(nth, given)``: a number per row beside all its columns in one struct, so that none can clash; written once."""
+    return stage(df.select(F.monotonically_increasing_id().alias("nth"), F.struct("*").alias("given")))
+
+
 def first_rows(rows: DataFrame, roots: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One of ``rows``, which are numbered by ``__row``, for each ``root`` of ``roots`` (``row``, ``root``): the smallest
+    """The columns of one of ``numbered_rows`` for each ``root`` of ``roots`` (``row``, ``root``): the smallest
     id, null ids last, ties by a hash of the text."""
-    known = rows.select(F.col("__row").alias("row"), F.col(id_col).alias("id"), F.xxhash64(text_col).alias("twin"))
+    known = rows.select(F.col("nth").alias("row"), F.col("given")[id_col].alias("id"), F.xxhash64(F.col("given")[text_col]).alias("twin"))
     order = F.struct(F.col("id").isNull().alias("without"), "id", "twin", "row")
     first = roots.join(known, "row").groupBy("root").agg(F.min(order).alias("first"))
-    stays = first.select(F.col("first.row").alias("__row")).hint("merge")  # nearly all rows: one plan at every size
-    return rows.join(stays, "__row", "left_semi").drop("__row")
+    stays = first.select(F.col("first.row").alias("nth")).hint("merge")  # nearly all rows: one plan at every size
+    return rows.join(stays, "nth", "left_semi").select("given.*")

@@ -25,8 +25,10 @@ WINDOW = 13
 SIMILARITY = 0.8
 #: Up to so many benchmark seeds (some 50 MB) their table goes to every executor; a longer one is joined by shuffle.
 BROADCAST_SEEDS = 1_000_000
-#: Up to so many places to compare (some 400 bytes each) they are sent to the texts; otherwise texts move to them.
-BROADCAST_PLACES = 100_000
+#: Up to so many words of items to compare (8 bytes each) they are sent to the texts; otherwise texts move to them.
+BROADCAST_WORDS = 4_000_000
+#: Words of items, summed over places, that a document is compared with at once.
+WORDS_AT_ONCE = 500_000
 
 
 def _seeds(h: str) -> Column:
@@ -48,6 +50,7 @@ def _seeds(h: str) -> Column:
 def leaks(
     docs: DataFrame, bench: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
     item_text_col: str = "text", window: int = WINDOW, similarity: float = SIMILARITY,
+    words_at_once: int = WORDS_AT_ONCE,
 ) -> DataFrame:
     """One row per document and benchmark item it leaks: ``doc_id``, ``item_id``, ``doc_words``, ``item_words``, ``same_words``
     (most equal words at one shift) and ``best_window`` (share of equal words in the best stretch, or in the whole item).
@@ -73,17 +76,25 @@ def leaks(
         F.col("other").isNull() | F.col("item_other").isNull() | (F.col("other") != F.col("item_other"))
     )
     places = stage(hits.select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct())
-    # The places of a document go back to its text, which is compared with the items once.
-    asked = places.join(items, places["item_id"].eqNullSafe(items["item_id"])).groupBy("doc_id").agg(
-        F.collect_list(F.struct(places["item_id"], "shift", "item")).alias("asked")
+    # The places of a document go back to its text in parts of bounded size, each compared with its items at once.
+    weighed = places.join(
+        items.select(F.col("item_id").alias("of_item"), "item", F.size("item").cast("bigint").alias("n")),
+        F.col("item_id").eqNullSafe(F.col("of_item")),
     )
-    if places.count() <= BROADCAST_PLACES:
+    per_doc = weighed.groupBy("doc_id").agg(F.sum("n").alias("words"))
+    total = per_doc.agg(F.sum("words")).first()[0] or 0
+    parts = per_doc.select(F.col("doc_id").alias("of_doc"), F.ceil(F.col("words") / words_at_once).alias("parts"))
+    part = F.pmod(F.xxhash64("item_id", "shift"), F.col("parts")).alias("part")
+    asked = weighed.join(parts, F.col("doc_id").eqNullSafe(F.col("of_doc"))).groupBy("doc_id", part).agg(
+        F.collect_list(F.struct("item_id", "shift", "item")).alias("asked")
+    )
+    if total <= BROADCAST_WORDS:
         asked = F.broadcast(asked)
-    found = d.join(asked.withColumnRenamed("doc_id", "asked_id"), F.col("doc_id").eqNullSafe(F.col("asked_id")))
-    told = found.select("doc_id", "asked", hashed(F.col("text")).alias("h"))
+    asked = asked.select(F.col("doc_id").alias("asked_id"), "asked")
+    found = d.join(asked, F.col("doc_id").eqNullSafe(F.col("asked_id")))
 
-    def compared(x: Column) -> Column:
-        same = F.transform(x["item"], lambda w, j: F.coalesce(F.get("h", x["shift"] + j) == w, F.lit(False)))
+    def compared(h: Column, x: Column) -> Column:
+        same = F.transform(x["item"], lambda w, j: F.coalesce(F.get(h, x["shift"] + j) == w, F.lit(False)))
         return F.struct(x["item_id"].alias("item_id"), same.alias("same"))
 
     def judged(x: Column) -> Column:
@@ -98,8 +109,12 @@ def leaks(
             F.greatest(F.array_max(stretches), count / n).alias("best_window"),
         )
 
-    # The number of words stays in the result: "h" has two users then, and is made once per text, not once per place.
-    marked = told.select("doc_id", F.size("h").alias("doc_words"), F.transform("asked", compared).alias("marks"))
+    # The hashes are bound as a variable: the text is cut and hashed once, whatever columns are asked for in the end.
+    marks = F.transform(
+        F.array(hashed(F.col("text"))),
+        lambda h: F.struct(F.size(h).alias("doc_words"), F.transform("asked", lambda x: compared(h, x)).alias("marks")),
+    )[0]
+    marked = found.select("doc_id", marks.alias("m")).select("doc_id", "m.doc_words", "m.marks")
     judged_rows = marked.select("doc_id", "doc_words", F.inline(F.transform("marks", judged)))
     rows = judged_rows.filter(F.col("best_window") >= similarity)
     return rows.groupBy("doc_id", "item_id").agg(
@@ -119,5 +134,7 @@ def clean(
         return F.struct(df[id_col].alias("id"), F.xxhash64(df[text_col]).alias("a"), F.xxhash64(F.lit("second"), df[text_col]).alias("b"))
 
     keyed = docs.select(key(docs).alias("doc_id"), docs[text_col].alias("text"))
-    bad = leaks(keyed, bench, **options).select(F.col("doc_id").alias("__leaks")).distinct()
-    return docs.join(bad, key(docs).eqNullSafe(F.col("__leaks")), "left_anti")
+    bad = leaks(keyed, bench, **options).select(F.col("doc_id").alias("leaks")).distinct()
+    # The caller's columns travel in one struct, so that none can clash with a helper.
+    rows = docs.select(F.struct("*").alias("row"), key(docs).alias("key"))
+    return rows.join(bad, F.col("key").eqNullSafe(F.col("leaks")), "left_anti").select("row.*")

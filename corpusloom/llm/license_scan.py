@@ -1,12 +1,14 @@
-"""License scan by one rare anchor word per template, and verification.
+"""License scan by a positional index of rare licence words.
 
-Licence notices are known as word sequences (templates) with a mandatory key phrase each. For every template the
-word of the key phrase with the highest IDF in the corpus is its anchor. Every place of the anchor in a file tells
-where the template would start; the key phrase is verified there, word by word, and the
-score is the IDF-weighted share of the template's words that stand at their places.
+Licence notices are known as word sequences (templates) with a mandatory key phrase each. The index has, for every
+template, the key phrase's ``RARE_WORDS`` words of highest IDF in the corpus with their places: its postings. In a file,
+every place of such a word says where a template that lists it would start; the starts of a template's postings
+are intersected, so only places where all its rare words stand at the right distances are left. There the key
+phrase is verified, word by word, and the score is the IDF-weighted share of the template's words at their places.
 
-A key phrase cannot occur without its rarest word, so no place is missed. Two narrow passes over the texts: one
-counts document frequencies of the licence words (a table as long as the word list), one scans. Texts never move.
+A key phrase cannot occur without its rare words at their distances, so no place is missed. Two narrow passes over the
+texts: one counts document frequencies of the licence words (a table as long as the word list), one scans. Texts never
+move.
 """
 
 from __future__ import annotations
@@ -58,6 +60,8 @@ NOTICES = (
     Template("all-rights-reserved", "all rights reserved", "all rights reserved"),
 )
 TEMPLATES = BASE + NOTICES
+#: Words of a key phrase that are looked up and intersected.
+RARE_WORDS = 3
 
 
 def document_frequencies(words: DataFrame, vocabulary: Sequence[str]) -> tuple[int, dict[str, int]]:
@@ -74,12 +78,13 @@ def rarity(rows: int, counts: Mapping[str, int], vocabulary: Sequence[str]) -> d
     return {w: round(math.log((rows + 1) / (counts.get(w, 0) + 1)) + 1, 6) for w in vocabulary}
 
 
-def posting(template: Template, idf: Mapping[str, float]) -> tuple[str, int, int]:
-    """The key phrase's rarest word (the first of equals), its place in the template, the key phrase's place."""
+def postings(template: Template, idf: Mapping[str, float], most: int = RARE_WORDS) -> tuple[list[tuple[str, int]], int]:
+    """The key phrase's rarest words (of equals the first), each with its first place in the template, and the key
+    phrase's place."""
     words, key = template.text.split(), template.key.split()
     at = next(i for i in range(len(words)) if words[i : i + len(key)] == key)
-    best = max(range(len(key)), key=lambda i: (idf[key[i]], -i))
-    return key[best], at + best, at
+    rarest = sorted(dict.fromkeys(key), key=lambda w: (-idf[w], key.index(w)))[:most]
+    return [(w, at + key.index(w)) for w in rarest], at
 
 
 def scan(
@@ -95,38 +100,44 @@ def scan(
     words = texts(df, id_col, text_col).select("doc_id", plain_words(F.col("text")).alias("words"))
     vocabulary = sorted({w for t in templates for w in t.text.split()})
     idf = rarity(*document_frequencies(words, vocabulary), vocabulary)
-    postings = [(t, *posting(t, idf)) for t in templates]
-    anchors = sorted({word for _, word, _, _ in postings})
+    index = [(t, *postings(t, idf)) for t in templates]
+    rare = sorted({word for _, listed, _ in index for word, _ in listed})
 
     places = F.filter(
         F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.get("words", i).isin(*anchors),
+        lambda i: F.get("words", i).isin(*rare),
     )
     placed = words.withColumn("places", places)
 
-    def matches_of(t: Template, word: str, at: int, key_at: int) -> Column:
+    def matches_of(t: Template, listed: Sequence[tuple[str, int]], key_at: int) -> Column:
         key = t.key.split()
 
-        def verified(i: Column) -> Column:
-            same = [F.coalesce(F.get("words", i - at + key_at + j) == w, F.lit(False)) for j, w in enumerate(key)]
-            return (F.get("words", i) == word) & _all(same)
+        def starts_by(word: str, at: int) -> Column:
+            return F.transform(F.filter("places", lambda i: F.get("words", i) == word), lambda i: i - at)
 
-        def match(i: Column) -> Column:
-            start, sum_, whole = i - at, F.lit(0.0), 0.0
+        starts = starts_by(*listed[0])
+        for posting in listed[1:]:
+            starts = F.array_intersect(starts, starts_by(*posting))
+
+        def verified(start: Column) -> Column:
+            return _all([F.coalesce(F.get("words", start + key_at + j) == w, F.lit(False)) for j, w in enumerate(key)])
+
+        def match(start: Column) -> Column:
+            sum_, whole = F.lit(0.0), 0.0
             for j, w in enumerate(t.text.split()):
                 sum_ += F.when(F.coalesce(F.get("words", start + j) == w, F.lit(False)), idf[w]).otherwise(0.0)
                 whole += idf[w]
             share = F.round(F.least(sum_ / whole, F.lit(1.0)), 6)
-            first = i - at + (key_at if not t.base else 0)
+            first = start + (key_at if not t.base else 0)
             return F.struct(
                 first.cast("bigint").alias("start"), F.lit(t.label).alias("label"), F.lit(t.base).alias("base"),
                 share.alias("score"),
             )
 
-        return F.transform(F.filter("places", verified), match)
+        return F.transform(F.filter(starts, verified), match)
 
     kind = "array<struct<start:bigint,label:string,base:boolean,score:double>>"
-    all_ = F.sort_array(F.concat(*[matches_of(*p) for p in postings]))
+    all_ = F.sort_array(F.concat(*[matches_of(*p) for p in index]))
     found = placed.withColumn("matches", F.when(F.size("places") > 0, all_).otherwise(F.array().cast(kind)))
     base = found.withColumn("base", F.filter("matches", lambda m: m["base"]))
     return base.select(

@@ -29,7 +29,9 @@ def _ends(piece: str) -> bool:
 
 
 class PieceEncoder:
-    """Encodes texts; special tokens' strings inside a text are ordinary text.
+    """Encodes texts as the library does by default: special tokens' strings inside a text are their ids.
+
+    They hold no white space, so they lie whole in one piece, and what follows one starts anew as a piece does.
 
     path  file of the tokenizer; its ids must fit 16 bits
     """
@@ -39,7 +41,6 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True
         if self.model.get_vocab_size() > 65_536:
             raise ValueError("the vocabulary does not fit 16 bits")
         self.remembered = remembered

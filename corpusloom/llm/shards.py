@@ -91,7 +91,11 @@ def shuffle_into_shards(
     """
     spark, names = df.sparkSession, [c for c in df.columns if c not in ("shard", "slot")]
     told = [F.coalesce(F.col(c).cast("string"), F.lit("\0null")) for c in keys]
-    rows = df.select(*names, F.xxhash64(F.lit(seed), *told).alias("__k1"), F.xxhash64(F.lit(seed + 1), *told).alias("__k2"))
+    # The caller's columns travel in one struct, so that none can clash with a helper.
+    rows = df.select(
+        F.struct(*names).alias("given"), F.struct(*keys).alias("told"),
+        F.xxhash64(F.lit(seed), *told).alias("__k1"), F.xxhash64(F.lit(seed + 1), *told).alias("__k2"),
+    )
     # Counted over the most blocks there can be; neighbours are joined until blocks have the wanted size.
     fine = F.shiftrightunsigned("__k1", 64 - MOST_BLOCKS.bit_length() + 1).cast("int")
     counted = {r["b"]: r["n"] for r in rows.groupBy(fine.alias("b")).agg(F.count("*").alias("n")).collect()}
@@ -113,7 +117,7 @@ def shuffle_into_shards(
     deal = spark.createDataFrame(ends, "__block int, __ends array<bigint>")
 
     # Local permutation, then the exchange: row r of a block goes to the first shard whose end lies beyond r.
-    in_block = Window.partitionBy("__block").orderBy("__k2", *keys)
+    in_block = Window.partitionBy("__block").orderBy("__k2", "told")
     placed = rows.withColumn("__block", F.floor(fine / step).cast("int"))
     ranked = placed.withColumn("__r", F.row_number().over(in_block) - 1).join(F.broadcast(deal), "__block")
     dealt = ranked.withColumn("shard", F.size(F.filter("__ends", lambda e: e <= F.col("__r"))))
@@ -127,4 +131,4 @@ def shuffle_into_shards(
     per = per.select("shard", "__cell", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
     in_cell = Window.partitionBy("shard", "__cell").orderBy("__k3", "__block", "__r")
     slots = again.withColumn("__rank", F.row_number().over(in_cell) - 1).join(F.broadcast(per), ["shard", "__cell"])
-    return slots.select(*names, "shard", (F.col("__before") + F.col("__rank")).cast("bigint").alias("slot"))
+    return slots.select("given.*", "shard", (F.col("__before") + F.col("__rank")).cast("bigint").alias("slot"))

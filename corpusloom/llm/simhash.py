@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components, first_rows
+from .components import components, first_rows, numbered_rows
 
 SHINGLE = 4
 RADIUS = 4
@@ -235,9 +235,7 @@ def keep_one(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -
     Every row is decided for itself. A row without an id stays only where no member has one, and of rows with the
     same id one stays.
     """
-    from ..session import stage
-
-    rows = stage(df.withColumn("__row", F.monotonically_increasing_id()))
-    found = near_duplicates(rows, id_col="__row", text_col=text_col)
+    rows = numbered_rows(df)
+    found = near_duplicates(rows.select(F.col("nth").alias("doc_id"), F.col("given")[text_col].alias("text")))
     roots = found.select(F.col("doc_id").alias("row"), F.col("component_id").alias("root"))
     return first_rows(rows, roots, id_col, text_col)

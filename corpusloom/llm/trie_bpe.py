@@ -56,6 +56,10 @@ def _byte_alphabet() -> dict[int, str]:
 BYTES = _byte_alphabet()
 
 
+#: Number of ids, the ids as text, the decoded text.
+Coded = tuple[int, str, str]
+
+
 class Merges:
     """The merge rules: tokens as strings of symbols, and which tokens can stand side by side.
 
@@ -187,7 +191,10 @@ class TrieEncoder:
         self.steps, self.fall, self.endings = self.merges.endings()
         self.plain_word = self._plain_rule()
         self.remembered, self.most_nodes = remembered, nodes
-        self.known: dict[str, tuple[int, str, str]] = {}
+        self.named = {i: str(i) for i in self.merges.text}
+        # Two generations: what was met since the last turn outlives the next one.
+        self.known: dict[str, Coded] = {}
+        self.older: dict[str, Coded] = {}
         self._new_trie()
 
     def _plain_rule(self) -> re.Pattern | None:
@@ -203,98 +210,89 @@ class TrieEncoder:
         return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^\\s{letters}{digits}]+")
 
     def _new_trie(self) -> None:
-        self.child: list[dict[str, int]] = [{}]
+        self.child: list[dict[str, int] | None] = [None]
         self.last = [-1]  # token that ends the prefix of a node
         self.back = [-1]  # node of the prefix without it
         self.state = [0]  # what tokens can end there
-        self.ids: list[tuple[int, ...] | None] = [()]
 
     # -- words
 
     def symbols(self, word: str) -> str:
         return word[:-1] + chr(ord(word[-1]) + Merges.END) if self.merges.suffix else word
 
-    def encode_words(self, words: set[str]) -> dict[str, tuple[int, ...]]:
-        """Ids of distinct words: insert all, walk what is new, read off."""
+    def encode_words(self, words: set[str]) -> dict[str, Coded]:
+        """``(n, ids as text, decoded)`` of distinct words.
+
+        Depth first: in sorted order a path shares its start with the one before it, and what branches off is
+        inserted with its last tokens on the way down.
+        """
         if len(self.last) > self.most_nodes:
             self._new_trie()
-        child, ends, sprouts = self.child, {}, []
-        for word in words:
-            path = self.symbols(word)
+        child, last, back, state = self.child, self.last, self.back, self.state
+        steps, endings, fits, beside = self.steps, self.endings, self.merges.known_beside, self.merges.beside
+        line, before, out = [0] * (LONG + 1), "", {}
+        for path, word in sorted((self.symbols(word), word) for word in words):
             if len(path) > LONG:
-                ends[word] = self._one_path(path)
+                out[word] = self._coded(self._one_path(path))
                 continue
-            node, fresh = 0, len(self.last)
-            for symbol in path:
-                at = child[node].get(symbol)
-                if at is None:
-                    at = child[node][symbol] = len(child)
-                    child.append({})
-                    self.last.append(-1)
-                    self.back.append(-1)
-                    self.state.append(0)
-                    self.ids.append(None)
-                node = at
-            if len(self.last) > fresh:
-                sprouts.append(path)
-            ends[word] = node
-        self._walk(sprouts)
-        return {word: end if isinstance(end, tuple) else self._read(end) for word, end in ends.items()}
-
-    def _step(self, state: int, symbol: str) -> int:
-        """The automaton's next state; steps that fall back are kept as steps of their own."""
-        steps, fall = self.steps, self.fall
-        at = state
-        while at and symbol not in steps[at]:
-            at = fall[at]
-        to = steps[at].get(symbol, 0)
-        if at != state and len(steps[state]) < 64:
-            steps[state][symbol] = to
-        return to
-
-    def _walk(self, sprouts: list[str]) -> None:
-        """Depth first over the new nodes: in sorted order a path shares its start with the one before it."""
-        sprouts.sort()
-        child, last, back, state, steps, endings = self.child, self.last, self.back, self.state, self.steps, self.endings
-        beside, fits = self.merges.beside, self.merges.known_beside
-        line, before = [0] * (LONG + 1), ""
-        for path in sprouts:
             depth = 0
-            for a, b in zip(path, before):
-                if a != b:
+            for x, y in zip(path, before):
+                if x != y:
                     break
                 depth += 1
+            node = line[depth]
             for end in range(depth + 1, len(path) + 1):
-                symbol, above = path[end - 1], line[end - 1]
-                node = line[end] = child[above][symbol]
-                if last[node] >= 0:
+                symbol, above = path[end - 1], node
+                known = child[above]
+                if known is None:
+                    known = child[above] = {}
+                node = known.get(symbol)
+                if node is not None:
+                    line[end] = node
                     continue
+                node = line[end] = known[symbol] = len(child)
                 to = steps[state[above]].get(symbol)
-                to = state[node] = self._step(state[above], symbol) if to is None else to
+                if to is None:
+                    to = self._step(state[above], symbol)
                 for length, token in endings[to]:
                     left = line[end - length]
                     if length < end:
                         met = fits.get((last[left], token))
                         if not (beside(last[left], token) if met is None else met):
                             continue
-                    last[node], back[node] = token, left
                     break
                 else:
                     raise AssertionError("no token ends this prefix")
+                child.append(None)
+                last.append(token)
+                back.append(left)
+                state.append(to)
             before = path
+            trail = []
+            while node:
+                trail.append(last[node])
+                node = back[node]
+            trail.reverse()
+            out[word] = self._coded(trail)
+        return out
+
+    def _coded(self, ids: list[int]) -> Coded:
+        named, text = self.named, self.merges.text
+        return len(ids), " ".join([named[i] for i in ids]), decode(ids, text)
+
+    def _step(self, state: int, symbol: str) -> int:
+        """The automaton's next state; steps that fall back are kept as steps of their own."""
+        steps, fall = self.steps, self.fall
+        at = state
+        while at and symbol not in steps[at]:
+            at = fall[at]
+        to = steps[at].get(symbol, 0)
+        if at != state and len(steps[state]) < 64:
+            steps[state][symbol] = to
+        return to
 
-    def _read(self, node: int) -> tuple[int, ...]:
-        ids, last, back, trail = self.ids, self.last, self.back, []
-        end = node
-        while ids[node] is None:
-            trail.append(last[node])
-            node = back[node]
-        if trail:
-            ids[end] = (*ids[node], *reversed(trail))
-        return ids[end]
-
-    def _one_path(self, path: str) -> tuple[int, ...]:
-        """The same along one long word, outside the trie."""
+    def _one_path(self, path: str) -> list[int]:
+        """The ids along one long word, outside the trie."""
         last, back, state, beside = [-1], [-1], 0, self.merges.beside
         for end, symbol in enumerate(path, 1):
             state = self._step(state, symbol)
@@ -309,12 +307,17 @@ class TrieEncoder:
         while at:
             out.append(last[at])
             at = back[at]
-        return tuple(reversed(out))
+        return out[::-1]
 
     # -- texts
 
     def _pieces(self, stretch: str) -> list[str | int]:
         """Words of a stretch in the byte alphabet, special tokens as ids."""
+        if self.plain_word and stretch.isascii():
+            if stretch.isalpha():
+                return [stretch.lower()]
+            if stretch[-1] in ".," and stretch[:-1].isalpha():
+                return [stretch[:-1].lower(), stretch[-1]]
         parts = self.at_special.split(stretch) if self.at_special else [stretch]
         out: list[str | int] = []
         for part in parts:
@@ -326,30 +329,35 @@ class TrieEncoder:
                 out.extend(word for word, _ in self.cut(self.normalize(part)) if word)
         return out
 
-    def learn(self, stretches: set[str]) -> dict[str, tuple[int, str, str]]:
-        """``(n, ids as text, decoded)`` of each stretch, all their new words through the trie at once."""
+    def learn(self, stretches: set[str]) -> dict[str, Coded]:
+        """What each stretch comes to, all their new words through the trie at once."""
         pieces = {s: self._pieces(s) for s in stretches}
-        ids = self.encode_words({w for p in pieces.values() for w in p if isinstance(w, str)})
+        coded = self.encode_words({w for p in pieces.values() for w in p if isinstance(w, str)})
         out = {}
         for stretch, found in pieces.items():
-            codes = tuple(i for w in found for i in ((w,) if isinstance(w, int) else ids[w]))
-            out[stretch] = (len(codes), " ".join(map(str, codes)), decode(codes, self.merges.text))
+            parts = [self._coded([w]) if isinstance(w, int) else coded[w] for w in found]
+            out[stretch] = parts[0] if len(parts) == 1 else (
+                sum([p[0] for p in parts]), " ".join([p[1] for p in parts]), " ".join([p[2] for p in parts])
+            )
         return out
 
-    def parts(self, text: str) -> Iterator[list[tuple[int, str, str]]]:
+    def parts(self, text: str) -> Iterator[list[Coded]]:
         """The text's stretches, encoded, a bounded part of it at a time."""
         for part in _bounded(text):
             stretches = part.split() if _NO_BLANK.search(part) is None else [s for s in _PLAIN_BLANK.split(part) if s]
             if any(len(s) > PART for s in stretches):
                 stretches = [c for s in stretches for c in (_INNER_CUT.split(s) if len(s) > PART else [s])]
-            if len(self.known) > self.remembered:
-                self.known = {}
             new = set(stretches).difference(self.known)
             if not new:
                 yield list(map(self.known.__getitem__, stretches))
                 continue
-            met = self.learn(new)
+            if len(self.known) > self.remembered // 2:
+                self.known, self.older = {}, self.known
+                new = set(stretches)
+            again = {s for s in new if s in self.older}
+            met = self.learn(new - again)
             self.known.update((s, c) for s, c in met.items() if len(s) <= LONG)
+            self.known.update((s, self.older[s]) for s in again)
             yield [self.known.get(s) or met[s] for s in stretches]
 
 

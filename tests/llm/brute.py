@@ -128,3 +128,26 @@ def near_components(docs, radius=4):
                 ra, rb = find(a), find(b)
                 root[max(ra, rb)] = min(ra, rb)
     return {doc: (f"{prints[doc]:016x}", find(doc)) for doc in ids}
+
+
+def similar_groups(docs, size=5, similarity=0.8):
+    """Smallest id of each document's group, linked by the Jaccard similarity of word shingle sets, pair by pair."""
+    sets = {}
+    for doc, text in docs:
+        words = blank_words(low(text))
+        sets[doc] = {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+    root = {doc: doc for doc in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both >= similarity * (len(sets[a]) + len(sets[b]) - both):
+                ra, rb = find(a), find(b)
+                root[max(ra, rb)] = min(ra, rb)
+    return {doc: find(doc) for doc in ids}

@@ -84,7 +84,6 @@ def test_pieces_are_exact():
     odd += ["".join(draw.choice("ab' .\n\té　 1s") for _ in range(40)) for _ in range(200)]
     for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
         model = Tokenizer.from_file(vocabulary(name))
-        model.encode_special_tokens = True
         encoder = PieceEncoder(vocabulary(name), remembered=50)
         for _ in range(2):
             got = encoder.encode([*odd, None])
@@ -97,7 +96,6 @@ def test_token_files(spark, rows, none, tmp_path):
     path, name = str(tmp_path / "codes"), vocabulary("byte_bpe_50k.json")
     token_codes.write_token_files(rows, path, name, 2, tokens_per_file=300)
     model = Tokenizer.from_file(name)
-    model.encode_special_tokens = True
     want = sorted((repr(i), [*model.encode(t or "", add_special_tokens=False).ids, 2]) for i, t in ROWS)
     got = token_codes.read_documents(spark, path).orderBy("start").collect()
     assert sorted((repr(r.doc_id), r.ids) for r in got) == want

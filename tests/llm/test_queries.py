@@ -31,7 +31,6 @@ def tokenizer(name):
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(public_tokenizers.path(name))
-    model.encode_special_tokens = True
     return model
 
 
