@@ -13,9 +13,14 @@ from pyspark.sql import types as T
 
 from .. import fixed
 from ..schemas import IDS
+from .merges import symbols_of
 from .vocab import collect_pieces, prepared, split_pretokens
 
 
+#: Bytes, roughly, that a worker remembers of pre-tokens and their ids.
+MEMORY = 200_000_000
+
+
 def _regroup(words: pa.Array, per_word: np.ndarray, flat: pa.Array) -> pa.Array:
     """Ids per document from ids per word: the document bounds moved from words to ids."""
     ends = np.concatenate([[0], np.cumsum(per_word)])
@@ -64,42 +69,55 @@ def merge_symbols(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list
 
 
 def encode_bpe(text: Column, merges: DataFrame, vocab: DataFrame, pretok: str = "word") -> Column:
-    """Piece ids of a text, line by line; newlines give no token, special strings their own id.
+    """Piece ids of a text; newlines give no token, special strings their own id.
 
-    Each distinct pre-token of a batch is merged once per worker and remembered; documents are
-    then put together by Arrow. A character without a piece becomes its UTF-8 byte pieces.
+    Layouts: ``word`` keeps words and one space between them, ``line`` every byte of a line after NFC, ``text`` every
+    character (a line break reads as a space). Each distinct pre-token of a batch is merged once per worker and
+    remembered; documents are then put together by Arrow. A character without a piece becomes its UTF-8 byte pieces,
+    and so does in the text layout what only looks like a word mark, a special or a byte piece.
     """
     pieces = collect_pieces(vocab)
     pairs = merges.orderBy("rank").limit(fixed.MAX_VOCAB + 1).collect()
     if len(pairs) > fixed.MAX_VOCAB:
         raise ValueError("more merges than 16-bit ids; at most 65,536")
-    specials = fixed.WORD_SPECIALS if pretok == "word" else fixed.LINE_SPECIALS
+    specials = fixed.LINE_SPECIALS if pretok == "line" else fixed.WORD_SPECIALS
     id_of = {p: i for i, p in enumerate(pieces)}
-    ranks = {(r.left, r.right): r.rank for r in pairs if r.left + r.right in id_of}
+    ranks = {(r.left, r.right): r.rank for r in reversed(pairs) if r.left + r.right in id_of}
     special_ids = {s: id_of[s] for s in specials}
+    reserved = {*specials, *(f"<0x{b:02X}>" for b in range(256))} if pretok == "text" else set()
+    apart = [s for s in specials if special_ids[s]]
     known: dict[str, list[int]] = {}
+    held = 0
+
+    def bytes_of(piece: str) -> list[int]:
+        return [id_of[f"<0x{b:02X}>"] for b in piece.encode()]
 
     def ids_of(word: str) -> list[int]:
+        nonlocal held
         if word in special_ids:
-            return [special_ids[word]] if special_ids[word] else []
+            return [special_ids[word]] if special_ids[word] else bytes_of(word) if pretok == "text" else []
         if word not in known:
-            if len(known) > 1_000_000:
+            # A unit without end, such as a whole line, is not remembered by number alone.
+            held += 120 + 9 * len(word)
+            if held > MEMORY:
                 known.clear()
-            if pretok == "word":
-                symbols = list(fixed.WORD_MARK + word)
-                ids = []
-                for piece in merge_symbols(symbols, ranks):
-                    found = id_of.get(piece)
-                    ids += [id_of[f"<0x{b:02X}>"] for b in piece.encode()] if found is None else [found]
+                held = 120 + 9 * len(word)
+            merged = merge_symbols(symbols_of(word, pretok), ranks)
+            if pretok == "line":
+                ids = [id_of[p] for p in merged]
+            elif pretok == "text" and word == fixed.WORD_MARK:
+                ids = bytes_of(word)
             else:
-                symbols = [f"{b:02X}" for b in word.encode()]
-                ids = [id_of[p] for p in merge_symbols(symbols, ranks)]
+                ids = []
+                for piece in merged:
+                    found = None if piece in reserved else id_of.get(piece)
+                    ids += bytes_of(piece.replace(fixed.WORD_MARK, " ") if pretok == "text" else piece) if found is None else [found]
             known[word] = ids
         return known[word]
 
     @F.arrow_udf(IDS)
     def encode(texts: pa.Array) -> pa.Array:
-        words = split_pretokens(texts, pretok)
+        words = split_pretokens(texts, pretok, apart)
         coded = words.flatten().dictionary_encode()
         lists = [ids_of(w) if w else [] for w in coded.dictionary.to_pylist()]
         per_word = pa.array(lists, pa.list_(pa.int32())).take(coded.indices)
@@ -126,12 +144,12 @@ def decode_words(ids: Column, vocab: DataFrame, skip_special: bool = False) -> C
 def decode_bpe(ids: Column, vocab: DataFrame, pretok: str = "word", skip_special: bool = False) -> Column:
     """Pieces joined to text; word marks become spaces, byte pieces their bytes."""
     pieces = collect_pieces(vocab)
-    specials = set(fixed.WORD_SPECIALS if pretok == "word" else fixed.LINE_SPECIALS)
+    specials = set(fixed.LINE_SPECIALS if pretok == "line" else fixed.WORD_SPECIALS)
 
     def as_bytes(piece: str) -> bytes:
         if piece in specials:
             return b"" if skip_special else piece.encode()
-        if pretok != "word":
+        if pretok == "line":
             return bytes.fromhex(piece)
         if len(piece) == 6 and piece.startswith("<0x"):
             return bytes([int(piece[3:5], 16)])
@@ -145,4 +163,4 @@ def decode_bpe(ids: Column, vocab: DataFrame, pretok: str = "word", skip_special
 
     text = F.decode(decode(F.coalesce(ids, F.array().cast("array<int>"))), "UTF-8")
     # The mark before the first word stands for the start of the text, not for a space.
-    return F.regexp_replace(text, "^ ", "") if pretok == "word" else text
+    return text if pretok == "line" else F.regexp_replace(text, "^ ", "")

@@ -203,6 +203,10 @@ def cluster_grid(
 
 #: Clusters per segment of ``cluster_greedy``; only sizes of documents meet in a segment.
 SEGMENT_CLUSTERS = 32
+#: Segments whose step functions are composed in one task.
+SEGMENTS_TOGETHER = 16
+STEPS = "segment bigint, upto bigint, opened bigint, closed bigint"
+ENTRIES = "segment bigint, __opened bigint, __number bigint"
 
 
 def _next_starts(ends: np.ndarray, opened: np.ndarray, limit: int) -> np.ndarray:
@@ -210,17 +214,67 @@ def _next_starts(ends: np.ndarray, opened: np.ndarray, limit: int) -> np.ndarray
     return np.searchsorted(ends, opened + limit, side="left") + 1
 
 
+def _through(table: pd.DataFrame, opened: np.ndarray, closed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """States after one more segment; past its last step nothing closes."""
+    at = np.searchsorted(table["upto"].to_numpy(), opened, side="left")
+    met = at < len(table)
+    at = np.minimum(at, len(table) - 1)
+    return (
+        np.where(met, table["opened"].to_numpy()[at], opened), closed + np.where(met, table["closed"].to_numpy()[at], 0),
+    )
+
+
+def compose_steps(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The step functions of consecutive segments, first to last, as one: ``(upto, opened, closed)``."""
+    upto, opened, closed = (np.zeros(0, "int64") for _ in range(3))
+    for _, table in pdf.sort_values(["segment", "upto"]).groupby("segment"):
+        opened, closed = _through(table, opened, closed)
+        # What was opened after the last step so far met no end yet: the new steps hold for it.
+        more = table[table["upto"] > upto[-1]] if len(upto) else table
+        upto, opened, closed = (
+            np.concatenate([old, more[c].to_numpy()]) for old, c in ((upto, "upto"), (opened, "opened"), (closed, "closed"))
+        )
+        last = np.append((opened[1:] != opened[:-1]) | (closed[1:] != closed[:-1]), True)
+        upto, opened, closed = upto[last], opened[last], closed[last]
+    return pd.DataFrame({"upto": upto, "opened": opened, "closed": closed})
+
+
+def _entries(tables: DataFrame, segments: int, together: int) -> DataFrame:
+    """``(segment, __opened, __number)``: what each segment starts with."""
+
+    def chain(pdf: pd.DataFrame, opened: int = 0, number: int = 0) -> pd.DataFrame:
+        out, state = [], (np.array([opened]), np.array([number]))
+        for segment, table in pdf.sort_values(["segment", "upto"]).groupby("segment"):
+            out.append((segment, int(state[0][0]), int(state[1][0])))
+            state = _through(table, *state)
+        return pd.DataFrame(out, columns=["segment", "__opened", "__number"])
+
+    if segments <= together:
+        return tables.groupBy().applyInPandas(lambda pdf: chain(pdf), ENTRIES)
+    grouped = tables.withColumn("group", F.floor(F.col("segment") / together).cast("bigint")).groupBy("group")
+
+    def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+        return compose_steps(pdf).assign(segment=pdf["group"].iloc[0])[["segment", "upto", "opened", "closed"]]
+
+    above = _entries(stage(grouped.applyInPandas(whole, STEPS)), -(-segments // together), together)
+    starts = above.withColumnRenamed("segment", "group").groupBy("group")
+    return grouped.cogroup(starts).applyInPandas(
+        lambda pdf, at: chain(pdf, int(at["__opened"].iloc[0]), int(at["__number"].iloc[0])), ENTRIES
+    )
+
+
 def cluster_greedy(
     sizes: DataFrame, order: str = "doc_id", limit_bytes: int = fixed.CLUSTER_BYTES,
-    segment_clusters: int = SEGMENT_CLUSTERS,
+    segment_clusters: int = SEGMENT_CLUSTERS, together: int = SEGMENTS_TOGETHER,
 ) -> DataFrame:
     """Greedy clusters over ``(order, n_tokens)`` rows: close once the bytes reach the limit.
 
     Exactly the clusters of one sequential scan, at any size. The stream is cut into segments of bytes. What a
     segment does depends on one number, the byte at which the cluster open at its begin was opened; as a
-    function of it the byte opened last, and the clusters closed, are steps, of which there are few because greedy
-    clusters soon fall in step. The segments write down their steps in parallel, one scan over these short
-    tables fixes what each segment starts with, and the segments number their documents in parallel.
+    function of it the byte opened last, and the clusters closed, are steps. The segments write down their steps
+    in parallel; neighbours' functions are composed level by level, which keeps the steps of the first and adds
+    none, so no task ever holds more than ``together`` segments' steps; the levels then fix, from the top down,
+    what each segment starts with, and the segments number their documents in parallel.
     """
     segment_bytes = segment_clusters * limit_bytes
     laid = running(
@@ -258,16 +312,6 @@ def cluster_greedy(
         frame = pd.DataFrame(rows, columns=["upto", "opened", "closed"])
         return frame.assign(segment=pdf["segment"].iloc[0])[["segment", "upto", "opened", "closed"]]
 
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        opened, number, out = 0, 0, []
-        for segment, table in pdf.sort_values(["segment", "upto"]).groupby("segment"):
-            out.append((segment, opened, number))
-            at = int(np.searchsorted(table["upto"].to_numpy(), opened, side="left"))
-            if at < len(table):
-                number += int(table["closed"].iloc[at])
-                opened = int(table["opened"].iloc[at])
-        return pd.DataFrame(out, columns=["segment", "__opened", "__number"])
-
     def assign(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf, starts, ends = bounds(pdf)
         cluster, opened, number, at = np.zeros(len(pdf), "int64"), pdf["__opened"].iloc[0], pdf["__number"].iloc[0], 0
@@ -280,9 +324,9 @@ def cluster_greedy(
             at = end
         return pdf.assign(cluster=cluster)[[order, "n_tokens", "segment", "cluster"]]
 
-    tables = laid.groupBy("segment").applyInPandas(steps, "segment bigint, upto bigint, opened bigint, closed bigint")
-    # A few rows for every ``segment_clusters`` clusters meet here: some megabytes for a hundred terabytes of tokens.
-    entries = tables.groupBy().applyInPandas(chain, "segment bigint, __opened bigint, __number bigint")
+    tables = stage(laid.groupBy("segment").applyInPandas(steps, STEPS))
+    last = tables.agg(F.max("segment")).first()[0]
+    entries = _entries(tables, 1 + (last or 0), together)
     return laid.join(entries, "segment").groupBy("segment").applyInPandas(
         assign, f"{order} bigint, n_tokens bigint, segment bigint, cluster bigint"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -11,18 +12,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed
-from ..session import ensure_checkpoint_dir, stage
+from ..functions.text import normalize_nfc
+from ..session import stage
+from .merges import LOOK, learn_merges
 from .sample import top_k
 
-# A symbol string writes each symbol between these noncharacters, which Unicode keeps out of
-# text exchange, so that merging a pair is one plain string replacement.
-OPEN, CLOSE = "\ufdd0", "\ufdd1"
-# What stands for these two where a text holds them all the same, while symbols are counted.
-INNER_OPEN, INNER_CLOSE = "\ufdd2", "\ufdd3"
-ROUNDS_PER_CHECKPOINT = 20
 WORDS = T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())])
 
 
+#: Pre-tokens of the text layout: a word with the space before it, a run of spaces but that one, any other blank by
+#: itself, and a word mark that the text holds.
+TEXT_UNITS = re.compile(f" ?[^\\s{fixed.WORD_MARK}]+| +(?= [^\\s{fixed.WORD_MARK}])| +|\\s|{fixed.WORD_MARK}")
+
+
 def pad_specials(c: Column, specials: Sequence[str], pretok: str = "word") -> Column:
     """Set special strings apart: by spaces between words, by line breaks between lines."""
     gap = " " if pretok == "word" else "\n"
@@ -31,15 +33,32 @@ def pad_specials(c: Column, specials: Sequence[str], pretok: str = "word") -> Co
     return c
 
 
-def split_pretokens(texts: pa.Array, pretok: str) -> pa.Array:
-    """Units inside which pieces form, a list per text: words between white space, or whole
-    lines. Lists may hold empty strings, which name no unit."""
-    return pc.utf8_split_whitespace(texts) if pretok == "word" else pc.split_pattern(texts, "\n")
+def split_pretokens(texts: pa.Array, pretok: str, specials: Sequence[str] = ()) -> pa.Array:
+    """Units inside which pieces form, a list per text: words between white space, whole lines, or the units of
+    ``TEXT_UNITS`` around the specials, which keep every character. Lists may hold empty strings, which name no unit."""
+    if pretok != "text":
+        return pc.utf8_split_whitespace(texts) if pretok == "word" else pc.split_pattern(texts, "\n")
+    apart = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
+    known = set(specials)
+
+    def units(text: str) -> list[str]:
+        if apart is None:
+            return TEXT_UNITS.findall(text)
+        return [u for part in apart.split(text) for u in ((part,) if part in known else TEXT_UNITS.findall(part))]
+
+    return pa.array([units(t or "") for t in texts.to_pylist()], pa.list_(pa.string()))
 
 
 def prepared(c: Column, pretok: str, specials: Sequence[str]) -> Column:
-    """Text ready for ``split_pretokens``."""
-    return pad_specials(F.replace(F.coalesce(c, F.lit("")), F.lit("\r\n"), F.lit("\n")), specials, pretok)
+    """Text ready for ``split_pretokens``.
+
+    The line layout is normalized to NFC. In the text layout a line break reads as a space and one more space stands
+    for the start of the text, so that its first word is like any other.
+    """
+    c = F.replace(F.coalesce(c, F.lit("")), F.lit("\r\n"), F.lit("\n"))
+    if pretok == "text":
+        return F.when(c != "", F.concat(F.lit(" "), F.replace(c, F.lit("\n"), F.lit(" ")))).otherwise(c)
+    return pad_specials(normalize_nfc(c) if pretok == "line" else c, specials, pretok)
 
 
 def word_counts(
@@ -50,11 +69,11 @@ def word_counts(
     Each Arrow batch is split and counted as a whole, so that what reaches the shuffle is one
     row per word and batch, further combined per task.
     """
-    outside = pa.array(["", *specials], pa.string())
+    outside = pa.array(["", *specials, *[fixed.WORD_MARK] * (pretok == "text")], pa.string())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            counted = split_pretokens(batch.column(0), pretok).flatten().value_counts()
+            counted = split_pretokens(batch.column(0), pretok, specials).flatten().value_counts()
             words, n = counted.field("values"), counted.field("counts")
             keep = pc.invert(pc.is_in(words, value_set=outside))
             yield pa.RecordBatch.from_arrays([words.filter(keep), n.filter(keep)], names=["word", "n"])
@@ -90,60 +109,6 @@ def collect_pieces(vocab: DataFrame) -> list[str]:
     return [r.piece for r in rows]
 
 
-def _symbols(word: Column, pretok: str) -> Column:
-    """Symbol string of a pre-token: its characters after a word mark, or its bytes in hex."""
-    mark = f"{OPEN}$1{CLOSE}"
-    word = F.translate(word, OPEN + CLOSE, INNER_OPEN + INNER_CLOSE)
-    if pretok == "word":
-        return F.regexp_replace(F.concat(F.lit(fixed.WORD_MARK), word), "(?s)(.)", mark)
-    return F.regexp_replace(F.hex(F.encode(word, "UTF-8")), "(..)", mark)
-
-
-def _pair_counts(types: DataFrame) -> DataFrame:
-    """``(left, right, cnt)``: neighbours as one string while they are counted, apart after."""
-    parts = F.split("syms", CLOSE)  # ends with an empty part
-    neighbours = F.zip_with(
-        F.slice(parts, F.lit(1), F.size(parts) - 2), F.slice(parts, F.lit(2), F.size(parts) - 2),
-        lambda a, b: F.concat(a, b),
-    )
-    pairs = types.filter(F.size(parts) > 2).select("n", F.explode(neighbours).alias("pair"))
-    counted = pairs.groupBy("pair").agg(F.sum("n").alias("cnt"))
-    sides = F.split("pair", OPEN)
-    return counted.select(sides[1].alias("left"), sides[2].alias("right"), "cnt")
-
-
-def pick_pairs(ranked: Sequence, complete: bool, exact: bool, room: int, known: set[str] = frozenset()) -> list:
-    """The pairs of one round, best first.
-
-    Merging (a, b) changes only counts of pairs that hold a or b, and a new pair is at most as
-    frequent as the one it grew from. So a pair that shares no symbol with those taken before
-    it, and is not tied with one that does, is the very pair a one-by-one loop takes next.
-    The bound fails after (a, a), whose product pairs with itself, and for a product that is
-    ``known`` already and gains count. ``exact`` stops where the next pair is open; otherwise
-    such pairs are passed over, down to half the count of the first of them.
-    """
-    taken, used, passed = [], set(), 0
-    for row in ranked:
-        if len(taken) == room or 2 * row.cnt < passed:
-            break
-        tied = [r for r in ranked if r.cnt == row.cnt]
-        at_end = not complete and row.cnt == ranked[-1].cnt
-        clear = row.left not in used and row.right not in used
-        settled = not taken or (
-            not at_end and not any(r.left in used or r.right in used for r in tied)
-        )
-        if clear and (settled or not exact):
-            taken.append(row)
-            used |= {row.left, row.right}
-            if exact and (row.left == row.right or row.left + row.right in known):
-                break
-        elif exact:
-            break
-        else:
-            passed = passed or row.cnt
-    return taken
-
-
 def learn_bpe(
     counts: DataFrame,
     n_merges: int,
@@ -151,59 +116,29 @@ def learn_bpe(
     pretok: str = "word",
     min_freq: int = fixed.MIN_PAIR_FREQ,
     max_piece: int = fixed.MAX_PIECE_CHARS,
-    look: int = 256,
+    look: int = LOOK,
     exact: bool = True,
 ) -> DataFrame:
-    """Byte-pair merges ``(rank, left, right)`` from word counts, best pair by
-    ``(count desc, left, right)``.
-
-    The loop works on the word-type table; the driver sees ``look`` pairs per round and adds
-    their replacements to the table. ``exact`` gives the merges of a one-by-one loop and often
-    several per round. ``exact=False`` takes more per round, all that share no symbol with a
-    better one and are at least half as frequent as the first pair left for the next round;
-    ranks may then differ a little.
+    """Byte-pair merges ``(rank, left, right)`` from word counts, best pair by ``(count desc, left, right)``.
+
+    ``exact`` gives the merges of a one-by-one loop; ``exact=False`` takes many per round by the rule of
+    ``merges.rule_of_a_round``, in far fewer rounds.
     """
-    spark = counts.sparkSession
-    ensure_checkpoint_dir(spark)
-    width = 1 if pretok == "word" else 2
-    types = counts.select(_symbols(F.col("word"), pretok).alias("syms"), "n").checkpoint().persist()
-    merges: list[tuple[int, str, str]] = []
-    known: set[str] = set()
-    since = 0
-    stale = None
-    while len(merges) < n_merges:
-        best = (
-            _pair_counts(types)
-            .filter((F.col("cnt") >= min_freq) & (F.length("left") + F.length("right") <= max_piece * width))
-            .orderBy(F.col("cnt").desc(), "left", "right")
-            .limit(look)
-            .collect()
-        )
-        if stale is not None:
-            stale.unpersist()  # the pass above has filled the cache of its successor
-        round_pairs = pick_pairs(best, len(best) < look, exact, n_merges - len(merges), known)
-        if not round_pairs:
-            break
-        syms = F.col("syms")
-        for pair in round_pairs:
-            apart = f"{OPEN}{pair.left}{CLOSE}{OPEN}{pair.right}{CLOSE}"
-            syms = F.replace(syms, F.lit(apart), F.lit(f"{OPEN}{pair.left}{pair.right}{CLOSE}"))
-            merges.append((len(merges), pair.left, pair.right))
-            known.add(pair.left + pair.right)
-        stale, types = types, types.select(syms.alias("syms"), "n")
-        since += 1
-        if since == ROUNDS_PER_CHECKPOINT:
-            types, since = types.checkpoint(), 0  # a lost cache block is rebuilt from here
-        types = types.persist()
-    types.unpersist()
-    return spark.createDataFrame(merges, "rank int, left string, right string")
+    merges = learn_merges(counts, n_merges, pretok, min_freq, max_piece, look, exact)
+    return counts.sparkSession.createDataFrame(
+        [(rank, left, right) for rank, (left, right) in enumerate(merges)], "rank int, left string, right string"
+    )
 
 
 def characters(counts: DataFrame, pretok: str = "word", limit: int = fixed.MAX_VOCAB) -> DataFrame:
     """Single symbols of the corpus, most frequent first: ``(piece, n)``. More than ``limit`` are refused."""
-    inner = _symbols(F.col("word"), pretok)
-    split = F.split(inner.substr(F.lit(2), F.length(inner) - 2), CLOSE + OPEN)
-    singles = counts.select(F.explode(split).alias("piece"), "n").groupBy("piece").agg(F.sum("n").alias("n"))
+    if pretok == "word":
+        split = F.split(F.concat(F.lit(fixed.WORD_MARK), "word"), "")
+    elif pretok == "text":
+        split = F.split(F.replace("word", F.lit(" "), F.lit(fixed.WORD_MARK)), "")
+    else:
+        split = F.split(F.hex(F.encode("word", "UTF-8")), "(?<=\\G..)")
+    singles = counts.select(F.explode(split).alias("piece"), "n").filter("piece != ''").groupBy("piece").agg(F.sum("n").alias("n"))
     kept = stage(top_k(singles, limit + 1, "n", ["piece"]))
     if kept.count() > limit:
         raise ValueError(f"the corpus has more than {limit} different characters; a vocabulary covers them all")
@@ -213,14 +148,14 @@ def characters(counts: DataFrame, pretok: str = "word", limit: int = fixed.MAX_V
 def build_vocab(merges: DataFrame, chars: DataFrame, pretok: str = "word", size: int = fixed.VOCAB_SIZE) -> DataFrame:
     """Id table of a layout, ``size`` pieces at most. What does not fit is refused, never cut off.
 
-    word: unk, bos, eos, user symbols, byte pieces, then merged pieces, then characters.
+    word, text: unk, bos, eos, user symbols, byte pieces, then merged pieces, then characters.
     line: the chat specials, then byte pieces (hex), then merged pieces.
     """
     if size > fixed.MAX_VOCAB:
         raise ValueError("ids are 16 bits wide; at most 65,536 pieces")
     spark = merges.sparkSession
-    specials = fixed.WORD_SPECIALS if pretok == "word" else fixed.LINE_SPECIALS
-    byte = "<0x{:02X}>" if pretok == "word" else "{:02X}"
+    specials = fixed.LINE_SPECIALS if pretok == "line" else fixed.WORD_SPECIALS
+    byte = "{:02X}" if pretok == "line" else "<0x{:02X}>"
     head = [(0, i, s, "special") for i, s in enumerate(specials)]
     head += [(1, b, byte.format(b), "byte") for b in range(256)]
     parts = spark.createDataFrame(head, "part int, nth int, piece string, kind string").unionByName(
@@ -229,7 +164,7 @@ def build_vocab(merges: DataFrame, chars: DataFrame, pretok: str = "word", size:
             F.concat("left", "right").alias("piece"), F.lit("merge").alias("kind"),
         )
     )
-    if pretok == "word":
+    if pretok != "line":
         by_count = Window.orderBy(F.col("n").desc(), "piece")  # at most 65,536 rows
         parts = parts.unionByName(
             chars.select(

@@ -27,11 +27,11 @@ def train_tokenizer(
     ``(vocab, merges)``."""
     spark = lines.sparkSession
     taken = head_by_bytes(lines) if sample == "head" else bernoulli_by_bytes(lines, seed)
-    specials = fixed.WORD_SPECIALS if pretok == "word" else fixed.LINE_SPECIALS
+    specials = fixed.LINE_SPECIALS if pretok == "line" else fixed.WORD_SPECIALS
     word_counts(taken, "line", pretok, specials).write.mode("overwrite").parquet(f"{path}/word_counts")
     counts = spark.read.parquet(f"{path}/word_counts")
     chars = characters(counts, pretok)
-    fixed_pieces = len(specials) + 256 + (chars.count() if pretok == "word" else 0)
+    fixed_pieces = len(specials) + 256 + (0 if pretok == "line" else chars.count())
     merges = learn_bpe(counts, max(0, size - fixed_pieces), pretok=pretok, exact=exact)
     write_vocab(build_vocab(merges, chars, pretok, size), merges, path)
     return read_vocab(spark, path)
@@ -40,7 +40,7 @@ def train_tokenizer(
 def encode_lines(lines: DataFrame, vocab: DataFrame, merges: DataFrame, pretok: str = "word") -> DataFrame:
     """Ids per line in file order, the unknown id left out. Only lines of no characters at all are skipped."""
     ids = encode_bpe(F.col("line"), merges, vocab, pretok)
-    ids = drop_unknown_ids(ids) if pretok == "word" else ids
+    ids = ids if pretok == "line" else drop_unknown_ids(ids)
     return lines.filter(F.length("line") > 0).select("file", "line_no", ids.alias("ids"))
 
 
@@ -72,7 +72,7 @@ def cut_documents(encoded: DataFrame, eos_id: int = fixed.EOS_ID) -> DataFrame:
 
 def prepare_tokens(
     spark: SparkSession, source: str, work: str, *, seed: int, size: int = fixed.VOCAB_SIZE,
-    eos_id: int = fixed.EOS_ID,
+    eos_id: int = fixed.EOS_ID, pretok: str = "text",
 ) -> DataFrame:
     """Read text, learn a tokenizer when ``work`` holds none, encode, cut at end markers, shuffle
     whole documents, store token shards; returns them as documents."""
@@ -82,10 +82,10 @@ def prepare_tokens(
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        vocab, merges = train_tokenizer(lines, f"{work}/tokenizer", size=size)
-    encode_lines(lines, vocab, merges).write.mode("overwrite").parquet(f"{work}/lines")
+        vocab, merges = train_tokenizer(lines, f"{work}/tokenizer", size=size, pretok=pretok)
+    encode_lines(lines, vocab, merges, pretok).write.mode("overwrite").parquet(f"{work}/lines")
     parts = document_parts(spark.read.parquet(f"{work}/lines"), eos_id).withColumn("key", order_key(seed, "doc_id"))
     write_token_shards(
-        parts, f"{work}/shuffled", order=["key", "doc_id", *PLACE], document=["key", "doc_id"], eos_id=eos_id
+        parts, f"{work}/shuffled", order=["key", "doc_id", *PLACE], document=True, eos_id=eos_id
     )
     return read_token_shards(spark, f"{work}/shuffled", eos_id)

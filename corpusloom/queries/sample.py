@@ -8,7 +8,8 @@ from ..functions.layout import format_pretrain
 from ..functions.predicates import min_length
 from ..operators.mix import union_sources
 from ..operators.sample import bernoulli_by_bytes, cap_per_source, cluster_sample_files, head_by_bytes, upsample
-from ..sources.tables import doc_source
+from ..session import scratch_dir
+from ..sources.tables import doc_source, read_cluster_sample, read_docs_parquet, unreadable_files
 from . import query
 from .inputs import INSTRUCT, LINES_SQL, docs, instruct, sql_key, sql_strip, sql_word, table, text_lines
 
@@ -97,3 +98,38 @@ def capped_formats(spark, folder):
     return formatted.groupBy("source").agg(
         F.count("*").alias("n_selected"), F.count_if(F.col("formatted") != "").alias("n_nonempty")
     )
+
+
+def by_source(spark, folder) -> str:
+    """Documents as real files, one for each source, rows by id."""
+    path = scratch_dir(spark, "files")
+    rows = docs(spark, folder).select("source", "doc_id", "text").repartition("source").sortWithinPartitions("source", "doc_id")
+    rows.write.partitionBy("source").parquet(path)
+    return path
+
+
+@query(
+    "cluster_sample_read",
+    f"""WITH files AS (SELECT source, count(*) AS n, {sql_key(19, 'source')} AS k FROM documents GROUP BY source),
+    laid AS (SELECT source, sum(n) OVER (ORDER BY k) - n AS before FROM files)
+    SELECT * FROM (SELECT source, doc_id, (before + row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1)::BIGINT AS nth
+        FROM documents JOIN laid USING (source)) WHERE nth < {FILE_ROWS}""",
+)
+def sampled_files(spark, folder):
+    name = F.regexp_extract("file", "/source=([^/]*)/", 1)
+    return read_cluster_sample(spark, by_source(spark, folder), FILE_ROWS, 19, name).select("source", "doc_id", "nth")
+
+
+@query(
+    "unreadable_files",
+    """SELECT 'unreadable, or without rows' AS reason, count(DISTINCT source) AS n_files, count(*) AS n_rows
+    FROM documents""",
+)
+def unreadable(spark, folder):
+    """A folder of Parquet files with as many others between them: the good are read, the others listed."""
+    path = by_source(spark, folder)
+    broken = docs(spark, folder).select("source", F.lit("this is not a table").alias("value")).distinct().repartition("source")
+    broken.write.partitionBy("source").text(f"{path}/others")
+    rows = doc_source(read_docs_parquet(spark, path).withColumn("doc_id", F.lit(0)), "files").count()
+    names = unreadable_files(spark, path).filter(~F.col("file").rlike("/[_.][^/]*$"))
+    return names.groupBy("reason").agg(F.count("*").alias("n_files")).withColumn("n_rows", F.lit(rows).cast("bigint"))

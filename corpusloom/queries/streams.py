@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 from ..sources.tables import stream_docs
 from ..streaming.streams import (
-    append_files, run_available, stream_buffer_shuffle, stream_cap, stream_clean, stream_encode, stream_rate,
-    stream_totals, write_totals,
+    append_files, run_available, stream_buffer_shuffle, stream_cap, stream_cap_by_state, stream_clean, stream_encode,
+    stream_rate, stream_totals, write_totals,
 )
 from . import ORACLES, query
 from .inputs import sql_pretrain, table
@@ -43,6 +43,15 @@ def capped(spark, folder):
     return spark.read.parquet(f"{path}/rows").select("doc_id", "source")
 
 
+@query("stream_cap_by_state", "SELECT source, least(count(*), 20) AS admitted FROM documents GROUP BY source")
+def capped_by_state(spark, folder):
+    """Which rows come first depends on the tasks; how many are admitted does not."""
+    path = scratch_dir(spark, "cap-state")
+    docs = doc_stream(spark, folder).select("doc_id", "source", "text")
+    run_available(append_files(stream_cap_by_state(docs, 20), f"{path}/rows", f"{path}/state"))
+    return spark.read.parquet(f"{path}/rows").groupBy("source").agg(F.countDistinct("doc_id").alias("admitted"))
+
+
 @query("stream_buffer_shuffle", "SELECT doc_id, md5(concat_ws(':', '61', '0', doc_id::VARCHAR)) AS key FROM documents")
 def shuffled(spark, folder):
     path = scratch_dir(spark, "buffers")

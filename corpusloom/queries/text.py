@@ -235,4 +235,5 @@ def document_chunks(spark, folder):
         FROM text_lines GROUP BY file), {chunk_sql('file', 'lines')}""",
 )
 def file_chunks(spark, folder):
-    return chunk_paragraphs(text_lines(spark, folder)).select("file", "chunk", "chunk_no")
+    # These lines are numbered by document, two million places each: a block is what 16 documents hold.
+    return chunk_paragraphs(text_lines(spark, folder), block_lines=32_000_000).select("file", "chunk", "chunk_no")

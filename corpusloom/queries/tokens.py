@@ -11,12 +11,15 @@ from ..operators.order import prefix_sum, quantile_bucket
 from ..operators.sample import top_k
 from ..operators.tokens import flatten_tokens, number_flat_sequences, peek_tokens, split_at_eos
 from ..operators.vocab import build_vocab, characters, learn_bpe, word_counts, word_vocab
-from ..session import stage
+from ..session import scratch_dir, stage
+from ..sources.tokenbin import peek_shards, write_token_shards
 from . import query
 from .inputs import TOKENS, TOKENS_SQL, VOCAB, VOCAB_WORDS, WORDS, docs, sql_strip
 
 CLAMP = 500
+#: Merges of the queries whose SQL twin unrolls the one-by-one loop, a pair of statements a merge.
 N_MERGES = 20
+LINE_MERGES, TEXT_MERGES, LOOP_MERGES = 200, 2_000, 2_000
 
 
 def vocab(spark, folder):
@@ -153,6 +156,19 @@ def peeked(spark, folder):
     return peek_tokens(token_docs(spark, folder), PEEK_AT, PEEK).select("doc_id", "start", listed(F.col("ids")).alias("ids"))
 
 
+@query(
+    "peek_shards",
+    f"""WITH {TOKENS_SQL}, flat AS (SELECT doc_id, i, id, row_number() OVER (ORDER BY doc_id, i) - 1 AS pos FROM known)
+    SELECT min(pos)::BIGINT AS start, string_agg(id::VARCHAR, ' ' ORDER BY pos) AS ids FROM flat
+    WHERE pos >= {PEEK_AT} AND pos < {PEEK_AT + PEEK} GROUP BY doc_id""",
+)
+def peeked_shards(spark, folder):
+    """The same stretch out of stored shards, of which only those that hold it are opened."""
+    path = scratch_dir(spark, "peek")
+    write_token_shards(token_docs(spark, folder), path, order=["doc_id"], shard_bytes=1 << 12)
+    return peek_shards(spark, path, PEEK_AT, PEEK).select("start", listed(F.col("ids")).alias("ids"))
+
+
 @query(
     "u16_roundtrip",
     f"""WITH {TOKENS_SQL} SELECT doc_id, string_agg(id::VARCHAR, ' ' ORDER BY i) AS ids, (2 * count(*))::BIGINT AS bytes
@@ -220,9 +236,15 @@ def bpe_merges(spark, folder):
     return learn_bpe(word_counts(docs(spark, folder)), N_MERGES)
 
 
+@query("learn_bpe_2000")
+def bpe_merges_2000(spark, folder):
+    """The loop itself, far beyond what SQL can unroll; tests hold it against plain lists."""
+    return learn_bpe(stage(word_counts(docs(spark, folder))), LOOP_MERGES)
+
+
 @query("learn_bpe_batched")
 def bpe_merges_batched(spark, folder):
-    return learn_bpe(word_counts(docs(spark, folder)), 120, exact=False)
+    return learn_bpe(word_counts(docs(spark, folder)), fixed.VOCAB_SIZE, exact=False)
 
 
 @query("build_vocab", f"WITH {merge_steps(N_MERGES)}, {PIECES} SELECT id::BIGINT AS id, piece, kind FROM pieces")
@@ -246,11 +268,35 @@ def bpe_roundtrip(spark, folder):
     return coded.select("doc_id", decode_bpe(F.col("ids"), ids).alias("text"))
 
 
-@query("bpe_lines_roundtrip", "SELECT doc_id, replace(text, chr(10), '') AS text FROM documents")
+ODD_TAIL = "chr(9) || '  end ' || chr(9) || 'e' || chr(769) || ' ' || chr(233) || ' ' || chr(29483) || '  '"
+
+
+@query(
+    "bpe_text_roundtrip",
+    f"""SELECT doc_id, replace('    ' || text || {ODD_TAIL}, chr(10), ' ') AS text FROM documents WHERE text IS NOT NULL""",
+)
+def text_roundtrip(spark, folder):
+    """The text layout keeps every character: indentation, tabs, decomposed and composed letters, and one never learnt."""
+    types = stage(word_counts(docs(spark, folder), pretok="text"))
+    merges = learn_bpe(types, TEXT_MERGES, pretok="text", exact=False)
+    ids = build_vocab(merges, characters(types, "text"), "text")
+    odd = docs(spark, folder).filter("text is not null").select(
+        "doc_id", F.concat(F.lit("    "), "text", F.lit("\t  end \te\u0301 \u00e9 \u732b  ")).alias("text")
+    )
+    coded = odd.select("doc_id", encode_bpe(F.col("text"), merges, ids, "text").alias("ids"))
+    return coded.select("doc_id", decode_bpe(F.col("ids"), ids, "text").alias("text"))
+
+
+@query(
+    "bpe_lines_roundtrip",
+    """SELECT doc_id, replace(replace(nfc_normalize(replace(text, 'e', 'e' || chr(769))), '\s+', ' '), chr(10), '') AS text
+    FROM documents""",
+)
 def line_roundtrip(spark, folder):
-    """The line layout keeps every byte of a line; only newlines give no token."""
-    types = stage(word_counts(docs(spark, folder), pretok="line"))
-    merges = learn_bpe(types, 20, pretok="line", exact=False)
+    """The line layout keeps every byte of a line after NFC; only newlines give no token."""
+    apart = docs(spark, folder).withColumn("text", F.replace("text", F.lit("e"), F.lit("e\u0301")))
+    types = stage(word_counts(apart, pretok="line"))
+    merges = learn_bpe(types, LINE_MERGES, pretok="line", exact=False)
     ids = build_vocab(merges, characters(types, "line"), "line")
-    coded = docs(spark, folder).select("doc_id", encode_bpe(F.col("text"), merges, ids, "line").alias("ids"))
+    coded = apart.select("doc_id", encode_bpe(F.col("text"), merges, ids, "line").alias("ids"))
     return coded.select("doc_id", decode_bpe(F.col("ids"), ids, "line").alias("text"))

@@ -48,6 +48,16 @@ def stage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(staged: DataFrame) -> None:
+    """Delete a table that ``stage`` wrote and that nothing reads any more."""
+    spark = staged.sparkSession
+    folders = {path.rsplit("/", 1)[0] for path in staged.inputFiles()}
+    for folder in folders:
+        if re.search(r"/stage-[0-9a-f]{12}$", folder):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

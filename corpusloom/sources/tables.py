@@ -6,9 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import shuffle_partitions
+from ..functions.keys import order_key
+from ..operators.order import hex_bucket, prefix_sum
+from ..session import shuffle_partitions, stage
 from .text import skip_unreadable
 
+#: Fewer bytes cannot be a file of the kind: a Parquet file's two marks and footer length.
+LEAST_BYTES = {"parquet": 12}
+
 
 def read_docs_parquet(spark: SparkSession, path: str, text: str = "text") -> DataFrame:
     """``(file, text)`` of every readable Parquet file; one column is read, nulls are dropped."""
@@ -31,6 +36,53 @@ def spread_small(df: DataFrame, path: str, key: str, limit: int = 1 << 28) -> Da
     return df.repartition(shuffle_partitions(df.sparkSession), key)
 
 
+def file_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``(file, rows)`` of every Parquet file: no column is read, so only footers are."""
+    rows = skip_unreadable(spark.read).option("recursiveFileLookup", True).parquet(path)
+    return rows.select(F.col("_metadata.file_path").alias("file")).groupBy("file").agg(F.count("*").alias("rows"))
+
+
+def read_cluster_sample(
+    spark: SparkSession, path: str, limit: int, seed: int, name: Column | None = None, out: str = "nth"
+) -> DataFrame:
+    """Rows of whole Parquet files in a seeded file order until ``limit`` rows are reached; ``out`` counts from 0.
+
+    The table of files, from their footers, is ordered and cut first, so files past the cap are never opened. What
+    comes to the driver are the names of the files that are read, ``limit`` at most. ``name`` is what a file is called
+    in its key, of the column ``file``; the whole path if not given.
+    """
+    named = file_rows(spark, path).withColumn("__name", F.col("file") if name is None else name)
+    keyed = stage(named.withColumn("__key", order_key(seed, "__name")))
+    placed = prefix_sum(keyed, ["__key", "__name"], "rows", bucket=hex_bucket(keyed, "__key"), stop=limit, out="__before")
+    chosen = placed.select("file", "__before").orderBy("__before").limit(limit).collect()
+    if not chosen:
+        return spark.read.option("recursiveFileLookup", True).parquet(path).limit(0).withColumn(out, F.lit(0).cast("bigint"))
+    rows = spark.read.parquet(*[r.file for r in chosen])
+    starts = spark.createDataFrame([(r.file, r["__before"]) for r in chosen], "__file string, __before bigint")
+    laid = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index"))
+    laid = laid.join(F.broadcast(starts), "__file").withColumn(out, F.col("__before") + F.col("__index"))
+    return laid.filter(F.col(out) < limit).drop("__file", "__index", "__before")
+
+
+def unreadable_files(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
+    """``(file, bytes, reason)`` of the files that ``skip_unreadable`` passes over: the record beside the data.
+
+    The listing, which reads nothing, less the files that gave a row. A file of no bytes holds nothing to lose.
+    """
+    lost = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+    layout = T.StructType([T.StructField("value", T.StringType())])
+    reader = skip_unreadable(spark.read).option("recursiveFileLookup", True).format(kind)
+    read = (reader if kind == "text" else reader.schema(layout)).load(path)
+
+    def plain(c: Column) -> Column:
+        return F.regexp_replace(c, "^file:/+", "file:/")
+
+    seen = read.select(plain(F.col("_metadata.file_path")).alias("path")).distinct()
+    reason = F.when(F.col("length") < LEAST_BYTES.get(kind, 1), "cut short").otherwise("unreadable, or without rows")
+    missing = lost.withColumn("path", plain(F.col("path"))).filter("length > 0").join(seen, "path", "left_anti")
+    return missing.select(F.col("path").alias("file"), F.col("length").alias("bytes"), reason.alias("reason"))
+
+
 def instruct_source(df: DataFrame, source: str, rec_id: str = "rec_id") -> DataFrame:
     """Instruction records; absent columns and nulls are empty text."""
 

@@ -6,8 +6,13 @@ so a restart from the checkpoint neither loses nor repeats rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
 from .. import fixed
@@ -82,6 +87,56 @@ def stream_cap(
     )
 
 
+class _Admit(StatefulProcessor):
+    """Counts a source's admitted rows and lets rows through up to the limit."""
+
+    def __init__(self, limit: int):
+        self.limit = limit
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.admitted = handle.getValueState("admitted", "n long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        had = before = self.admitted.get()[0] if self.admitted.exists() else 0
+        for batch in rows:
+            if had < self.limit:
+                taken = batch.head(self.limit - had)
+                had += len(taken)
+                yield taken
+        if had > before:
+            self.admitted.update((had,))
+
+    def close(self) -> None:
+        pass
+
+
+def stream_cap_by_state(docs: DataFrame, limit: int, *, source: str = "source") -> DataFrame:
+    """Admit exactly ``limit`` rows of each source, in order of arrival, each batch read once.
+
+    The count of a source is keyed state in RocksDB. Before the shuffle every task lets at most ``limit`` rows of a
+    source pass, so a source that makes up most of a stream brings ``limit`` rows per task to its key and no more.
+    """
+    docs.sparkSession.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+    schema = docs.schema
+    at = schema.fieldNames().index(source)
+
+    def first_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passed: dict[str | None, int] = {}
+        for batch in batches:
+            keep = []
+            for k, name in enumerate(batch.column(at).to_pylist()):
+                passed[name] = passed.get(name, 0) + 1
+                if passed[name] <= limit:
+                    keep.append(k)
+            yield batch.take(pa.array(keep, pa.int64()))
+
+    few = docs.mapInArrow(first_rows, schema)
+    return few.groupBy(source).transformWithStateInPandas(_Admit(limit), schema, "Append", "None")
+
+
 def stream_buffer_shuffle(
     docs: DataFrame, seed: int, path: str, checkpoint: str, *, ids: tuple[str, ...] = ("doc_id",)
 ) -> StreamingQuery:

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -13,11 +14,12 @@ from corpusloom import fixed
 from corpusloom.operators.chunk import chunk_paragraphs
 from corpusloom.operators.encode import decode_bpe, encode_bpe, merge_symbols
 from corpusloom.operators.mix import interleave_uniform, mix
-from corpusloom.operators.order import cluster_greedy, epochs, hex_bucket, prefix_sum, running, shuffle_docs
+from corpusloom.operators.merges import replay
+from corpusloom.operators.order import cluster_greedy, compose_steps, epochs, hex_bucket, prefix_sum, running, shuffle_docs
 from corpusloom.operators.sample import bernoulli_by_bytes, cap_per_source, upsample
 from corpusloom.operators.vocab import build_vocab, characters, learn_bpe, word_counts
 from corpusloom.functions.keys import order_key
-from corpusloom.sources.tokenbin import _documents
+from corpusloom.sources.tokenbin import _documents, _Stream
 
 
 def chunks_of(text, limit):
@@ -33,8 +35,8 @@ def chunks_of(text, limit):
     return out + [cur] if len(cur) > limit else out
 
 
-@pytest.mark.parametrize("block_units", [2, 100])
-def test_chunk_paragraphs(spark, block_units):
+@pytest.mark.parametrize("block_lines,fan", [(2, 2), (3, 4), (100, 256)])
+def test_chunk_paragraphs(spark, block_lines, fan):
     draw = random.Random(3)
     texts = ["".join(draw.choice(["a", "bb", "\n", "\n\n", " "]) for _ in range(draw.randint(0, 60))) for _ in range(150)]
     rows = [
@@ -43,7 +45,7 @@ def test_chunk_paragraphs(spark, block_units):
     ]
     lines = spark.createDataFrame(rows, "file string, line_no long, line string, newline boolean")
     got = {}
-    for r in chunk_paragraphs(lines, 4, block_units).orderBy("file", "chunk_no").collect():
+    for r in chunk_paragraphs(lines, 4, block_lines, fan).orderBy("file", "chunk_no").collect():
         got.setdefault(int(r.file), []).append(r.chunk)
     assert [got.get(i, []) for i in range(len(texts))] == [chunks_of(t, 4) for t in texts]
 
@@ -224,6 +226,176 @@ def test_merging_by_heap_is_merging_by_scan(words, word):
     assert merge_symbols(list(word), ranks) == symbols
 
 
+@settings(max_examples=120, deadline=None)
+@given(st.lists(st.integers(0, 3), max_size=90), st.integers(1, 20), st.integers(1, 12), st.lists(st.integers(0, 90), max_size=4))
+def test_ranges_across_shards_with_cut_documents(tokens, step, piece, cuts):
+    """However a stream is cut into shards and ranges, and however short a piece is, all tokens come back in order,
+    rows that open a document open the right ones, and only documents beyond a piece are cut."""
+    import io
+
+    data = np.array(tokens, dtype="<u2")
+    bounds = sorted({0, len(tokens), *(min(c, len(tokens)) for c in cuts)})
+    shards = [data[a:b] for a, b in zip(bounds, bounds[1:])]
+    opens = [a == 0 or tokens[a - 1] == 2 for a in bounds[:-1]]
+    got = []
+    for k, shard in enumerate(shards):
+        after, reach = [], 0
+        for j in range(k + 1, len(shards)):
+            if opens[j] or reach > piece:
+                break
+            after.append(shards[j])
+            reach += len(shards[j])
+        for first in range(0, len(shard), step):
+            stream = _Stream([(io.BytesIO(s.tobytes()), len(s)) for s in (shard, *after)])
+            limit = min(first + step, len(shard))
+            for start, docs, fresh in _documents(stream, first, limit, 2, piece, opens[k]):
+                for i, doc in enumerate(docs):
+                    got.append((bounds[k] + start, fresh or i > 0, doc.tolist()))
+                    start += len(doc)
+    assert [t for _, _, doc in got for t in doc] == tokens
+    assert [s for s, _, _ in got] == list(np.cumsum([0] + [len(d) for _, _, d in got])[:-1])
+    assert all(fresh == (start == 0 or tokens[start - 1] == 2) for start, fresh, _ in got)
+    assert all(fresh or len(doc) for _, fresh, doc in got)
+    ends = [i + 1 for i, t in enumerate(tokens) if t == 2]
+    whole = [b - a for a, b in zip([0, *ends], [*ends, len(tokens)]) if b > a]
+    if all(n < piece for n in whole):
+        assert [len(doc) for _, _, doc in got] == whole
+
+
+def batched_rule(words, n, look, min_freq=2):
+    """The rounds of the batched mode on plain lists."""
+    types = Counter({tuple("▁" + w): c for w, c in Counter(words).items()})
+    merges = []
+    while len(merges) < n:
+        pairs = Counter()
+        for symbols, c in types.items():
+            for p in zip(symbols, symbols[1:]):
+                pairs[p] += c
+        ordered = sorted((p for p, c in pairs.items() if c >= min_freq and len(p[0] + p[1]) <= 32), key=lambda p: (-pairs[p], p))
+        taken, used, passed = [], set(), 0
+        for p in ordered[:look]:
+            if len(taken) == n - len(merges) or 2 * pairs[p] < passed:
+                break
+            if used.isdisjoint(p):
+                taken.append(p)
+                used |= set(p)
+            else:
+                passed = passed or pairs[p]
+        if not taken:
+            break
+        merges += taken
+        for pair in taken:
+            merged = Counter()
+            for symbols, c in types.items():
+                out, i = [], 0
+                while i < len(symbols):
+                    if symbols[i:i + 2] == pair:
+                        out.append(symbols[i] + symbols[i + 1])
+                        i += 2
+                    else:
+                        out.append(symbols[i])
+                        i += 1
+                merged[tuple(out)] += c
+            types = merged
+    return merges
+
+
+def syllables(seed, n):
+    draw = random.Random(seed)
+    return ["".join(draw.choice(["th", "e", "ing", "an", "a", "aa", "on"]) for _ in range(draw.randint(1, 5))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("look", [3, 40, 4096])
+def test_many_merges_are_the_loop_whatever_the_driver_follows(spark, look):
+    words = syllables(2, 600)
+    counts = word_counts(spark.createDataFrame([(" ".join(words),)], "text string"))
+    got = [(r.left, r.right) for r in learn_bpe(counts, 400, look=look).orderBy("rank").collect()]
+    assert len(got) > 100 and got == one_by_one(Counter(words), 400)
+
+
+@pytest.mark.parametrize("look", [3, 40, 4096])
+def test_batched_merges_are_the_rule(spark, look):
+    words = syllables(3, 600)
+    counts = word_counts(spark.createDataFrame([(" ".join(words),)], "text string"))
+    got = [(r.left, r.right) for r in learn_bpe(counts, 300, look=look, exact=False).orderBy("rank").collect()]
+    assert got == batched_rule(words, 300, look)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from("ab"), max_size=12), st.lists(st.tuples(st.sampled_from(["a", "b", "ab", "aa"]), st.sampled_from(["a", "b", "ab"])), max_size=5))
+def test_changes_of_a_replay_are_the_difference(symbols, batch):
+    changes = Counter()
+    steps = {}
+    for k, pair in enumerate(batch):
+        steps.setdefault(pair, []).append(k)
+    end = replay(symbols, steps, lambda step, pair, by: changes.update({pair: by}))
+    want = Counter(zip(end, end[1:]))
+    want.subtract(Counter(zip(symbols, symbols[1:])))
+    assert {p: n for p, n in changes.items() if n} == {p: n for p, n in want.items() if n}
+
+
+def test_text_layout_keeps_every_character(spark):
+    """Indentation, tabs, composed and decomposed characters, unseen ones, and strings that look like pieces."""
+    train = spark.createDataFrame([("def low(x):\n    return  lower\n" * 3,), ("    low lowest  low",)], "text string")
+    counts = word_counts(train, pretok="text")
+    merges = learn_bpe(counts, 25, pretok="text")
+    vocab = build_vocab(merges, characters(counts, "text"), "text")
+    texts = [
+        "def low(x):\n\treturn\t \t lower  ", "  e\u0301 é ▁ low▁er ▁▁", "<0x41> <unk>x <s>low</s>low </s> ", " ", "\n\n", "",
+        "猫\u00a0\u2003 x\x0b", "\r\n a\r", "    deep\n        deeper",
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, text string")
+    coded = rows.select("k", encode_bpe(F.col("text"), merges, vocab, "text").alias("ids"))
+    back = {r.k: r.text for r in coded.select("k", decode_bpe(F.col("ids"), vocab, "text").alias("text")).collect()}
+    assert [back[k] for k in range(len(texts))] == [t.replace("\r\n", "\n").replace("\n", " ") for t in texts]
+    ids = {r.k: r.ids for r in coded.collect()}
+    assert fixed.BOS_ID in ids[2] and fixed.EOS_ID in ids[2] and ids[5] == []
+    assert all(0 not in i for i in ids.values())
+    # A run of spaces is one piece where it was learnt as one.
+    pieces = [r.piece for r in vocab.orderBy("id").collect()]
+    assert any(set(pieces[i]) == {fixed.WORD_MARK} and len(pieces[i]) > 1 for i in ids[8])
+
+
+def test_line_layout_is_normalized(spark):
+    train = spark.createDataFrame([("caf\u00e9 caf\u00e9",)], "text string")
+    counts = word_counts(train, pretok="line")
+    merges = learn_bpe(counts, 4, pretok="line")
+    vocab = build_vocab(merges, characters(counts, "line"), "line")
+    rows = spark.createDataFrame([("caf\u00e9",), ("cafe\u0301",)], "text string")
+    coded = rows.select(encode_bpe(F.col("text"), merges, vocab, "line").alias("ids")).collect()
+    assert coded[0].ids == coded[1].ids
+    assert [r.piece for r in characters(counts, "line").collect()] and all(len(r.piece) == 2 for r in characters(counts, "line").collect())
+
+
+def test_greedy_clusters_of_equal_documents_stay_in_bounded_tasks(spark):
+    """Equal documents never fall in step; composed tables hold no more steps than a segment has."""
+    n, size, limit = 6_000, 7, 300
+    df = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(size).alias("n_tokens"))
+    got = [r.cluster for r in cluster_greedy(df, limit_bytes=limit, segment_clusters=2, together=3).orderBy("doc_id").collect()]
+    per = -(-limit // (2 * size))
+    assert got == [i // per for i in range(n)]
+
+
+def test_composed_steps_hold_no_more_than_the_first_segment():
+    draw = np.random.default_rng(5)
+    tables = []
+    for segment in range(9):
+        upto = np.sort(draw.choice(1000, 40, replace=False)) + 1000 * segment
+        nxt = np.sort(draw.choice(1000, 40)) + 1000 * (segment + 1) - 500
+        tables.append(pd.DataFrame({"segment": segment, "upto": upto, "opened": nxt, "closed": draw.integers(1, 4, 40)}))
+    whole = compose_steps(pd.concat(tables).sample(frac=1, random_state=1))
+    assert len(whole) <= sum(len(t) for t in tables)
+    for state in [0, 1, 500, 900, 999]:
+        at, number = state, 0
+        for t in tables:
+            k = int(np.searchsorted(t["upto"], at))
+            if k < len(t):
+                number += int(t["closed"].iloc[k])
+                at = int(t["opened"].iloc[k])
+        k = int(np.searchsorted(whole["upto"], state))
+        assert (int(whole["opened"].iloc[k]), int(whole["closed"].iloc[k])) == (at, number)
+
+
 def test_bytes_stand_in_for_unknown_characters(spark):
     train = spark.createDataFrame([("low lower lowest low",)], "text string")
     counts = word_counts(train)
@@ -257,7 +429,9 @@ def test_ranges_of_a_token_file(tokens, step, chunk):
     try:
         got = []
         for first in range(0, len(tokens), step):
-            for start, batch in _documents(io.BytesIO(data), len(tokens), first, min(first + step, len(tokens)), 2):
+            stream = _Stream([(io.BytesIO(data), len(tokens))])
+            for start, batch, fresh in _documents(stream, first, min(first + step, len(tokens)), 2):
+                assert fresh
                 for doc in batch:
                     got.append((start, doc.tolist()))
                     start += len(doc)

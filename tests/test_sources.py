@@ -4,10 +4,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from corpusloom.plans.prepare import prepare_tokens
+from corpusloom.plans.prepare import PLACE, document_parts, prepare_tokens
 from corpusloom.plans.training import inspect_tokens
 from corpusloom.operators.filters import write_quarantine
-from corpusloom.sources.tables import read_docs_parquet, read_vocab, spread_small
+from corpusloom.sources.tables import read_cluster_sample, read_docs_parquet, read_vocab, spread_small, unreadable_files
 from corpusloom.sources.text import read_text_lines, write_mixed_text
 from corpusloom.sources.tokenbin import read_token_shards, write_token_shards
 
@@ -93,7 +93,7 @@ def test_prepare_keeps_every_document(spark, tmp_path):
     assert vocab.count() <= 330 and merges.count() > 0
     named = docs.withColumn("doc_id", F.monotonically_increasing_id())
     shown = inspect_tokens(named, vocab, 0, 10**6).collect()
-    want = sorted(" ".join(t.replace("<s>", "<s> ").split()) for t in texts)
+    want = sorted(t.replace("\n", " ") for t in texts)
     assert sorted(r.text for r in shown) == want
     # A second run finds the tokenizer and gives the same shards.
     again = prepare_tokens(spark, str(tmp_path / "text"), work, seed=1, size=330)
@@ -113,16 +113,54 @@ def test_only_small_tables_are_spread(spark, tmp_path):
     assert spread_small(df, str(tmp_path / "t"), "id").rdd.getNumPartitions() > 0
 
 
-def test_text_without_end_markers_stays_in_parts(spark, tmp_path):
+def test_text_without_end_markers_is_written_and_read_by_many(spark, tmp_path):
     lines = [f"word {i} low lower lowest" for i in range(300)]
     (tmp_path / "text").mkdir()
     (tmp_path / "text" / "a.txt").write_text("\n".join(lines))
     work = str(tmp_path / "work")
     whole = prepare_tokens(spark, str(tmp_path / "text"), work, seed=3, size=330).collect()
     assert len(whole) == 1 and whole[0].start == 0
-    cut = read_token_shards(spark, f"{work}/shuffled", piece_tokens=100, range_bytes=150).orderBy("start").collect()
-    # A range reads a chunk at a time, so this small file is one chunk and one piece; the ids are the same.
+    # A small table makes one task; with its ranges kept apart it is written as a large one is.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = document_parts(spark.read.parquet(f"{work}/lines"))
+        write_token_shards(parts, f"{work}/spread", order=["doc_id", *PLACE], document=True, shard_bytes=300)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    names = sorted(p.name for p in (tmp_path / "work" / "spread").glob("*.bin"))
+    assert len({n.split("-")[1] for n in names}) > 2 and len(names) >= 8
+    assert [list(r.ids) for r in read_token_shards(spark, f"{work}/spread").collect()] == [list(whole[0].ids)]
+    cut = read_token_shards(spark, f"{work}/spread", piece_tokens=100, range_bytes=150).orderBy("shard", "start").collect()
     assert [t for r in cut for t in r.ids] == list(whole[0].ids)
+    assert [r.opens for r in cut] == [True] + [False] * (len(cut) - 1) and max(len(r.ids) for r in cut) <= 200
+    vocab, _ = read_vocab(spark, f"{work}/tokenizer")
+    text = inspect_tokens(spark.createDataFrame([(1, list(whole[0].ids))], "doc_id long, ids array<int>"), vocab, 0, 10**6)
+    assert text.first().text == " ".join(lines)
+
+
+def test_one_long_document_among_short_ones_crosses_shards(spark, tmp_path):
+    path = str(tmp_path / "shards")
+    rows = [(0, k, [7, 2]) for k in range(5)] + [(1, k, [9] * 40) for k in range(200)] + [(1, 200, [2])]
+    rows += [(2, k, [5, 2]) for k in range(5)]
+    parts = spark.createDataFrame(rows, "doc_id long, k int, ids array<int>").repartition(4)
+    write_token_shards(parts, path, order=["doc_id", "k"], document=True, shard_bytes=1000)
+    files = sorted((tmp_path / "shards").glob("*.bin"))
+    assert len(files) > 5 and max(f.stat().st_size for f in files) <= 2_200
+    back = read_token_shards(spark, path, range_bytes=300).orderBy("shard", "start").collect()
+    assert [list(r.ids) for r in back] == [[7, 2]] * 5 + [[9] * 8_000 + [2]] + [[5, 2]] * 5
+    assert all(r.opens for r in back)
+    pieces = read_token_shards(spark, path, range_bytes=300, piece_tokens=50).orderBy("shard", "start").collect()
+    assert [t for r in pieces for t in r.ids] == [t for r in back for t in r.ids]
+    assert sum(r.opens for r in pieces) == 11 and max(len(r.ids) for r in pieces) < 300
+
+
+@pytest.mark.parametrize("form", ["file:{}", "file://{}", "relative"])
+def test_paths_as_other_readers_take_them(spark, tmp_path, monkeypatch, form):
+    monkeypatch.chdir(tmp_path)
+    path = "shards" if form == "relative" else form.format(tmp_path / "shards")
+    write_token_shards(spark.createDataFrame([(1, [3, 2])], "doc_id long, ids array<int>"), path, ["doc_id"])
+    assert [list(r.ids) for r in read_token_shards(spark, path).collect()] == [[3, 2]]
+    assert list((tmp_path / "shards").glob("*.bin"))
 
 
 def test_long_documents_are_read_in_pieces():
@@ -135,7 +173,8 @@ def test_long_documents_are_read_in_pieces():
     try:
         got = []
         for first, limit in ((0, 100), (100, 460), (460, len(flat))):
-            for start, docs in tokenbin._documents(io.BytesIO(flat.tobytes()), len(flat), first, limit, 2, 100):
+            stream = tokenbin._Stream([(io.BytesIO(flat.tobytes()), len(flat))])
+            for start, docs, fresh in tokenbin._documents(stream, first, limit, 2, 100):
                 for doc in docs:
                     got.append((start, doc.tolist()))
                     start += len(doc)
@@ -152,3 +191,59 @@ def test_interrupted_overwrite_keeps_the_old_shards(spark, tmp_path):
     with pytest.raises(Exception, match="16 bits"):
         write_token_shards(spark.createDataFrame([(1, [70000])], "doc_id long, ids array<int>"), path, ["doc_id"])
     assert sorted(p.name for p in (tmp_path / "shards").iterdir() if p.name.endswith(".bin")) == before
+
+
+def test_only_shards_of_the_stretch_are_opened(spark, tmp_path):
+    from corpusloom.sources.tokenbin import TokenReader, peek_shards
+
+    path = str(tmp_path / "shards")
+    rows = [(i, [3 + i % 5] * (i % 9) + [2]) for i in range(300)]
+    write_token_shards(spark.createDataFrame(rows, "doc_id long, ids array<int>"), path, ["doc_id"], shard_bytes=200)
+    flat = [t for _, ids in rows for t in ids]
+    for start, n in ((0, 10), (431, 200), (len(flat) - 5, 50), (len(flat) + 3, 4), (90, 0)):
+        got = peek_shards(spark, path, start, n, range_bytes=60).orderBy("start").collect()
+        assert [t for r in got for t in r.ids] == flat[start : start + n]
+        assert all(flat[r.start : r.start + len(r.ids)] == list(r.ids) for r in got)
+        assert all(r.opens == (r.start == 0 or flat[r.start - 1] == 2) for r in got)
+    reader = TokenReader({"path": f"file://{path}", "peek_from": "431", "peek_to": "631"})
+    assert len({p.path for p in reader.partitions()}) <= 4 and len(list((tmp_path / "shards").iterdir())) > 12
+    (tmp_path / "shards" / "part-999999-00000.bin").write_bytes(b"")  # an empty file holds no part of any stretch
+    assert [t for r in peek_shards(spark, path, 431, 200).orderBy("start").collect() for t in r.ids] == flat[431:631]
+
+
+def test_files_past_the_cap_are_not_read(spark, tmp_path):
+    path = tmp_path / "d"
+    for k in range(8):
+        spark.range(k * 100, k * 100 + 50, numPartitions=1).withColumn("k", F.lit(k)).write.parquet(str(path / f"f{k}"))
+    name = F.regexp_extract("file", "/(f[0-9])/", 1)
+    rows = read_cluster_sample(spark, str(path), 120, 5, name)
+    got = sorted((r.nth, r.id) for r in rows.collect())
+    assert [n for n, _ in got] == list(range(120))
+    order = [i // 100 for _, i in got]
+    files = list(dict.fromkeys(order))
+    assert order == [files[0]] * 50 + [files[1]] * 50 + [files[2]] * 20
+    assert {i % 100 for _, i in got[:50]} == set(range(50))
+    assert {f.split("/")[-2] for f in rows.inputFiles()} == {f"f{k}" for k in files}
+    assert read_cluster_sample(spark, str(path), 10_000, 5, name).count() == 400
+    import hashlib
+
+    keys = sorted(range(8), key=lambda k: hashlib.md5(f"5:f{k}".encode()).hexdigest())
+    assert files == keys[:3]
+
+
+def test_skipped_files_are_listed(spark, tmp_path):
+    spark.createDataFrame([("a",), (None,)], "text string").write.parquet(str(tmp_path / "d"))
+    good = next((tmp_path / "d").glob("part-*.parquet"))
+    (tmp_path / "d" / "broken.parquet").write_bytes(good.read_bytes()[:40])
+    (tmp_path / "d" / "tiny.parquet").write_bytes(b"PAR1")
+    (tmp_path / "d" / "empty.parquet").write_bytes(b"")
+    lost = {r.file.rsplit("/", 1)[-1]: (r.bytes, r.reason) for r in unreadable_files(spark, str(tmp_path / "d")).collect()}
+    assert lost == {"broken.parquet": (40, "unreadable, or without rows"), "tiny.parquet": (4, "cut short")}
+    import gzip
+
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "a.txt").write_text("one\n")
+    (tmp_path / "t" / "b.txt.gz").write_bytes(gzip.compress(b"two\n"))
+    (tmp_path / "t" / "c.txt.gz").write_bytes(b"not compressed at all")
+    lost = unreadable_files(spark, str(tmp_path / "t"), "text").collect()
+    assert [r.file.rsplit("/", 1)[-1] for r in lost] == ["c.txt.gz"]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.sources.tables import stream_docs
 from corpusloom.streaming.streams import (
-    append_files, run_available, stream_buffer_shuffle, stream_cap, stream_clean, stream_rate, stream_totals, write_totals,
+    append_files, run_available, stream_buffer_shuffle, stream_cap, stream_cap_by_state, stream_clean, stream_rate, stream_totals, write_totals,
 )
 
 SCHEMA = "doc_id long, source string, text string"
@@ -73,3 +73,15 @@ def test_late_rows_are_dropped(spark, tmp_path):
     arrive(120)
     rows = spark.read.parquet(out).orderBy("window_start").collect()
     assert [(r.window_start, r.n) for r in rows] == [(noon, 2), (noon + timedelta(minutes=40), 2)]
+
+
+def test_cap_by_state_over_batches_and_a_restart(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    for k in range(10):
+        add(spark, source, 20 * k, 20)
+    for _ in range(2):
+        run_available(append_files(stream_cap_by_state(stream(spark, source, max_files=1), 9), out, state))
+        rows = spark.read.parquet(out)
+        assert {r.source: r["count"] for r in rows.groupBy("source").count().collect()} == {"hot": 9, "s0": 9, "s1": 9, "s2": 9, "s3": 9}
+        assert rows.select("doc_id").distinct().count() == 45
+        add(spark, source, 500, 20)  # after a restart everything is full
