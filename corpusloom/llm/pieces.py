@@ -16,7 +16,7 @@ from collections.abc import Sequence
 import numpy as np
 import pyarrow as pa
 
-#: Pieces that a worker remembers; beyond it the memory starts anew. About 200 bytes each.
+#: Pieces that a worker remembers, half of them since the last turn. About 200 bytes each.
 REMEMBERED = 700_000
 #: Stands between pieces that are encoded together; a piece that holds it is encoded alone.
 MARK = "\ue000"
@@ -47,17 +47,20 @@ class PieceEncoder:
         # The mark's own bytes in front of a space: no id of a neighbour can take part in them.
         self.mark = np.array(self.model.encode(f" {MARK}", add_special_tokens=False).ids, dtype="<u2").tobytes()
         self.first: dict[str, bytes] = {}
+        # Two generations: what was met since the last turn outlives the next one.
         self.later: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: pa.Array | Sequence[str | None]) -> list[np.ndarray]:
         """Ids of each text as unsigned 16-bit arrays; null counts as empty."""
         texts = [t or "" for t in (texts.to_pylist() if isinstance(texts, pa.Array) else texts)]
-        if len(self.first) + len(self.later) > self.remembered:
-            self.first, self.later = {}, {}
+        if len(self.later) > self.remembered // 2:
+            self.later, self.older = {}, self.later
+        if len(self.first) > self.remembered // 4:
+            self.first = {}
         parts = [text.split(" ") for text in texts]
         heads = [p.pop(0) for p in parts]
-        new = set().union(*parts)
-        new.difference_update(self.later)
+        new = set().union(*parts).difference(self.later)  # by the pieces; difference_update would go through the memory
         unsafe = {p for p in new if not p or p[0].isspace() or p[-1].isspace()}
         odd = {i for i, head in enumerate(heads) if head != head.strip()}
         if unsafe or odd:
@@ -67,6 +70,9 @@ class PieceEncoder:
             for i in odd:
                 heads[i], *parts[i] = _CUT.split(texts[i])
                 new.update(p for p in parts[i] if p not in self.later)
+        again = {p: self.older[p] for p in new if p in self.older}
+        self.later.update(again)
+        new.difference_update(again)
         passing = self._learn_all({h for h in heads if h not in self.first}, new)
         first, later = self.first, self.later
         out = [
