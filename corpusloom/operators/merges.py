@@ -11,8 +11,8 @@ that the followed counts do not confirm as the best one at its turn; the rest is
 the merges are those of a one-by-one loop, in a fraction of its rounds.
 
 Otherwise a round is a rule of its own, the same for every layout of the data: of the ``look`` best pairs by
-``(count desc, left, right)`` it takes those that share no symbol with one taken before, down to half the count
-of the first pair passed over.
+``(count desc, left, right)`` it takes those that cannot overlap one taken before, down to half the count of the
+first pair passed over.
 
 All pairs are counted anew only when the leading ones are used up, or when a merge spells a piece that exists.
 """
@@ -199,16 +199,22 @@ def _in_order(pairs: dict[Pair, int], most: int) -> list[Pair]:
 
 
 def rule_of_a_round(ordered: list[Pair], count: dict[Pair, int], room: int) -> list[Pair]:
-    """Pairs in order that share no symbol with one taken before, down to half the count of the first passed over."""
+    """Pairs in order that cannot overlap one taken before, down to half the count of the first passed over.
+
+    Two pairs overlap where the right symbol of one is the left symbol of the other; sharing a left or a right symbol
+    is no conflict, as no occurrence of the one is touched by merging the other.
+    """
     taken: list[Pair] = []
-    used: set[str] = set()
+    lefts: set[str] = set()
+    rights: set[str] = set()
     passed = 0
     for pair in ordered:
         if len(taken) == room or 2 * count[pair] < passed:
             break
-        if used.isdisjoint(pair):
+        if pair[0] not in rights and pair[1] not in lefts:
             taken.append(pair)
-            used.update(pair)
+            lefts.add(pair[0])
+            rights.add(pair[1])
         else:
             passed = passed or count[pair]
     return taken

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions.keys import order_key
 from ..operators.order import shuffle_docs
-from ..operators.encode import encode_bpe, encode_words
+from ..operators.encode import decode_bpe, encode_bpe, encode_words
 from ..operators.report import source_report
 from ..operators.vocab import word_counts, word_vocab
-from ..plans.corpus import build_corpus, format_sources
+from ..plans.corpus import book_files, build_corpus, format_sources
 from ..plans.prepare import cut_documents, prepare_tokens
 from ..plans.training import clustered_stream, inspect_tokens, training_rows
 from ..schemas import SourceSpec
 from ..session import scratch_dir
-from ..sources.tables import read_docs_parquet, write_packed, write_vocab
+from ..sources.tables import read_cluster_sample, read_docs_parquet, read_vocab, write_packed, write_vocab
 from ..sources.text import read_text_lines, write_mixed_text
 from ..sources.tokenbin import read_token_shards, write_token_shards
 from . import query
@@ -53,6 +56,7 @@ def specs(spark, folder):
 
 
 SEED, BUFFER = 21, 200
+PREPARED_PIECES = 2_000
 
 
 def _among(kind: str) -> str:
@@ -184,6 +188,49 @@ def documents_from_lines(spark, folder):
     return cut_documents(encoded).select("doc_id", listed(F.col("ids")).alias("ids"))
 
 
+WEB_ROWS = "((SELECT count(*) FROM documents) // 10)"
+FILES_CORPUS = (
+    CORPUS.replace(
+        "list_filter(list_transform(ls, lambda x, i: CASE WHEN i < len(ls) THEN x || chr(10) ELSE x END), lambda x: x <> '')",
+        "list_transform(ls, lambda x: x || chr(10))",
+    )
+    .replace(NTH.format("doc_id") + f" FROM documents WHERE {_among('web')} AND", "0 AS nth FROM web_read WHERE")
+    .replace(f"{INSTRUCT},", f"""{INSTRUCT},
+web_files AS (SELECT source, sum(n) OVER (ORDER BY k) - n AS before FROM (
+    SELECT source, count(*) AS n, {sql_key(19, 'source')} AS k FROM documents WHERE {_among('web')} GROUP BY source)),
+web_read AS (SELECT * FROM (SELECT d.*, before + row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS place
+    FROM documents d JOIN web_files USING (source)) WHERE place < {WEB_ROWS}),""", 1)
+)
+
+
+@query(
+    "corpus_from_files",
+    f"""WITH {FILES_CORPUS} SELECT source, doc_id, chunk_no, copy_no::BIGINT AS copy_no, position // {BUFFER} AS block,
+        row_number() OVER (PARTITION BY position // {BUFFER} ORDER BY key, {IDS}) - 1 AS rank, formatted FROM placed""",
+)
+def corpus_from_files(spark, folder):
+    """Books out of text files, web pages out of Parquet files chosen whole until a tenth of the documents is read."""
+    texts, pages = scratch_dir(spark, "books"), scratch_dir(spark, "web")
+    rows = docs(spark, folder).select("source", "doc_id", "text")
+    books = rows.filter(F.col("source").isin(KINDS["book"])).select("source", "doc_id", F.col("text").alias("value"))
+    books.repartition("source").write.partitionBy("source", "doc_id").text(texts)
+    web = rows.filter(F.col("source").isin(KINDS["web"])).repartition("source").sortWithinPartitions("source", "doc_id")
+    web.write.partitionBy("source").parquet(pages)
+
+    def named(part: str) -> Column:
+        return F.regexp_extract("file", f"/{part}=([^/]*)/", 1)
+
+    limit = table(spark, folder, "documents").count() // 10
+    sample = read_cluster_sample(spark, pages, limit, 19, named("source")).select("source", "doc_id", "text")
+    others = rows.filter(~F.col("source").isin(KINDS["web"]))
+    settings = [replace(s, cap=None) if s.kind == "web" else s for s in specs(spark, folder)]
+    corpus = build_corpus(
+        others.unionByName(sample), instruct(spark, folder), settings, SEED, BUFFER,
+        books=book_files(spark, texts, named("source"), named("doc_id")), **LETTERS,
+    )
+    return corpus.withColumns({c: F.col(c).cast("bigint") for c in ("chunk_no", "copy_no")})
+
+
 CTX, BATCH, EPOCHS, CLUSTER, CLAMP = 64, 4, 2, 20_000, 1500
 STREAM = f"""sizes AS (SELECT doc_id, count(*) AS n FROM known GROUP BY doc_id),
 laid AS (SELECT doc_id, (sum(2 * n) OVER (ORDER BY doc_id) - 2 * n) // {CLUSTER} AS cluster FROM sizes),
@@ -257,14 +304,21 @@ def cluster_order(spark, folder):
     return laid.select("epoch", "doc_id", "cluster", "start")
 
 
-@query("prepare_tokens")
+@query(
+    "prepare_tokens",
+    """SELECT regexp_replace('<s>' || text || '</s>', '\n+', ' ', 'g') AS text, count(*) AS n FROM documents
+    WHERE text IS NOT NULL GROUP BY 1""",
+)
 def prepared(spark, folder):
-    """Text files to shuffled token shards: every document comes back, whole."""
+    """Text files to shuffled token shards: every document comes back, whole, as often as it was there. Empty lines give
+    no token, and a line break reads as a space."""
     work = scratch_dir(spark, "prepare")
     text = F.concat(F.lit("<s>"), F.col("text"), F.lit("</s>"))
-    docs(spark, folder).select(text.alias("value")).write.text(f"{work}/text")
-    stored = prepare_tokens(spark, f"{work}/text", f"{work}/out", seed=51, size=420)
-    return stored.select("shard", "start", listed(F.col("ids")).alias("ids"))
+    docs(spark, folder).filter("text is not null").select(text.alias("value")).write.text(f"{work}/text")
+    stored = prepare_tokens(spark, f"{work}/text", f"{work}/out", seed=51, size=PREPARED_PIECES)
+    vocab, _ = read_vocab(spark, f"{work}/out/tokenizer")
+    back = stored.select(decode_bpe(F.col("ids"), vocab, "text").alias("text"))
+    return back.groupBy("text").agg(F.count("*").alias("n"))
 
 
 @query(

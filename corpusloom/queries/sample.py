@@ -122,14 +122,14 @@ def sampled_files(spark, folder):
 
 @query(
     "unreadable_files",
-    """SELECT 'unreadable, or without rows' AS reason, count(DISTINCT source) AS n_files, count(*) AS n_rows
+    """SELECT 'unreadable' AS reason, count(DISTINCT source) AS n_files, count(*) AS n_rows
     FROM documents""",
 )
 def unreadable(spark, folder):
     """A folder of Parquet files with as many others between them: the good are read, the others listed."""
     path = by_source(spark, folder)
     broken = docs(spark, folder).select("source", F.lit("this is not a table").alias("value")).distinct().repartition("source")
-    broken.write.partitionBy("source").text(f"{path}/others")
+    broken.write.mode("append").partitionBy("source").text(path)
     rows = doc_source(read_docs_parquet(spark, path).withColumn("doc_id", F.lit(0)), "files").count()
     names = unreadable_files(spark, path).filter(~F.col("file").rlike("/[_.][^/]*$"))
     return names.groupBy("reason").agg(F.count("*").alias("n_files")).withColumn("n_rows", F.lit(rows).cast("bigint"))

@@ -13,6 +13,8 @@ from .text import skip_unreadable
 
 #: Fewer bytes cannot be a file of the kind: a Parquet file's two marks and footer length.
 LEAST_BYTES = {"parquet": 12}
+#: A Parquet file without rows is its schema; only files below this many bytes are looked into.
+BARE_BYTES = 1 << 16
 
 
 def read_docs_parquet(spark: SparkSession, path: str, text: str = "text") -> DataFrame:
@@ -57,7 +59,7 @@ def read_cluster_sample(
     chosen = placed.select("file", "__before").orderBy("__before").limit(limit).collect()
     if not chosen:
         return spark.read.option("recursiveFileLookup", True).parquet(path).limit(0).withColumn(out, F.lit(0).cast("bigint"))
-    rows = spark.read.parquet(*[r.file for r in chosen])
+    rows = spark.read.option("basePath", path).parquet(*[r.file for r in chosen])  # columns that folders name stay
     starts = spark.createDataFrame([(r.file, r["__before"]) for r in chosen], "__file string, __before bigint")
     laid = rows.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__index"))
     laid = laid.join(F.broadcast(starts), "__file").withColumn(out, F.col("__before") + F.col("__index"))
@@ -67,9 +69,11 @@ def read_cluster_sample(
 def unreadable_files(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
     """``(file, bytes, reason)`` of the files that ``skip_unreadable`` passes over: the record beside the data.
 
-    The listing, which reads nothing, less the files that gave a row. A file of no bytes holds nothing to lose.
+    The listing, which reads nothing, less the files that gave a row. A file of no bytes holds nothing to lose, and a
+    small Parquet file with both its marks is taken for one without rows.
     """
-    lost = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    lost = listing.select("path", "length")
     layout = T.StructType([T.StructField("value", T.StringType())])
     reader = skip_unreadable(spark.read).option("recursiveFileLookup", True).format(kind)
     read = (reader if kind == "text" else reader.schema(layout)).load(path)
@@ -78,8 +82,12 @@ def unreadable_files(spark: SparkSession, path: str, kind: str = "parquet") -> D
         return F.regexp_replace(c, "^file:/+", "file:/")
 
     seen = read.select(plain(F.col("_metadata.file_path")).alias("path")).distinct()
-    reason = F.when(F.col("length") < LEAST_BYTES.get(kind, 1), "cut short").otherwise("unreadable, or without rows")
+    reason = F.when(F.col("length") < LEAST_BYTES.get(kind, 1), "cut short").otherwise("unreadable")
     missing = lost.withColumn("path", plain(F.col("path"))).filter("length > 0").join(seen, "path", "left_anti")
+    if kind == "parquet":
+        bare = listing.filter((F.col("length") >= LEAST_BYTES[kind]) & (F.col("length") < BARE_BYTES))
+        marked = F.expr("decode(substring(content, 1, 4), 'ISO-8859-1') = 'PAR1' and decode(substring(content, -4, 4), 'ISO-8859-1') = 'PAR1'")
+        missing = missing.join(bare.filter(marked).select(plain(F.col("path")).alias("path")), "path", "left_anti")
     return missing.select(F.col("path").alias("file"), F.col("length").alias("bytes"), reason.alias("reason"))
 
 

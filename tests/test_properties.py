@@ -272,13 +272,14 @@ def batched_rule(words, n, look, min_freq=2):
             for p in zip(symbols, symbols[1:]):
                 pairs[p] += c
         ordered = sorted((p for p, c in pairs.items() if c >= min_freq and len(p[0] + p[1]) <= 32), key=lambda p: (-pairs[p], p))
-        taken, used, passed = [], set(), 0
+        taken, lefts, rights, passed = [], set(), set(), 0
         for p in ordered[:look]:
             if len(taken) == n - len(merges) or 2 * pairs[p] < passed:
                 break
-            if used.isdisjoint(p):
+            if p[0] not in rights and p[1] not in lefts:
                 taken.append(p)
-                used |= set(p)
+                lefts.add(p[0])
+                rights.add(p[1])
             else:
                 passed = passed or pairs[p]
         if not taken:

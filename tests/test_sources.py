@@ -238,7 +238,7 @@ def test_skipped_files_are_listed(spark, tmp_path):
     (tmp_path / "d" / "tiny.parquet").write_bytes(b"PAR1")
     (tmp_path / "d" / "empty.parquet").write_bytes(b"")
     lost = {r.file.rsplit("/", 1)[-1]: (r.bytes, r.reason) for r in unreadable_files(spark, str(tmp_path / "d")).collect()}
-    assert lost == {"broken.parquet": (40, "unreadable, or without rows"), "tiny.parquet": (4, "cut short")}
+    assert lost == {"broken.parquet": (40, "unreadable"), "tiny.parquet": (4, "cut short")}
     import gzip
 
     (tmp_path / "t").mkdir()
