@@ -56,7 +56,7 @@ def specs(spark, folder):
 
 
 SEED, BUFFER = 21, 200
-PREPARED_PIECES = 2_000
+PREPARED_PIECES = 1_000
 
 
 def _among(kind: str) -> str:
