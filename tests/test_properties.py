@@ -455,3 +455,36 @@ def test_batched_merges_encode_and_decode(spark):
     coded = df.select(encode_bpe(F.col("text"), merges, vocab).alias("ids"))
     assert coded.select(decode_bpe(F.col("ids"), vocab)).first()[0] == " ".join(words)
     assert len(coded.first().ids) < sum(len(w) + 1 for w in words)
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.text("abc", min_size=1, max_size=9), min_size=1, max_size=6),
+    st.lists(st.tuples(st.sampled_from(["a", "b", "ab", "aa", "c"]), st.sampled_from(["a", "b", "ab", "bc"])), max_size=6),
+)
+def test_words_laid_end_to_end_are_merged_as_single_ones(words, batch):
+    """Whole groups of merges in one pass leave what the replay of each word leaves, and tell the same changes."""
+    from corpusloom.operators import merges as m
+
+    pieces, numbered = m._Pieces("text"), {}
+    for k, pair in enumerate(batch):
+        numbered.setdefault(pair, []).append(k)
+    n = list(range(1, len(words) + 1))
+    want = [replay(list(w), numbered) for w in words]
+    diff = Counter()
+    for w, end, times in zip(words, want, n):
+        diff.update({p: times * c for p, c in Counter(zip(end, end[1:])).items()})
+        diff.subtract({p: times * c for p, c in Counter(zip(w, w[1:])).items()})
+    steps = pieces.steps(batch)
+    for groups in ([[s] for s in steps], m.at_once(steps)):
+        laid = m.Words(np.array([ord(c) for w in words for c in w], "i4"), np.array([len(w) for w in words]), np.array(n))
+        told = Counter()
+        for group in groups:
+            for key, by in zip(*(laid.apply(group, told=True) or ((), ()))):
+                told[int(key)] += int(by)
+        piece = m._spelling("text", pieces.merged)
+        low = (1 << m.WIDTH) - 1
+        assert {p: c for p, c in diff.items() if c} == {(piece(k >> m.WIDTH), piece(k & low)): c for k, c in told.items() if c}
+        rows, times = laid.rows()
+        got = [[piece(int(x)) for x in np.frombuffer(r, "<i4")] for r in rows.to_pylist()]
+        assert (got, times.tolist()) == ([w for w in want if len(w) > 1], [t for w, t in zip(want, n) if len(w) > 1])
