@@ -488,3 +488,34 @@ def test_words_laid_end_to_end_are_merged_as_single_ones(words, batch):
         rows, times = laid.rows()
         got = [[piece(int(x)) for x in np.frombuffer(r, "<i4")] for r in rows.to_pylist()]
         assert (got, times.tolist()) == ([w for w in want if len(w) > 1], [t for w, t in zip(want, n) if len(w) > 1])
+
+
+def test_parts_of_a_batch_give_what_the_batch_gives():
+    """Functions of Arrow columns see no more than so many bytes or ids at a time, and nothing changes by it."""
+    import pyarrow as pa
+
+    from corpusloom.functions.arrays import by_parts, small_parts
+
+    texts = pa.array(["a" * 30, None, "", "b" * 5, "c" * 100, "d"])
+    assert [len(p) for p in small_parts(texts, 10)] == [1, 4, 1]
+    lists = pa.array([[1] * 7, None, [], [2] * 3, [4]], pa.list_(pa.int32()))
+    seen = []
+    whole = by_parts(5)(lambda column: seen.append(len(column)) or column)
+    assert whole(lists).equals(lists) and seen == [1, 3, 1]
+    assert whole(lists.slice(5)).equals(lists.slice(5))
+
+
+@pytest.mark.parametrize("pretok", ["word", "text", "line"])
+def test_words_merged_together_have_the_ids_of_single_ones(spark, monkeypatch, pretok):
+    from corpusloom.operators import encode
+
+    words = syllables(4, 300)
+    df = spark.createDataFrame([(" ".join(words) + "\n ▁ <s> café 猫ab",), (None,), ("",), ("aaaa aaa \t x",)], "text string")
+    train = word_counts(df.limit(1), pretok=pretok)
+    merges = learn_bpe(train, 60, pretok=pretok)
+    vocab = build_vocab(merges, characters(train.filter("word not like '%猫%'"), pretok), pretok)
+    got = {}
+    for passes in (0, 1000):
+        monkeypatch.setattr(encode, "PASSES", passes)
+        got[passes] = [r.ids for r in df.select(encode_bpe(F.col("text"), merges, vocab, pretok).alias("ids")).collect()]
+    assert got[0] == got[1000] and len(got[0][0]) > 100
