@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .components import components, first_rows, numbered_rows
 
 SHINGLE = 4
@@ -206,6 +207,17 @@ def near_links(prints: DataFrame) -> DataFrame:
     return met.mapInArrow(linked, "a bigint, b bigint")
 
 
+def near_pairs(rows: DataFrame, *, words: int = SHINGLE) -> DataFrame:
+    """Pairs ``a`` < ``b`` of ``row`` for rows ``row`` (different non-null numbers), ``text``: one row per fingerprint
+    stands for those with the same one, links span what ``RADIUS`` bits connect. Nothing else is said of the texts."""
+    docs = stage(fingerprints(rows, id_col="row", text_col="text", words=words))
+    per_print = stage(docs.groupBy("print").agg(F.min("doc_id").alias("least")))
+    same = docs.join(per_print, "print").filter("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
+    ends = [per_print.select(F.col("print").alias(c), F.col("least").alias(f"row_{c}")) for c in "ab"]
+    near = near_links(per_print).join(ends[0], "a").join(ends[1], "b")
+    return same.union(near.select(F.least("row_a", "row_b").alias("a"), F.greatest("row_a", "row_b").alias("b")))
+
+
 def near_duplicates(
     df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE
 ) -> DataFrame:
@@ -216,8 +228,6 @@ def near_duplicates(
     for itself; null ids get the component's smallest id, null if no member has one. Other columns are ignored.
     An empty table gives no rows.
     """
-    from ..session import stage
-
     docs = stage(fingerprints(df, id_col=id_col, text_col=text_col, words=words))
     per_print = stage(docs.groupBy("print").agg(F.min("doc_id").alias("least")))
     roots = components(near_links(per_print))
