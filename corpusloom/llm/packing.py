@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .pieces import REMEMBERED
 from .token_codes import encoder, small_runs
 
 CAPACITY = 2048
@@ -109,13 +110,13 @@ def pack_group(sizes: list[int], capacity: int = CAPACITY, least_piece: int = 1)
 def pack(
     df: DataFrame, tokenizer: str, end_id: int, *, id_col: str = "doc_id", text_col: str = "text",
     capacity: int = CAPACITY, group_docs: int = GROUP_DOCS, group_tokens: int = GROUP_TOKENS, seed: int = SEED,
-    least_piece: int = 1, with_ids: bool = True,
+    least_piece: int = 1, with_ids: bool = True, remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Pieces of all documents of ``df``: columns ``PIECES`` and, if wanted, the ``ids`` of the piece.
 
     A document is its ids and ``end_id``; null or empty text is the end id alone. ``sequence_id`` is unique, and
     offsets inside a sequence have no gap. Rows that tie or repeat are packed each for itself; null ids stay
-    null; other columns are ignored. An empty table gives no rows.
+    null; other columns are ignored. An empty table gives no rows. ``remembered``: text pieces that a worker keeps.
     """
     schema = PIECES + (", ids array<bigint>" if with_ids else "")
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -150,7 +151,7 @@ def pack(
         for batch in batches:
             names = batch.column(0).to_pylist()
             for a, texts in small_runs(batch.column(1)):
-                for name, code in zip(names[a:], encoder(tokenizer).encode(texts)):
+                for name, code in zip(names[a:], encoder(tokenizer, remembered).encode(texts)):
                     ids.append(name)
                     codes.append(np.concatenate([code, end]).astype("<u4"))
                     tokens += len(codes[-1])

@@ -61,7 +61,7 @@ class PieceEncoder:
         parts = [text.split(" ") for text in texts]
         heads = [p.pop(0) for p in parts]
         new = set().union(*parts).difference(self.later)  # by the pieces; difference_update would go through the memory
-        unsafe = {p for p in new if not p or p[0].isspace() or p[-1].isspace()}
+        unsafe = {p for p in new if not p or p.strip() != p}
         odd = {i for i, head in enumerate(heads) if head != head.strip()}
         if unsafe or odd:
             # Other white space stands next to a space: these texts are cut by the rule itself.
@@ -115,16 +115,19 @@ class PieceEncoder:
                 left, _, right = p.partition("\n")
                 if left and right and "\n" not in right and not left[-1].isspace() and not right[0].isspace():
                     lines[p] = (left, right)
-            elif _ends(p):
+            elif p[-1:] in (".", ",") and p[-2:-1].isalnum():
                 ended.append(p)
         return lines, ended
 
     def _learn(self, memory: dict[str, bytes], new: set[str], before: str) -> None:
-        alone = [p for p in new if MARK in p or not before or not p or p[0].isspace() or p[-1].isspace()]
+        if before:
+            marked = MARK in "".join(new)
+            alone = [p for p in new if not p or p.strip() != p or marked and MARK in p]
+        else:
+            alone = list(new)
         for piece, code in zip(alone, self.model.encode_batch_fast([before + p for p in alone], add_special_tokens=False)):
             memory[piece] = np.array(code.ids, dtype="<u2").tobytes()
-        kept = set(alone)
-        many = [p for p in new if p not in kept]
+        many = list(new.difference(alone))
         blocks = [many[i : i + TOGETHER] for i in range(0, len(many), TOGETHER)]
         texts = ["".join(f" {p} {MARK}" for p in block) for block in blocks]
         for block, code in zip(blocks, self.model.encode_batch_fast(texts, add_special_tokens=False)):

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .pieces import PieceEncoder
+from .pieces import REMEMBERED, PieceEncoder
 
 MAGIC = b"DACTOK01"
 WIDTHS = (8, 4, 4)
@@ -39,9 +39,9 @@ _TEXTS_AT_ONCE = 2_000_000
 
 
 @functools.cache
-def encoder(path: str) -> PieceEncoder:
+def encoder(path: str, remembered: int = REMEMBERED) -> PieceEncoder:
     """One encoder a worker process and vocabulary."""
-    return PieceEncoder(path)
+    return PieceEncoder(path, remembered)
 
 
 def small_runs(texts: pa.Array) -> Iterator[tuple[int, pa.Array]]:
