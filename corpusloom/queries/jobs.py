@@ -213,7 +213,8 @@ def corpus_from_files(spark, folder):
     texts, pages = scratch_dir(spark, "books"), scratch_dir(spark, "web")
     rows = docs(spark, folder).select("source", "doc_id", "text")
     books = rows.filter(F.col("source").isin(KINDS["book"])).select("source", "doc_id", F.col("text").alias("value"))
-    books.repartition("source").write.partitionBy("source", "doc_id").text(texts)
+    # A file per book; books of one source are written by many tasks.
+    books.repartition("source", "doc_id").write.partitionBy("source", "doc_id").text(texts)
     web = rows.filter(F.col("source").isin(KINDS["web"])).repartition("source").sortWithinPartitions("source", "doc_id")
     web.write.partitionBy("source").parquet(pages)
 
