@@ -519,3 +519,31 @@ def test_words_merged_together_have_the_ids_of_single_ones(spark, monkeypatch, p
         monkeypatch.setattr(encode, "PASSES", passes)
         got[passes] = [r.ids for r in df.select(encode_bpe(F.col("text"), merges, vocab, pretok).alias("ids")).collect()]
     assert got[0] == got[1000] and len(got[0][0]) > 100
+
+
+def test_results_of_a_part_leave_a_task_before_the_next_part_is_read(spark):
+    """Iterator UDFs: a task never holds the ids of a whole batch of Spark's; rows keep their ids, nulls and empties too."""
+    import pyarrow as pa
+    from pyspark.util import PythonEvalType
+
+    from corpusloom.functions.arrays import in_parts, pack_u16, unpack_u16
+    from corpusloom.operators.encode import decode_words, encode_words
+    from corpusloom.operators.vocab import word_vocab
+
+    seen = []
+    parts = in_parts(10)(lambda column: seen.append(len(column)) or column)(iter([pa.array(["a" * 30, "b", None, "c" * 12, "d"])]))
+    assert len(next(parts)) == 1 and seen == [1]
+    assert [len(p) for p in parts] == [3, 1]
+
+    texts = [(k, None if k % 7 == 3 else " ".join(f"ab{k % 5} c{j % 3}" for j in range(k % 11))) for k in range(300)]
+    df = spark.createDataFrame(texts, "doc_id int, text string").coalesce(1)
+    types = word_counts(df).cache()
+    words = word_vocab(types)
+    merges = learn_bpe(types, 8)
+    ids = build_vocab(merges, characters(types))
+    coded = df.select("doc_id", encode_words(F.col("text"), words).alias("w"), encode_bpe(F.col("text"), merges, ids).alias("b"))
+    coded = coded.withColumn("w", unpack_u16(pack_u16(F.col("w"))))
+    back = coded.select("doc_id", decode_words(F.col("w"), words).alias("w"), decode_bpe(F.col("b"), ids).alias("b"))
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(f", {PythonEvalType.SQL_SCALAR_ARROW_ITER_UDF}") and f", {PythonEvalType.SQL_SCALAR_ARROW_UDF}" not in plan
+    assert [tuple(r) for r in back.orderBy("doc_id").collect()] == [(k, t or "", t or "") for k, t in texts]
