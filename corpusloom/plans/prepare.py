@@ -14,6 +14,7 @@ from ..operators.order import prefix_sum, quantile_bucket
 from ..operators.sample import bernoulli_by_bytes, head_by_bytes
 from ..operators.tokens import split_at_eos
 from ..operators.vocab import build_vocab, characters, learn_bpe, word_counts
+from ..session import stage
 from ..sources.tables import read_vocab, write_vocab
 from ..sources.text import read_text_lines
 from ..sources.tokenbin import read_token_shards, write_token_shards
@@ -54,9 +55,9 @@ def document_parts(encoded: DataFrame, eos_id: int = fixed.EOS_ID) -> DataFrame:
     running totals over line blocks. A part is what one line holds of a document, so text without
     any marker is one document of many rows.
     """
-    parts = split_at_eos(encoded, eos_id=eos_id).withColumn(
-        "__closed", (F.element_at("ids", -1) == eos_id).cast("int")
-    )
+    # Written once: the passes over the order would each encode and cut the lines again.
+    closed = (F.element_at("ids", -1) == eos_id).cast("int").alias("__closed")
+    parts = stage(split_at_eos(encoded, eos_id=eos_id).select(*PLACE, "ids", closed))
     return prefix_sum(
         quantile_bucket(parts, "line_no"), ["line_no", "seq_no"], "__closed", by=["file"], then=[F.col("file")],
         bucket="__bucket", out="doc_id",

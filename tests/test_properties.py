@@ -547,3 +547,21 @@ def test_results_of_a_part_leave_a_task_before_the_next_part_is_read(spark):
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert plan.count(f", {PythonEvalType.SQL_SCALAR_ARROW_ITER_UDF}") and f", {PythonEvalType.SQL_SCALAR_ARROW_UDF}" not in plan
     assert [tuple(r) for r in back.orderBy("doc_id").collect()] == [(k, t or "", t or "") for k, t in texts]
+
+
+def test_lines_are_encoded_once_for_the_documents_cut_from_them(spark):
+    """Running totals read the cut lines more than once; what makes them runs once. One span a row or many, results stay."""
+    from corpusloom.plans.prepare import cut_documents
+
+    rows = [("f", 0, [5, 6]), ("f", 1, [7, 2, 8, 2, 9]), ("f", 2, []), ("f", 3, None), ("g", 0, [2]), ("g", 1, [None, 2]), ("g", 2, [3])]
+    looked = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<int>")
+    def made(ids):
+        looked.add(1)
+        return ids
+
+    lines = spark.createDataFrame(rows, "file string, line_no long, ids array<int>")
+    got = cut_documents(lines.withColumn("ids", made.asNondeterministic()("ids"))).orderBy("doc_id").collect()
+    assert [r.ids for r in got] == [[5, 6, 7, 2], [8, 2], [9, 2], [None, 2], [3]]
+    assert looked.value == len(rows)
