@@ -2,15 +2,64 @@
 
 Every round links each node's larger neighbours to the smallest node around it, then its smaller ones, until
 nothing changes: logarithmically many rounds, each with counts and minima that are pre-aggregated per task. A node
-with a third of all edges is a skewed join side that Spark splits; its edges never meet in one row.
+with a third of all edges is a skewed join side that Spark splits; its edges never meet in one row. Before each
+round tasks put what ``TOGETHER`` edges connect as stars, so most graphs need one round or none.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..session import forget, stage
+
+
+#: Edges that one task looks at together. More are dealt over more tasks and joined by rounds of shuffles.
+TOGETHER = 1 << 18
+
+
+def forest(links: np.ndarray) -> np.ndarray:
+    """Links that join the same nodes, at most one per node: each to the smallest one it is connected to."""
+    nodes, ends = np.unique(links, return_inverse=True)
+    ends = ends.reshape(-1, 2)
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[ends[:, 0]], root[ends[:, 1]])
+        before = root.copy()
+        for side in (0, 1):
+            np.minimum.at(root, root[ends[:, side]], low)
+            np.minimum.at(root, ends[:, side], low)
+        while not np.array_equal(root, root[root]):
+            root = root[root]
+        if np.array_equal(root, before):
+            break
+    away = root != np.arange(len(nodes))
+    return np.stack([nodes[away], nodes[root[away]]], 1)
+
+
+def _as_stars(edges: DataFrame) -> DataFrame:
+    """Edges ``u`` > ``v`` that connect the same nodes, put as stars by tasks that see at most ``TOGETHER`` at once."""
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def close() -> pa.RecordBatch:
+            links = forest(np.concatenate(held))
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(links[:, 0]), pa.array(links[:, 1])], ["u", "v"])
+
+        for batch in batches:
+            if held and sum(map(len, held)) + batch.num_rows > TOGETHER:
+                yield close()
+            held.append(np.stack([np.asarray(batch.column(0)), np.asarray(batch.column(1))], 1))
+        if held:
+            yield close()
+
+    return edges.mapInArrow(joined, "u bigint, v bigint")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -20,23 +69,39 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     the shared folder, which cuts the lineage and outlives lost executors.
     """
     pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).na.drop()
-    state = stage(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    first = stage(pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    state, rounds = first.filter("u <> v"), 0
+    numbers = all(kind == "bigint" for _, kind in pairs.dtypes)
     while True:
-        after = stage(_small_star(_large_star(state)))
-        # Stars only: every node has one smaller neighbour, and that one has none. Then the edges are the answer.
-        inner = after.select("v").distinct().join(after.select(F.col("u").alias("v")), "v", "left_semi")
-        many = after.groupBy("u").agg(F.count("*").alias("n")).filter("n > 1")
-        state = after
-        if inner.isEmpty() and many.isEmpty():
+        if numbers:
+            parts = max(1, -(-state.count() // TOGETHER))
+            before, state = state, stage(_as_stars(state.coalesce(parts)))
+            if rounds:
+                forget(before)
+            if parts == 1:
+                break
+        if _are_stars(state):
             break
-    stars = state.filter("u <> v")
-    ends = stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    roots = stars.select(F.col("v").alias("node"), F.col("v").alias("root"))
-    loops = pairs.filter("u = v").select(F.col("u").alias("node"), F.col("v").alias("root"))
+        before, state, rounds = state, stage(_small_star(_large_star(state))), rounds + 1
+        if numbers or rounds > 1:
+            forget(before)
+    ends = state.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots = state.select(F.col("v").alias("node"), F.col("v").alias("root"))
+    loops = first.filter("u = v").select(F.col("u").alias("node"), F.col("v").alias("root"))
     known = ends.union(roots).union(loops)
     return known.groupBy("node").agg(F.min("root").alias("root"))
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and that one has none: then the edges are the answer."""
+    kind = edges.schema["v"].dataType
+    roles = edges.select(F.col("u").alias("node"), F.col("v").alias("next"), F.lit(0).alias("above")).union(
+        edges.select("v", F.lit(None).cast(kind), F.lit(1))
+    )
+    per = roles.groupBy("node").agg(F.min("next").alias("p"), F.max("next").alias("q"), F.max("above").alias("above"))
+    return per.filter("p < q or p is not null and above = 1").isEmpty()
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest node among the node and its neighbours."""
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .components import components, first_rows, numbered_rows
+from .components import components, first_rows, forest, numbered_rows
 
 SHINGLE = 4
 RADIUS = 4
@@ -133,25 +133,6 @@ def _links_in_part(prints: np.ndarray, hashes: np.ndarray, linear: LinearHash, p
     yield np.unique(np.stack([owner[near], head[near]], 1), axis=0)
 
 
-def _forest(links: np.ndarray) -> np.ndarray:
-    """Links that join the same fingerprints, at most one per fingerprint: each to its smallest one nearby."""
-    nodes, ends = np.unique(links, return_inverse=True)
-    ends = ends.reshape(-1, 2)
-    root = np.arange(len(nodes))
-    while True:
-        low = np.minimum(root[ends[:, 0]], root[ends[:, 1]])
-        before = root.copy()
-        for side in (0, 1):
-            np.minimum.at(root, root[ends[:, side]], low)
-            np.minimum.at(root, ends[:, side], low)
-        while not np.array_equal(root, root[root]):
-            root = root[root]
-        if np.array_equal(root, before):
-            break
-    away = root != np.arange(len(nodes))
-    return np.stack([nodes[away], nodes[root[away]]], 1)
-
-
 def near_links(prints: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` between distinct fingerprints of column ``print`` that span all pairs within ``RADIUS``
     bits: whatever such pairs connect, these links connect. Each is itself within the radius or follows from a chain."""
@@ -185,8 +166,8 @@ def near_links(prints: DataFrame) -> DataFrame:
             more = min(more, linear.BITS - bits)
             links = [x for j in range(1 << more) for x in _links_in_part(prints, hashes, linear, (block << more) + j, bits + more)]
             if links:
-                forest = _forest(np.concatenate(links)).view("i8")
-                yield pa.RecordBatch.from_arrays([pa.array(forest[:, 0]), pa.array(forest[:, 1])], ["a", "b"])
+                joined = forest(np.concatenate(links)).view("i8")
+                yield pa.RecordBatch.from_arrays([pa.array(joined[:, 0]), pa.array(joined[:, 1])], ["a", "b"])
 
         for batch in batches:
             blocks, prints = np.asarray(batch.column(0)), np.asarray(batch.column(1))

@@ -310,3 +310,17 @@ def test_language(spark, rows, none):
     assert language_mix.identify(none, model).count() == 0
     empty = language_mix.learn(train.limit(0))
     assert {r.lang_pred for r in language_mix.identify(rows, empty).collect()} == {"und"}
+
+
+def test_components_of_small_graphs_need_no_round_of_shuffles(spark, monkeypatch):
+    """A graph that one task can see is put as stars there; a larger one takes rounds, with the same result."""
+    chain = [(k, k + 1) for k in range(1, 300)] + [(500, 500), (700, 600), (None, 3)]
+    want = {k: 1 for k in range(1, 301)} | {500: 500, 600: 600, 700: 600}
+    edges = spark.createDataFrame(chain, "a long, b long").repartition(5)
+    rounds, large = [], components._large_star
+    monkeypatch.setattr(components, "_large_star", lambda x: rounds.append(1) or large(x))
+    assert {r.node: r.root for r in components.components(edges).collect()} == want
+    assert not rounds
+    monkeypatch.setattr(components, "TOGETHER", 50)
+    assert {r.node: r.root for r in components.components(edges).collect()} == want
+    assert rounds
