@@ -9,18 +9,22 @@ digit and a full stop or comma, so a piece that is new may still be made of know
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces that a worker remembers, half of them since the last turn. About 200 bytes each.
-REMEMBERED = 700_000
+REMEMBERED = 350_000
 #: Stands between pieces that are encoded together; a piece that holds it is encoded alone.
 MARK = "\ue000"
 TOGETHER = 64
+#: A space in a byte-level vocabulary.
+SPACE = "\u0120"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -46,6 +50,12 @@ class PieceEncoder:
         self.remembered = remembered
         # The mark's own bytes in front of a space: no id of a neighbour can take part in them.
         self.mark = np.array(self.model.encode(f" {MARK}", add_special_tokens=False).ids, dtype="<u2").tobytes()
+        # Where a space stays in the ids, as the first byte of a piece and nowhere else in it, pieces need no mark.
+        how = json.loads(self.model.to_str())
+        kept = how["normalizer"] is None and how["pre_tokenizer"]["type"] == "ByteLevel" and how["pre_tokenizer"]["use_regex"]
+        self.opens = np.zeros(65_536, bool) if kept else None
+        if kept:
+            self.opens[[i for token, i in self.model.get_vocab(with_added_tokens=False).items() if token[0] == SPACE]] = True
         self.first: dict[str, bytes] = {}
         # Two generations: what was met since the last turn outlives the next one.
         self.later: dict[str, bytes] = {}
@@ -53,35 +63,54 @@ class PieceEncoder:
 
     def encode(self, texts: pa.Array | Sequence[str | None]) -> list[np.ndarray]:
         """Ids of each text as unsigned 16-bit arrays; null counts as empty."""
-        texts = [t or "" for t in (texts.to_pylist() if isinstance(texts, pa.Array) else texts)]
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
         if len(self.later) > self.remembered // 2:
             self.later, self.older = {}, self.later
         if len(self.first) > self.remembered // 4:
             self.first = {}
-        parts = [text.split(" ") for text in texts]
-        heads = [p.pop(0) for p in parts]
-        new = set().union(*parts).difference(self.later)  # by the pieces; difference_update would go through the memory
-        unsafe = {p for p in new if not p or p.strip() != p}
+        # Each different piece of the texts is looked up once; Arrow lays the ids end to end.
+        cut = pc.split_pattern(pc.fill_null(column, ""), " ")
+        flat = cut.flatten().dictionary_encode()
+        types, at = flat.dictionary.to_pylist(), flat.indices.to_numpy().astype("i8")
+        bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy())])
+        starts = bounds[:-1]
+        inner = np.ones(len(at), bool)
+        inner[starts] = False
+        used = np.zeros(len(types), bool)
+        used[at[inner]] = True
+        pieces = [types[i] for i in np.flatnonzero(used).tolist()]
+        heads = [types[i] for i in at[starts].tolist()]
+        parts: dict[int, list[str]] = {}
+        unsafe = {p for p in pieces if not p or p.strip() != p}
+        new = {p for p in pieces if p not in self.later}
         odd = {i for i, head in enumerate(heads) if head != head.strip()}
         if unsafe or odd:
             # Other white space stands next to a space: these texts are cut by the rule itself.
-            odd.update(i for i, p in enumerate(parts) if not unsafe.isdisjoint(p))
+            bad = used & np.fromiter((p in unsafe for p in types), bool, len(types))
+            odd.update(np.unique(np.searchsorted(bounds, np.flatnonzero(bad[at] & inner), "right") - 1).tolist())
             new -= unsafe
             for i in odd:
-                heads[i], *parts[i] = _CUT.split(texts[i])
+                heads[i], *parts[i] = _CUT.split(column[i].as_py())
                 new.update(p for p in parts[i] if p not in self.later)
         again = {p: self.older[p] for p in new if p in self.older}
         self.later.update(again)
         new.difference_update(again)
         passing = self._learn_all({h for h in heads if h not in self.first}, new)
         first, later = self.first, self.later
-        out = [
-            np.frombuffer(first[head] + b"".join(map(later.__getitem__, p)), dtype="<u2")
-            for head, p in zip(heads, parts)
-        ]
+        codes = [later.get(p, b"") if is_used else b"" for p, is_used in zip(types, used.tolist())]
+        codes += [first[h] + b"".join(map(later.__getitem__, parts.get(i, ()))) for i, h in enumerate(heads)]
+        codes.append(b"")
+        at[starts] = np.arange(len(types), len(types) + len(heads))
+        for i in odd:
+            at[bounds[i] + 1 : bounds[i + 1]] = len(codes) - 1
+        sizes = np.fromiter(map(len, codes), "i8", len(codes)) // 2
+        ends = np.concatenate([[0], np.cumsum(sizes)]).astype("i4")
+        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(codes), "<u2")))
+        ids = lists.take(pa.array(at)).flatten().to_numpy()
+        where = np.concatenate([[0], np.cumsum(sizes[at])])[bounds].tolist()
         for p in passing:
             later.pop(p, None)
-        return out
+        return [ids[a:b] for a, b in zip(where[:-1], where[1:])]
 
     def _learn_all(self, heads: set[str], new: set[str]) -> list[str]:
         """Make all pieces known; returns those made of others, which need not stay so."""
@@ -121,20 +150,29 @@ class PieceEncoder:
 
     def _learn(self, memory: dict[str, bytes], new: set[str], before: str) -> None:
         if before:
-            marked = MARK in "".join(new)
-            alone = [p for p in new if not p or p.strip() != p or marked and MARK in p]
+            joined = "\n".join(new)
+            marked, spaced = self.opens is None and MARK in joined, " " in joined
+            alone = [p for p in new if not p or p.strip() != p or marked and MARK in p or spaced and " " in p]
         else:
             alone = list(new)
         for piece, code in zip(alone, self.model.encode_batch_fast([before + p for p in alone], add_special_tokens=False)):
             memory[piece] = np.array(code.ids, dtype="<u2").tobytes()
         many = list(new.difference(alone))
         blocks = [many[i : i + TOGETHER] for i in range(0, len(many), TOGETHER)]
-        texts = ["".join(f" {p} {MARK}" for p in block) for block in blocks]
+        if self.opens is None:
+            texts = ["".join(f" {p} {MARK}" for p in block) for block in blocks]
+        else:
+            texts = [" " + " ".join(block) for block in blocks]
         for block, code in zip(blocks, self.model.encode_batch_fast(texts, add_special_tokens=False)):
             memory.update(zip(block, self._split(np.array(code.ids, dtype="<u2"), len(block))))
 
     def _split(self, ids: np.ndarray, n: int) -> list[bytes]:
-        """The ids of ``n`` pieces, each followed by the mark's."""
+        """The ids of ``n`` pieces, each followed by the mark's if it needs one."""
+        if self.opens is not None:
+            raw, starts = ids.tobytes(), np.flatnonzero(self.opens[ids])
+            if len(starts) != n or starts[0]:
+                raise AssertionError("pieces and spaces do not match")
+            return [raw[2 * a : 2 * b] for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(ids)])]
         mark = np.frombuffer(self.mark, dtype="<u2")
         size = len(ids) - len(mark) + 1
         at = np.flatnonzero(np.logical_and.reduce([ids[j : size + j] == m for j, m in enumerate(mark)]))

@@ -322,5 +322,15 @@ def test_components_of_small_graphs_need_no_round_of_shuffles(spark, monkeypatch
     assert {r.node: r.root for r in components.components(edges).collect()} == want
     assert not rounds
     monkeypatch.setattr(components, "TOGETHER", 50)
+    monkeypatch.setattr(components, "_as_stars", lambda x: x)
     assert {r.node: r.root for r in components.components(edges).collect()} == want
     assert rounds
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_white_space_met_at_a_text_end_is_still_odd_inside_a_later_text(name):
+    """A last piece that ends in a tab is remembered; inside another text no cut may follow it."""
+    encoder = PieceEncoder(vocabulary(name))
+    for texts in (["x foo\t"], ["x foo\t y", "", None, " ", "a  b", "x foo\t\n y"], ["plain text.", "x foo\t   y z"]):
+        want = [encoder.model.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [c.tolist() for c in encoder.encode(texts)] == want
