@@ -9,7 +9,10 @@ order the suffixes by their first 2^k lines and are equal only for equal lines.
 sorted, so a line that fills a third of the corpus is one row of the sort. For every place the shortest run with
 enough words is known beforehand, which bounds the rounds by log2(MIN_WORDS). The suffixes that agree over that run form
 an interval of the suffix array (their longest common prefix is at least as long); its first place in corpus
-order stays, the run is deleted at the others. Overlapping runs add up to the maximal repeated runs.
+order stays, the run is deleted at the others. Overlapping runs add up, but for short lines at the end of a repeated
+run: a line with fewer than ``MIN_WORDS`` words from it to the run's end begins no such run. With ``whole_runs`` the
+shortest runs are also followed backwards from every line, and both together are exactly the maximal repeated runs:
+what has too few words on either side within a run lies in the shortest run from that run's first line.
 """
 
 from __future__ import annotations
@@ -45,14 +48,21 @@ def _numbered(pairs: DataFrame, left: str, right: str) -> DataFrame:
     return stage(ordered.withColumn("rank", F.monotonically_increasing_id()))
 
 
+def _ranked_lines(df: DataFrame) -> DataFrame:
+    """Lines that occur at least twice, each with its ``rank``."""
+    lines = stage(_word_lines(df))
+    named = _numbered(lines.select("a", "b"), "a", "b")
+    return lines.join(named, ["a", "b"]).drop("a", "b")
+
+
 def suffix_intervals(df: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """For ``doc_id``/``text`` rows: every place from which a run of at least ``min_words`` words is made of repeated
     lines, as ``doc_id``, ``twin``, ``pos``, ``line_no``, and of the shortest such run ``lines``, ``end_line`` and its
     ranks ``left`` and ``right``. Places with equal (``lines``, ``left``, ``right``) form one interval of the suffix array."""
-    lines = stage(_word_lines(df))
-    named = _numbered(lines.select("a", "b"), "a", "b")
-    repeated = lines.join(named, ["a", "b"]).drop("a", "b")
+    return _intervals(_ranked_lines(df), min_words)
 
+
+def _intervals(repeated: DataFrame, min_words: int) -> DataFrame:
     in_doc = Window.partitionBy(*_DOC).orderBy("pos")
     stretches = repeated.withColumns({
         "stretch": F.col("pos") - F.row_number().over(in_doc),
@@ -96,27 +106,38 @@ def suffix_intervals(df: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return out
 
 
-def repeated_lines(df: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc_id``, ``twin`` and ``removed``, the sorted numbers of the lines to delete; documents without are absent."""
-    runs = suffix_intervals(df, min_words)
+def _later(runs: DataFrame) -> DataFrame:
+    """The runs whose lines stand somewhere earlier."""
     interval, place = ["lines", "left", "right"], F.struct(*_DOC, "pos")
     firsts = runs.groupBy(*interval).agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    later = runs.join(firsts, interval).filter(~place.eqNullSafe(F.col("first")))
+    return runs.join(firsts, interval).filter(~place.eqNullSafe(F.col("first")))
+
+
+def repeated_lines(df: DataFrame, min_words: int = MIN_WORDS, whole_runs: bool = False) -> DataFrame:
+    """``doc_id``, ``twin`` and ``removed``, the sorted numbers of the lines to delete; documents without are absent."""
+    if whole_runs:
+        lines = stage(_ranked_lines(df))
+        # Places are told apart and ordered as before; only the way along a document is turned round.
+        back = _intervals(lines.withColumn("pos", -F.col("pos")), min_words).withColumn("pos", -F.col("pos"))
+        later = _later(_intervals(lines, min_words)).unionByName(_later(back))
+    else:
+        later = _later(suffix_intervals(df, min_words))
     covered = later.select(*_DOC, F.explode(F.sequence("line_no", "end_line")).alias("line_no"))
     return covered.groupBy(*_DOC).agg(F.sort_array(F.collect_set("line_no")).alias("removed"))
 
 
 def deduplicate(
-    df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS
+    df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, whole_runs: bool = False
 ) -> DataFrame:
     """``df`` with all its columns, the text without its repeated lines, and ``removed_lines`` (an array, empty if none).
 
     Lines are what line feeds separate. A line without a word goes only inside a deleted run. Null text stays null.
     Rows that agree in id and text are one document: none is a copy of the other. Ties between different texts of
     one id are broken by a hash of the text; null ids come first. An empty table gives no rows. Other columns pass
-    through; columns named like the helpers do not clash.
+    through; columns named like the helpers do not clash. ``whole_runs``: every line of a repeated run goes, also short
+    ones at its end.
     """
-    removed = stage(repeated_lines(texts(df, id_col, text_col), min_words))
+    removed = stage(repeated_lines(texts(df, id_col, text_col), min_words, whole_runs))
     marks = removed.hint("merge")  # the marks grow with the texts: one plan at every size
     # The caller's columns travel in one struct, so that none can clash with a helper.
     given = F.col("given")

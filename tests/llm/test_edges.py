@@ -239,6 +239,29 @@ def test_line_dedup_random(spark):
         assert got == {i: want.get(i, []) for i, _ in docs}
 
 
+def test_line_dedup_whole_runs(spark):
+    draw = random.Random(9)
+    lines = [" ".join(draw.choices("abcdefg", k=draw.choice((1, 2, 3, 4, 12)))) for _ in range(9)]
+    run = draw.choices(lines, k=7)
+    docs = [(i, "\n".join([*draw.choices(lines, k=draw.randint(0, 9)), *run[draw.randint(0, 3):]])) for i in range(12)]
+    # A line with enough words by itself, then a short one that ends the repeated run.
+    docs += [(100, f"{'x ' * 60}\nshort end\nonly here"), (101, f"new\n{'x ' * 60}\nshort end\n\nother")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for least in (3, 11, 50):
+        seen, want = set(), {i: set() for i, _ in docs}
+        for i, text in docs:
+            worded = [(n, x) for n, x in enumerate(text.split("\n")) if x.split()]
+            for a in range(len(worded)):
+                for b in range(a + 1, len(worded) + 1):
+                    key = tuple(x for _, x in worded[a:b])
+                    if sum(len(x.split()) for x in key) >= least:
+                        want[i].update({*range(worded[a][0], worded[b - 1][0] + 1)} if key in seen else ())
+                        seen.add(key)
+        got = line_dedup.deduplicate(df, min_words=least, whole_runs=True).collect()
+        assert {r.doc_id: set(r.removed_lines) for r in got} == want
+        assert want[101] >= {1, 2}
+
+
 def test_simhash(rows, none):
     got = simhash.near_duplicates(rows)
     named = {i: t for i, t in ROWS if i is not None}
