@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces that a worker remembers, half of them since the last turn. About 200 bytes each.
+#: Pieces that a worker remembers; beyond, those go that were not met again. Some 30 bytes each, ids included.
 REMEMBERED = 350_000
 #: Stands between pieces that are encoded together; a piece that holds it is encoded alone.
 MARK = "\ue000"
@@ -26,16 +26,31 @@ TOGETHER = 64
 #: A space in a byte-level vocabulary.
 SPACE = "\u0120"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Letters that no normalization changes but for their case, and that every vocabulary here keeps together.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_WORD = re.compile(f"[{LETTERS}]+")
+#: What the word vocabulary does before it looks for merges.
+_WORD_RULES = (
+    [("NFC", None), ("Replace", "\\s+"), ("Lowercase", None)],
+    [("Split", r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"), ("ByteLevel", None)],
+)
 
 
 def _ends(piece: str) -> bool:
     return len(piece) > 1 and piece[-1] in ".," and piece[-2].isalnum()
 
 
+def _rules(how: dict) -> tuple[list, list]:
+    """Names and patterns of a vocabulary's normalizers and of its pre-tokenizers."""
+    steps = (how["normalizer"] or {}).get("normalizers", []), how["pre_tokenizer"].get("pretokenizers", [])
+    return tuple([(x["type"], x.get("pattern", {}).get("Regex")) for x in y] for y in steps)
+
+
 class PieceEncoder:
     """Encodes texts as the library does by default: special tokens' strings inside a text are their ids.
 
     They hold no white space, so they lie whole in one piece, and what follows one starts anew as a piece does.
+    A word of ``LETTERS`` is one unit of merges, which the library's model takes as it is.
 
     path  file of the tokenizer; its ids must fit 16 bits
     """
@@ -43,6 +58,7 @@ class PieceEncoder:
     def __init__(self, path: str, remembered: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.model = Tokenizer.from_file(path)
         if self.model.get_vocab_size() > 65_536:
@@ -56,84 +72,125 @@ class PieceEncoder:
         self.opens = np.zeros(65_536, bool) if kept else None
         if kept:
             self.opens[[i for token, i in self.model.get_vocab(with_added_tokens=False).items() if token[0] == SPACE]] = True
+        self.lowers = _rules(how) == _WORD_RULES
+        self.merge = self.model.model.tokenize if kept or self.lowers else None
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelt = {c: spell(chr(c))[0][0] for c in range(0xC0, 0x100)}
         self.first: dict[str, bytes] = {}
-        # Two generations: what was met since the last turn outlives the next one.
-        self.later: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        # Remembered pieces, where their ids begin, all their ids, and whether they were met again.
+        self.names, self.ends = pa.array([], pa.string()), np.zeros(1, "i4")
+        self.ids, self.again = np.zeros(0, "<u2"), np.zeros(0, bool)
 
     def encode(self, texts: pa.Array | Sequence[str | None]) -> list[np.ndarray]:
         """Ids of each text as unsigned 16-bit arrays; null counts as empty."""
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
-        if len(self.later) > self.remembered // 2:
-            self.later, self.older = {}, self.later
+        if len(self.names) > self.remembered:
+            self._forget()
         if len(self.first) > self.remembered // 4:
             self.first = {}
         # Each different piece of the texts is looked up once; Arrow lays the ids end to end.
         cut = pc.split_pattern(pc.fill_null(column, ""), " ")
         flat = cut.flatten().dictionary_encode()
-        types, at = flat.dictionary.to_pylist(), flat.indices.to_numpy().astype("i8")
+        types, at = flat.dictionary.cast(pa.string()), flat.indices.to_numpy().astype("i8")
         bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy())])
         starts = bounds[:-1]
         inner = np.ones(len(at), bool)
         inner[starts] = False
         used = np.zeros(len(types), bool)
         used[at[inner]] = True
-        pieces = [types[i] for i in np.flatnonzero(used).tolist()]
-        heads = [types[i] for i in at[starts].tolist()]
+        heads = types.take(pa.array(at[starts])).to_pylist()
+        # Of a word with a full stop or comma the word alone may be known, which the same look-up tells.
+        closed = np.flatnonzero(pc.or_(pc.ends_with(types, "."), pc.ends_with(types, ",")).to_numpy(zero_copy_only=False))
+        bare = pc.utf8_rtrim(types.take(pa.array(closed)), characters=".,")
+        place = self._places(pa.concat_arrays([types, bare]))
+        place, inside = place[: len(types)], place[len(types) :]
+        missing = np.flatnonzero(used & (place < 0))
+        helpful = used[closed] & (place[closed] < 0) & (inside >= 0)
+        new = types.take(pa.array(missing)).to_pylist()
         parts: dict[int, list[str]] = {}
-        unsafe = {p for p in pieces if not p or p.strip() != p}
-        new = {p for p in pieces if p not in self.later}
+        # White space at an end never is remembered, so only new pieces may have some.
+        unsafe = np.fromiter((not p or p.strip() != p for p in new), bool, len(new))
         odd = {i for i, head in enumerate(heads) if head != head.strip()}
-        if unsafe or odd:
+        if odd or unsafe.any():
             # Other white space stands next to a space: these texts are cut by the rule itself.
-            bad = used & np.fromiter((p in unsafe for p in types), bool, len(types))
+            bad = np.zeros(len(types), bool)
+            bad[missing[unsafe]] = True
             odd.update(np.unique(np.searchsorted(bounds, np.flatnonzero(bad[at] & inner), "right") - 1).tolist())
-            new -= unsafe
+            new = [p for p, is_unsafe in zip(new, unsafe.tolist()) if not is_unsafe]
+            missing = missing[~unsafe]
             for i in odd:
                 heads[i], *parts[i] = _CUT.split(column[i].as_py())
-                new.update(p for p in parts[i] if p not in self.later)
-        again = {p: self.older[p] for p in new if p in self.older}
-        self.later.update(again)
-        new.difference_update(again)
-        passing = self._learn_all({h for h in heads if h not in self.first}, new)
-        first, later = self.first, self.later
-        codes = [later.get(p, b"") if is_used else b"" for p, is_used in zip(types, used.tolist())]
-        codes += [first[h] + b"".join(map(later.__getitem__, parts.get(i, ()))) for i, h in enumerate(heads)]
+        before, first = len(self.names), self.first
+        asked = {p for x in parts.values() for p in x}.difference(new)
+        known = self._remembered(bare.filter(pa.array(helpful)), inside[helpful])
+        if asked:
+            names = pa.array(list(asked), pa.string())
+            known.update(self._remembered(names, self._places(names)))
+        asked.difference_update(known)
+        known = self._code_all({h for h in heads if h not in first}, asked.union(new), known)
+        more = [p for p in asked if p and p.strip() == p]
+        met = place[used]
+        self.again[met[met >= 0]] = True
+        place[missing] = before + np.arange(len(missing))
+        new += more
+        codes = [known[p] for p in new]
+        kept = len(codes)
+        codes += [first[h] + b"".join([known[p] for p in parts.get(i, ())]) for i, h in enumerate(heads)]
         codes.append(b"")
-        at[starts] = np.arange(len(types), len(types) + len(heads))
+        at = place[at]
+        at[starts] = before + kept + np.arange(len(heads))
         for i in odd:
-            at[bounds[i] + 1 : bounds[i + 1]] = len(codes) - 1
-        sizes = np.fromiter(map(len, codes), "i8", len(codes)) // 2
-        ends = np.concatenate([[0], np.cumsum(sizes)]).astype("i4")
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(codes), "<u2")))
-        ids = lists.take(pa.array(at)).flatten().to_numpy()
-        where = np.concatenate([[0], np.cumsum(sizes[at])])[bounds].tolist()
-        for p in passing:
-            later.pop(p, None)
+            at[bounds[i] + 1 : bounds[i + 1]] = before + len(codes) - 1
+        ends = self.ends[-1] + np.cumsum(np.fromiter(map(len, codes), "i8", len(codes)) // 2)
+        ends = np.concatenate([self.ends, ends.astype("i4")])
+        values = np.concatenate([self.ids, np.frombuffer(b"".join(codes), "<u2")])
+        ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(values)).take(pa.array(at)).flatten().to_numpy()
+        where = np.concatenate([[0], np.cumsum(np.diff(ends)[at])])[bounds].tolist()
+        self.names = pa.concat_arrays([self.names, pa.array(new, pa.string())])
+        self.ends, self.ids = ends[: before + kept + 1].copy(), values[: ends[before + kept]].copy()
+        self.again = np.concatenate([self.again, np.zeros(kept, bool)])
         return [ids[a:b] for a, b in zip(where[:-1], where[1:])]
 
-    def _learn_all(self, heads: set[str], new: set[str]) -> list[str]:
-        """Make all pieces known; returns those made of others, which need not stay so."""
-        first, later = self.first, self.later
+    def _places(self, pieces: pa.Array) -> np.ndarray:
+        """Where these pieces are remembered, or -1."""
+        return pc.fill_null(pc.index_in(pieces, value_set=self.names), -1).to_numpy().astype("i8")
+
+    def _forget(self) -> None:
+        """Keep what was met again, of that the half that came last."""
+        keep = pa.array(np.flatnonzero(self.again)[-(self.remembered // 2) :])
+        lists = pa.ListArray.from_arrays(pa.array(self.ends), pa.array(self.ids)).take(keep)
+        self.names, self.ids = self.names.take(keep), lists.flatten().to_numpy()
+        self.ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())]).astype("i4")
+        self.again = np.zeros(len(keep), bool)
+
+    def _code_all(self, heads: set[str], new: set[str], known: dict[str, bytes]) -> dict[str, bytes]:
+        """Make all heads known; codes of the new pieces and of what they are made of, besides those that are known."""
+        first = self.first
         lines, ended = self._made_of_others(new)
         lone = new.difference(lines, ended)
-        lone.update(p[:-1] for p in ended if p[:-1] not in later)
         for left, _ in lines.values():
-            if left not in later:
-                if _ends(left):
-                    ended.append(left)
-                    left = left[:-1]
-                if left not in later:
-                    lone.add(left)
+            if _ends(left):
+                ended.append(left)
+                left = left[:-1]
+            lone.add(left)
+        lone.update([p[:-1] for p in ended])
         heads = heads.union((right for _, right in lines.values()), (".", ",", "\n")).difference(first)
-        self._learn(first, heads, "")
-        self._learn(later, lone, " ")
+        first.update(self._learn(heads, ""))
+        known |= self._learn(lone.difference(known), " ")
         for p in ended:
-            later[p] = later[p[:-1]] + first[p[-1]]
+            known[p] = known[p[:-1]] + first[p[-1]]
         feed = first["\n"]
         for p, (left, right) in lines.items():
-            later[p] = later[left] + feed + first[right]
-        return [*lines, *ended]
+            known[p] = known[left] + feed + first[right]
+        return known
+
+    def _remembered(self, pieces: pa.Array, place: np.ndarray) -> dict[str, bytes]:
+        """Codes of those of these pieces that have a place."""
+        found = place >= 0
+        names, place = pieces.filter(pa.array(found)).to_pylist(), place[found]
+        self.again[place] = True
+        raw = self.ids.tobytes()
+        return {p: raw[2 * a : 2 * b] for p, a, b in zip(names, self.ends[place].tolist(), self.ends[place + 1].tolist())}
 
     @staticmethod
     def _made_of_others(new: set[str]) -> tuple[dict[str, tuple[str, str]], list[str]]:
@@ -148,23 +205,41 @@ class PieceEncoder:
                 ended.append(p)
         return lines, ended
 
-    def _learn(self, memory: dict[str, bytes], new: set[str], before: str) -> None:
+    def _learn(self, new: set[str], before: str) -> dict[str, bytes]:
+        """Codes of pieces that are not made of others."""
+        words, ids, ends, rest = [], [], [0], []
+        if self.merge is None:
+            rest = list(new)
+        else:
+            opening = SPACE if before and not self.lowers else ""
+            merge, lowers, spelt, is_word = self.merge, self.lowers, self.spelt, _WORD.fullmatch
+            for p in new:
+                plain = p.isascii()
+                if not (p.isalpha() if plain else is_word(p)):
+                    rest.append(p)
+                    continue
+                word = p.lower() if lowers else p
+                ids += [token.id for token in merge(opening + (word if plain else word.translate(spelt)))]
+                ends.append(len(ids))
+                words.append(p)
+        raw = np.array(ids, "<u2").tobytes()
+        known = {p: raw[2 * a : 2 * b] for p, a, b in zip(words, ends[:-1], ends[1:])}
+        alone = rest
         if before:
-            joined = "\n".join(new)
+            joined = "\n".join(rest)
             marked, spaced = self.opens is None and MARK in joined, " " in joined
-            alone = [p for p in new if not p or p.strip() != p or marked and MARK in p or spaced and " " in p]
-        else:
-            alone = list(new)
+            alone = [p for p in rest if not p or p.strip() != p or marked and MARK in p or spaced and " " in p]
         for piece, code in zip(alone, self.model.encode_batch_fast([before + p for p in alone], add_special_tokens=False)):
-            memory[piece] = np.array(code.ids, dtype="<u2").tobytes()
-        many = list(new.difference(alone))
+            known[piece] = np.array(code.ids, dtype="<u2").tobytes()
+        many = list(set(rest).difference(alone))
         blocks = [many[i : i + TOGETHER] for i in range(0, len(many), TOGETHER)]
         if self.opens is None:
             texts = ["".join(f" {p} {MARK}" for p in block) for block in blocks]
         else:
             texts = [" " + " ".join(block) for block in blocks]
         for block, code in zip(blocks, self.model.encode_batch_fast(texts, add_special_tokens=False)):
-            memory.update(zip(block, self._split(np.array(code.ids, dtype="<u2"), len(block))))
+            known.update(zip(block, self._split(np.array(code.ids, dtype="<u2"), len(block))))
+        return known
 
     def _split(self, ids: np.ndarray, n: int) -> list[bytes]:
         """The ids of ``n`` pieces, each followed by the mark's if it needs one."""

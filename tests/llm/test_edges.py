@@ -91,6 +91,24 @@ def test_pieces_are_exact():
             assert [list(x) for x in got] == [model.encode(t, add_special_tokens=False).ids for t in [*odd, ""]]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_of_letters_go_to_the_model_as_they_are(name):
+    """Every Latin-1 letter in both cases, with others that look like them; what was met again outlives the rest."""
+    draw = random.Random(5)
+    encoder = PieceEncoder(vocabulary(name), remembered=40)
+    merged, merge = [], encoder.merge
+    encoder.merge = lambda word: merged.append(word) or merge(word)
+    letters = [chr(c) for c in [*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0xAA, 0x180), 0x301, 0x331, 0x130, 0x1E9E, 0x3A3]]
+    for _ in range(6):
+        texts = [" ".join("".join(draw.choices(letters[k:], k=draw.randint(1, 6))) for _ in range(40)) for k in (0, 20, 40)]
+        texts += ["the same words, Every time.\nAgain  twice", " ".join(f"a{x} H{x}h. {x}\n{x}" for x in letters)]
+        got = encoder.encode(texts)
+        assert [c.tolist() for c in got] == [encoder.model.encode(t, add_special_tokens=False).ids for t in texts]
+    assert merged and all(word.isalpha() for word in merged if word.isascii())
+    encoder.encode(["the same words"])
+    assert {"same", "words"} <= set(encoder.names.to_pylist()) and len(encoder.names) <= 23
+
+
 def test_token_files(spark, rows, none, tmp_path):
     from tokenizers import Tokenizer
 
