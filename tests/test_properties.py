@@ -14,7 +14,7 @@ from corpusloom import fixed
 from corpusloom.operators.chunk import chunk_paragraphs
 from corpusloom.operators.encode import decode_bpe, encode_bpe, merge_symbols
 from corpusloom.operators.mix import interleave_uniform, mix
-from corpusloom.operators.merges import replay
+from corpusloom.operators.merges import replay, rule_of_a_round
 from corpusloom.operators.order import cluster_greedy, compose_steps, epochs, hex_bucket, prefix_sum, running, shuffle_docs
 from corpusloom.operators.sample import bernoulli_by_bytes, cap_per_source, upsample
 from corpusloom.operators.vocab import build_vocab, characters, learn_bpe, word_counts
@@ -565,3 +565,64 @@ def test_lines_are_encoded_once_for_the_documents_cut_from_them(spark):
     got = cut_documents(lines.withColumn("ids", made.asNondeterministic()("ids"))).orderBy("doc_id").collect()
     assert [r.ids for r in got] == [[5, 6, 7, 2], [8, 2], [9, 2], [None, 2], [3]]
     assert looked.value == len(rows)
+
+
+def line_rule(lines, n, look, exact, min_freq=2, longest=64):
+    """Merges of whole lines of bytes in hex on plain lists: one by one, or by the rounds of the batched mode."""
+    types = [([f"{b:02X}" for b in line.encode()], c) for line, c in Counter(lines).items()]
+    merges = []
+    while len(merges) < n:
+        pairs = Counter()
+        for symbols, c in types:
+            for p in zip(symbols, symbols[1:]):
+                pairs[p] += c
+        ordered = sorted((p for p, c in pairs.items() if c >= min_freq and len(p[0] + p[1]) <= longest), key=lambda p: (-pairs[p], p))
+        taken = ordered[:1] if exact else rule_of_a_round(ordered[:look], pairs, n - len(merges))
+        if not taken:
+            break
+        merges += taken
+        for pair in taken:
+            types = [(replay(symbols, {pair: [0]}), c) for symbols, c in types]
+    return merges
+
+
+@pytest.mark.parametrize("exact", [True, False])
+@pytest.mark.parametrize("look, n", [(3, 30), (4096, 12), (4096, 150)])
+def test_lines_cut_at_rare_pairs_of_bytes_give_the_merges_of_whole_lines(spark, look, n, exact):
+    words = syllables(6, 400)
+    lines = [" ".join(words[i:i + 8]) + " é!" * (i % 3) for i in range(0, 400, 8)] + ["aaaaaaaaa", "", "x", "猫"]
+    texts = ["\n".join(lines), "\n".join(lines[:7]), None, ""]
+    counts = word_counts(spark.createDataFrame([(t,) for t in texts], "text string"), pretok="line")
+    got = [(r.left, r.right) for r in learn_bpe(counts, n, pretok="line", look=look, exact=exact).orderBy("rank").collect()]
+    assert len(got) == n and got == line_rule([x for t in texts if t for x in t.split("\n") if x], n, look, exact)
+
+
+def test_rounds_over_lines_read_parts_that_repeat(spark, monkeypatch):
+    """Lines that never repeat: what a round reads does not grow with them."""
+    from corpusloom.operators import merges
+
+    sizes, changes = [], merges._changes
+
+    def seen(state, *rest):
+        sizes.append(state.agg(F.sum(F.octet_length(state.columns[0]))).first()[0])
+        return changes(state, *rest)
+
+    monkeypatch.setattr(merges, "_changes", seen)
+    lines = [f"the {i:05d} end" for i in range(3_000)]
+    counts = word_counts(spark.createDataFrame([("\n".join(lines),)], "text string"), pretok="line")
+    got = [(r.left, r.right) for r in learn_bpe(counts, 6, pretok="line", exact=False).orderBy("rank").collect()]
+    assert got == line_rule(lines, 6, 4096, False)
+    assert sizes and max(sizes) < len(lines)
+
+
+def test_bytes_of_lines_are_counted_without_a_row_per_byte(spark, monkeypatch):
+    from corpusloom.operators import vocab
+
+    plans, stage = [], vocab.stage
+    monkeypatch.setattr(vocab, "stage", lambda df: plans.append(df._jdf.queryExecution().toString()) or stage(df))
+    texts = ["café\n\nx", "café", "aaa\n猫", None, ""]
+    counts = word_counts(spark.createDataFrame([(t,) for t in texts], "text string"), pretok="line")
+    got = [(r.piece, r.n) for r in characters(counts, "line").collect()]
+    want = Counter(f"{b:02X}" for t in texts if t for line in t.split("\n") for b in line.encode())
+    assert dict(got) == want and [p for p, _ in got] == sorted(want, key=lambda p: (-want[p], p))
+    assert len(plans) == 1 and "Generate" not in plans[0]
